@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from saleswright.functions.dates import weekday_rank
@@ -22,13 +22,14 @@ TOP_OUTLIERS = 10
 OUTLIER_COLUMNS = ("order_id", "customer_name", "product_name", "category", "sales")
 TOP_SUBCATEGORIES = 10
 
-_REVENUE = exact_sum("sales").alias("revenue")
+def _revenue() -> Column:
+    return exact_sum("sales").alias("revenue")
 
 
 def kpi_summary(df: DataFrame) -> DataFrame:
     """Revenue, orders, mean order, distinct customers and products."""
     return df.agg(
-        _REVENUE,
+        _revenue(),
         F.count("*").alias("orders"),
         exact_mean("sales").alias("avg_order"),
         F.count_distinct("customer_id").alias("customers"),
@@ -40,14 +41,14 @@ def monthly_period_trend(df: DataFrame) -> DataFrame:
     """Revenue and orders per month, with a sortable ``YYYY-MM`` period."""
     period = F.concat_ws("-", F.col("year").cast("string"), F.lpad(F.col("month").cast("string"), 2, "0"))
     monthly = df.groupBy(F.col("order_year").alias("year"), F.col("order_month").alias("month")).agg(
-        _REVENUE, F.count("sales").alias("orders")
+        _revenue(), F.count("sales").alias("orders")
     )
     return monthly.withColumn("period", period).orderBy("period")
 
 
 def category_revenue(df: DataFrame) -> DataFrame:
     """Revenue per category, smallest first."""
-    return df.groupBy("category").agg(_REVENUE).orderBy("revenue", "category")
+    return df.groupBy("category").agg(_revenue()).orderBy("revenue", "category")
 
 
 def region_revenue_share(df: DataFrame) -> DataFrame:
@@ -55,7 +56,7 @@ def region_revenue_share(df: DataFrame) -> DataFrame:
 
     The total is a window over one row per region.
     """
-    regions = df.groupBy("region").agg(_REVENUE)
+    regions = df.groupBy("region").agg(_revenue())
     whole = F.sum("revenue").over(Window.partitionBy())
     return regions.withColumn("share_pct", percent_of(F.col("revenue"), whole)).orderBy(
         F.desc("revenue"), "region"
@@ -64,13 +65,13 @@ def region_revenue_share(df: DataFrame) -> DataFrame:
 
 def top_subcategories(df: DataFrame, k: int = TOP_SUBCATEGORIES) -> DataFrame:
     """The ``k`` sub-categories with most revenue, whatever their category."""
-    return df.groupBy("sub_category").agg(_REVENUE).orderBy(F.desc("revenue"), "sub_category").limit(k)
+    return df.groupBy("sub_category").agg(_revenue()).orderBy(F.desc("revenue"), "sub_category").limit(k)
 
 
 def segment_revenue(df: DataFrame) -> DataFrame:
     """Revenue, orders and mean order per segment."""
     return df.groupBy("segment").agg(
-        _REVENUE, F.count("sales").alias("orders"), exact_mean("sales").alias("avg_order")
+        _revenue(), F.count("sales").alias("orders"), exact_mean("sales").alias("avg_order")
     )
 
 
@@ -78,7 +79,7 @@ def ship_mode_revenue(df: DataFrame) -> DataFrame:
     """Revenue and mean shipping days per ship mode, largest first."""
     return (
         df.groupBy("ship_mode")
-        .agg(_REVENUE, F.avg("shipping_days").alias("avg_days"))
+        .agg(_revenue(), F.avg("shipping_days").alias("avg_days"))
         .orderBy(F.desc("revenue"), "ship_mode")
     )
 
@@ -220,7 +221,7 @@ def yoy_growth(df: DataFrame) -> DataFrame:
     The window runs over one row per year. The first year has no growth, nor has a
     year after one without revenue.
     """
-    yearly = df.groupBy(F.col("order_year").alias("year")).agg(_REVENUE)
+    yearly = df.groupBy(F.col("order_year").alias("year")).agg(_revenue())
     previous = F.lag("revenue").over(Window.orderBy("year"))
     growth = F.try_divide(F.col("revenue"), previous) - F.lit(1.0)
     return yearly.withColumn("growth_pct", growth * F.lit(100.0)).orderBy("year")
@@ -229,7 +230,7 @@ def yoy_growth(df: DataFrame) -> DataFrame:
 def category_year_trend(df: DataFrame) -> DataFrame:
     """Revenue per year and category."""
     return (
-        df.groupBy(F.col("order_year").alias("year"), "category").agg(_REVENUE).orderBy("year", "category")
+        df.groupBy(F.col("order_year").alias("year"), "category").agg(_revenue()).orderBy("year", "category")
     )
 
 
@@ -239,7 +240,7 @@ def weekday_month_heatmap(df: DataFrame) -> DataFrame:
     The months are given, so the pivot needs no extra job to find them.
     """
     months = list(range(1, 13))
-    cells = df.groupBy(F.col("order_day_of_week").alias("day_of_week"), "order_month").agg(_REVENUE)
+    cells = df.groupBy(F.col("order_day_of_week").alias("day_of_week"), "order_month").agg(_revenue())
     wide = cells.groupBy("day_of_week").pivot("order_month", months).agg(F.sum("revenue"))
     named = wide.select("day_of_week", *[F.coalesce(F.col(str(m)), F.lit(0.0)).alias(f"month_{m:02d}") for m in months])
     known = named.where(weekday_rank(F.col("day_of_week")) > 0)

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from saleswright.workload import report_queries
+from saleswright.workload import exploration_queries, report_queries
 
-QUERIES = {**report_queries.QUERIES}
-SQL = {**report_queries.SQL}
+QUERIES = {**report_queries.QUERIES, **exploration_queries.QUERIES}
+SQL = {**report_queries.SQL, **exploration_queries.SQL}
 
 
 def comparable(df: DataFrame) -> DataFrame:
