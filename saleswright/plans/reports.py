@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from saleswright.functions.jobs import side_by_side
 from saleswright.functions.numeric import exact_sum, percent_of, round_half_up
 from saleswright.functions.rows import literal_rows
 from saleswright.operators.filters import project_existing
@@ -260,16 +261,18 @@ def run_all_reports(spark: SparkSession, planned: dict[str, DataFrame | Failure]
 
     A report that fails while running is told apart from an empty one as well.
     """
-    outcome = []
-    for key, result in planned.items():
+
+    def finish(entry: tuple[str, DataFrame | Failure]) -> tuple:
+        key, result = entry
         if isinstance(result, Failure):
-            outcome.append((key, None, result.error))
-            continue
+            return key, None, result.error
         try:
-            outcome.append((key, result.count(), None))
+            return key, result.count(), None
         except Exception as error:
             log.error("report %s failed: %s", key, error)
-            outcome.append((key, None, str(error).splitlines()[0]))
+            return key, None, str(error).splitlines()[0]
+
+    outcome = side_by_side(spark, finish, planned.items())
     return literal_rows(spark, {"report": "string", "rows": "bigint", "error": "string"}, outcome)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from saleswright.functions.jobs import side_by_side
 from saleswright.plans.reports import Failure
 from saleswright.sinks.tables import save_processed
 
@@ -12,16 +13,28 @@ from saleswright.sinks.tables import save_processed
 def export_reports_csv(planned: dict[str, DataFrame | Failure], folder: str) -> list[str]:
     """One CSV per report that has rows, as ``folder/<key>``; returns the keys.
 
-    A report is a few dozen aggregated rows, so each goes into one part file.
+    A report is a few dozen aggregated rows: it is computed once, kept while it is
+    written, and goes into one part file.
     """
-    written = []
-    for key, report in planned.items():
-        if isinstance(report, Failure) or report.isEmpty():
-            continue
-        one_file = report.coalesce(1).write.mode("overwrite")
-        one_file.option("header", True).option("escape", '"').csv(f"{folder.rstrip('/')}/{key}")
-        written.append(key)
-    return written
+    base = folder.rstrip("/")
+    reports = {k: r for k, r in planned.items() if not isinstance(r, Failure)}
+    if not reports:
+        return []
+
+    def write(entry: tuple[str, DataFrame]) -> bool:
+        key, report = entry
+        kept = report.coalesce(1).persist()
+        try:
+            if kept.count() == 0:
+                return False
+            kept.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{base}/{key}")
+            return True
+        finally:
+            kept.unpersist()
+
+    spark = next(iter(reports.values())).sparkSession
+    written = side_by_side(spark, write, reports.items())
+    return [key for key, done in zip(reports, written, strict=True) if done]
 
 
 def export_report_bundle(df: DataFrame, planned: dict[str, DataFrame | Failure], folder: str) -> list[str]:

@@ -204,8 +204,8 @@ def file_inventory(spark: SparkSession, folder: str) -> DataFrame:
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     kb = F.col("length") / F.lit(1024.0)
-    size = F.when(kb < 1024, F.concat(F.format_number(kb, "0.0"), F.lit(" KB"))).otherwise(
-        F.concat(F.format_number(kb / 1024, "0.00"), F.lit(" MB"))
+    size = F.when(kb < 1024, F.format_string("%.1f KB", kb)).otherwise(
+        F.format_string("%.2f MB", kb / 1024)
     )
     root = folder.rstrip("/").rsplit("/", 1)[-1]
     relative = F.concat(F.lit(root + "/"), F.substring_index("path", f"/{root}/", -1))

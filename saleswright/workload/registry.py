@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from saleswright.workload import exploration_queries, report_queries
+from saleswright.workload import cleaning_queries, exploration_queries, report_queries, storage_queries
 
-QUERIES = {**report_queries.QUERIES, **exploration_queries.QUERIES}
-SQL = {**report_queries.SQL, **exploration_queries.SQL}
+_AREAS = (report_queries, exploration_queries, cleaning_queries, storage_queries)
+QUERIES = {name: fn for area in _AREAS for name, fn in area.QUERIES.items()}
+SQL = {name: sql for area in _AREAS for name, sql in area.SQL.items()}
 
 
 def comparable(df: DataFrame) -> DataFrame:
