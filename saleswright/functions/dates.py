@@ -13,12 +13,15 @@ MONTH_NAMES = (
 )
 WEEKDAY_NAMES = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
-# Fixed value: two leading numbers of a text date, in either order.
-LEADING_NUMBERS = r"^(\d{1,2})[-/.](\d{1,2})"
+# A leading number that can only be a day, and a possible month that is
+# followed by one. Matching is far cheaper than extracting and casting each number.
+DAY_THEN_NUMBER = r"^(1[3-9]|[2-9][0-9])[-/.][0-9]"
+MONTH_THEN_DAY = r"^(0?[0-9]|1[0-2])[-/.](1[3-9]|[2-9][0-9])"
 
 _NUMERIC_DATE = r"^\s*(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})(?!\d)(.*)$"
 _SHORT_YEAR = r"^\s*(\d{1,2})[-/.](\d{1,2})[-/.](\d{2})(?!\d)(.*)$"
 _YEAR_FIRST = r"^\s*(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})(?!\d)(.*)$"
+_HAS_MONTH_NAME = r"(?i)\d\D*(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)|(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)\D*\d"
 _NAMED_MONTH = ("d MMMM yyyy", "d MMM yyyy", "MMMM d, yyyy", "MMM d, yyyy", "d-MMM-yyyy")
 
 TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -76,22 +79,22 @@ def parse_timestamp(text: Column, dayfirst: bool) -> Column:
 
     day_month, month_day = "$3-$2-$1$4", "$3-$1-$2$4"
     first, second = (day_month, month_day) if dayfirst else (month_day, day_month)
+    # A pattern that does not fit costs an exception per value, hence the cheap test first.
+    spelled = [F.try_to_date(F.trim(text), f).cast("timestamp_ntz") for f in _NAMED_MONTH]
     return F.coalesce(
         iso(_NUMERIC_DATE, first),
         iso(_NUMERIC_DATE, second),
         iso(_YEAR_FIRST, "$1-$2-$3$4"),
         short(first),
         short(second),
-        *[F.try_to_date(F.trim(text), f).cast("timestamp_ntz") for f in _NAMED_MONTH],
+        F.when(text.rlike(_HAS_MONTH_NAME), F.coalesce(*spelled)),
     )
 
 
 def dayfirst_evidence(text: Column) -> tuple[Column, Column]:
     """Aggregates: does any value prove day-first order, does any prove month-first?"""
-    first = F.regexp_extract(text, LEADING_NUMBERS, 1).try_cast("int")
-    second = F.regexp_extract(text, LEADING_NUMBERS, 2).try_cast("int")
-    day = F.coalesce(F.max(first > 12), F.lit(False))
-    month = F.coalesce(F.max((first <= 12) & (second > 12)), F.lit(False))
+    day = F.coalesce(F.max(text.rlike(DAY_THEN_NUMBER)), F.lit(False))
+    month = F.coalesce(F.max(text.rlike(MONTH_THEN_DAY)), F.lit(False))
     return day, month
 
 

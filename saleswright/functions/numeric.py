@@ -20,33 +20,32 @@ def as_column(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def exact_sum(col: Column | str, weight: Column | None = None) -> Column:
-    """Exact sum of a money column as a double; NULL when there is no value.
+def exact_sum(value: str) -> Column:
+    """Exact sum of a money column (SQL text) as a double; NULL when there is no value.
 
     The decimal(20,0) input gives a decimal(30,0) buffer, so 10**12 rows of large
     values cannot overflow as a bigint sum would.
     """
-    units = F.rint(as_column(col) * F.lit(float(10**MONEY_SCALE))).cast("bigint").cast("decimal(20,0)")
-    if weight is not None:
-        units = units * weight.cast("decimal(18,0)")
-    return F.sum(units).cast("double") / F.lit(float(10**MONEY_SCALE))
+    unit = f"{10**MONEY_SCALE}D"
+    units = f"CAST(CAST(rint({value} * {unit}) AS BIGINT) AS DECIMAL(20,0))"
+    return F.expr(f"CAST(sum({units}) AS DOUBLE) / {unit}")
 
 
-def exact_mean(col: Column | str) -> Column:
+def exact_mean(value: str) -> Column:
     """Exact sum over the number of non-null values."""
-    return F.try_divide(exact_sum(col), F.count(as_column(col)))
+    return F.try_divide(exact_sum(value), F.expr(f"count({value})"))
 
 
-def round_half_up(col: Column | str, digits: int = 2) -> Column:
-    """Round half away from zero in binary arithmetic.
+def round_half_up(value: str, digits: int = 2) -> Column:
+    """Round a double (SQL text) half away from zero, in binary arithmetic.
 
     Spark's own ``round`` goes through the decimal text of a double; scaling and
-    flooring gives the same result in every engine. The long negation keeps
-    ``-0.0`` out of the result.
+    flooring gives the same result in every engine. ``floor`` gives a bigint, so
+    there is no ``-0.0``.
     """
-    x, unit = as_column(col), F.lit(float(10**digits))
-    half = F.lit(0.5)
-    return F.when(x < 0, -F.floor(-x * unit + half)).otherwise(F.floor(x * unit + half)) / unit
+    unit = f"{10**digits}D"
+    down, up = f"-floor(-({value}) * {unit} + 0.5D)", f"floor(({value}) * {unit} + 0.5D)"
+    return F.expr(f"(CASE WHEN ({value}) < 0 THEN {down} ELSE {up} END) / {unit}")
 
 
 def percent_of(part: Column, whole: Column) -> Column:

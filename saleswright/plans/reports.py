@@ -12,11 +12,11 @@ import logging
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleswright.functions.jobs import side_by_side
-from saleswright.functions.numeric import exact_sum, percent_of, round_half_up
+from saleswright.functions.numeric import exact_sum, round_half_up
 from saleswright.functions.rows import literal_rows
 from saleswright.operators.filters import project_existing
 
@@ -50,7 +50,7 @@ MEAN_ORDER = Measure(
     "avg_order_value",
     ("sales",),
     {**_SUM, **_KNOWN},
-    lambda: round_half_up(F.try_divide(F.col("_sum"), F.col("_known"))),
+    lambda: round_half_up("try_divide(_sum, _known)"),
 )
 SMALLEST = Measure("min_sale", ("sales",), {"_min": lambda: F.min("sales")}, lambda: round_half_up("_min"))
 LARGEST = Measure("max_sale", ("sales",), {"_max": lambda: F.max("sales")}, lambda: round_half_up("_max"))
@@ -59,19 +59,19 @@ SHARE = Measure(
     "revenue_share_pct",
     ("sales",),
     _SUM,
-    lambda: round_half_up(percent_of(F.col("_sum"), F.sum("_sum").over(Window.partitionBy()))),
+    lambda: round_half_up("try_divide(_sum * 100D, sum(_sum) OVER ())"),
 )
 PER_CUSTOMER = Measure(
     "revenue_per_customer",
     ("sales", "customer_id"),
     {**_SUM, **distinct("", "customer_id").aggregates},
-    lambda: round_half_up(F.try_divide(F.col("_sum"), F.col("_distinct_customer_id"))),
+    lambda: round_half_up("try_divide(_sum, _distinct_customer_id)"),
 )
 SHIPPING = Measure(
     "avg_shipping_days",
     ("shipping_days",),
     {"_days": lambda: F.sum("shipping_days"), "_shipped": lambda: F.count("shipping_days")},
-    lambda: round_half_up(F.try_divide(F.col("_days").cast("double"), F.col("_shipped")), 1),
+    lambda: round_half_up("try_divide(CAST(_days AS DOUBLE), _shipped)", 1),
 )
 
 

@@ -12,34 +12,32 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from saleswright.functions.quantiles import quantile_edges
 from saleswright.operators.features import CALENDAR, QUARTILES, shipping_days, tier_of
 
-#: Column -> (table it needs, expression).
+#: Column -> (last table on the way that it needs, expression).
 BASE = {
-    "row_id": ("lineitem", lambda: F.col("l_orderkey") * 10 + F.col("l_linenumber")),
-    "order_id": ("lineitem", lambda: F.col("l_orderkey").cast("string")),
-    "order_date": ("orders", lambda: F.col("o_orderdate")),
-    "ship_date": ("lineitem", lambda: F.col("l_shipdate")),
-    "ship_mode": ("orders", lambda: F.col("o_orderpriority")),
-    "customer_id": ("orders", lambda: F.col("o_custkey").cast("string")),
-    "customer_name": ("customer", lambda: F.col("c_name")),
-    "segment": ("customer", lambda: F.col("c_mktsegment")),
-    "country": ("region", lambda: F.col("r_name")),
-    "city": (
-        "nation",
-        lambda: F.concat(F.col("n_name"), F.lit("-"), (F.col("c_custkey") % 10).cast("string")),
-    ),
-    "state": ("nation", lambda: F.col("n_name")),
-    "postal_code": ("customer", lambda: F.col("c_nationkey") * 100 + F.col("c_custkey") % 100),
-    "region": ("region", lambda: F.col("r_name")),
-    "product_id": ("lineitem", lambda: F.col("l_partkey").cast("string")),
-    "category": ("part", lambda: F.col("p_type")),
-    "sub_category": ("part", lambda: F.col("p_brand")),
-    "product_name": ("part", lambda: F.col("p_name")),
-    "sales": ("lineitem", lambda: F.col("l_extendedprice")),
-    "quantity": ("lineitem", lambda: F.col("l_quantity")),
+    "row_id": ("lineitem", "l_orderkey * 10 + l_linenumber"),
+    "order_id": ("lineitem", "CAST(l_orderkey AS STRING)"),
+    "order_date": ("orders", "o_orderdate"),
+    "ship_date": ("lineitem", "l_shipdate"),
+    "ship_mode": ("orders", "o_orderpriority"),
+    "customer_id": ("orders", "CAST(o_custkey AS STRING)"),
+    "customer_name": ("customer", "c_name"),
+    "segment": ("customer", "c_mktsegment"),
+    "country": ("region", "r_name"),
+    "city": ("nation", "n_name || '-' || CAST(c_custkey % 10 AS STRING)"),
+    "state": ("nation", "n_name"),
+    "postal_code": ("customer", "c_nationkey * 100 + c_custkey % 100"),
+    "region": ("region", "r_name"),
+    "product_id": ("lineitem", "CAST(l_partkey AS STRING)"),
+    "category": ("part", "p_type"),
+    "sub_category": ("part", "p_brand"),
+    "product_name": ("part", "p_name"),
+    "sales": ("lineitem", "l_extendedprice"),
+    "quantity": ("lineitem", "l_quantity"),
 }
 
 FEATURE_INPUTS = {name: ("order_date",) for name in CALENDAR} | {
@@ -53,8 +51,16 @@ CLEAN_COLUMNS = [c for c in BASE if c != "quantity"]
 _CHAIN = ("orders", "customer", "nation", "region")
 
 
+_schemas: dict[tuple[str, str], T.StructType] = {}
+
+
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet")
+    """One table; its schema is looked up once per application, not once per query."""
+    path = f"{folder.rstrip('/')}/{table}.parquet"
+    known = (spark.sparkContext.applicationId, path)
+    if known not in _schemas:
+        _schemas[known] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[known]).parquet(path)
 
 
 def _facts(spark: SparkSession, folder: str, tables: set[str]) -> DataFrame:
@@ -85,7 +91,7 @@ def sales_data(spark: SparkSession, folder: str, columns: Iterable[str] | None =
     inputs = [i for c in wanted for i in FEATURE_INPUTS.get(c, (c,))]
     needed = list(dict.fromkeys(inputs)) or ["row_id"]
     facts = _facts(spark, folder, {BASE[c][0] for c in needed})
-    df = facts.select(*[BASE[c][1]().alias(c) for c in needed])
+    df = facts.selectExpr(*[f"{BASE[c][1]} AS {c}" for c in needed])
     for name in wanted:
         if name in CALENDAR:
             df = df.withColumn(name, CALENDAR[name](F.col("order_date")))
@@ -93,7 +99,7 @@ def sales_data(spark: SparkSession, folder: str, columns: Iterable[str] | None =
             df = shipping_days(df)
         elif name == "sales_tier":
             # The quartiles need the price only, so they skip every join.
-            prices = _read(spark, folder, "lineitem").select(BASE["sales"][1]().alias("sales"))
+            prices = _read(spark, folder, "lineitem").selectExpr(f"{BASE['sales'][1]} AS sales")
             edges = quantile_edges(prices, "sales", QUARTILES)
             df = df.withColumn("sales_tier", tier_of(F.col("sales"), [edges[i] for i in range(3)]))
     return df.select(*wanted)

@@ -85,23 +85,28 @@ def scan_csv(
     return nan_as_null(texts.select(*[column(c).try_cast(kinds[c]).alias(c) for c in texts.columns]))
 
 
+_TYPE_PATTERNS = {
+    "bigint": r"^\s*[+-]?[0-9]{1,18}\s*$",
+    "double": r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+|inf|Infinity)([eE][+-]?[0-9]+)?\s*$",
+    "boolean": r"^(true|True|TRUE|false|False|FALSE)$",
+}
+
+
 def _infer_types(texts: DataFrame, columns: Sequence[str]) -> dict[str, str]:
-    """The narrowest of bigint, double, boolean and string that holds every value."""
+    """The narrowest of bigint, double, boolean and string that holds every value.
+
+    Values are matched, not cast: a failing cast costs an exception per value.
+    """
     if not columns:
         return {}
-    options = ("bigint", "double", "boolean")
     checks = []
     for i, name in enumerate(columns):
         text = column(name)
         checks.append(F.count(text).alias(f"n{i}"))
-        for kind in options:
-            plain = text.rlike(r"^\s*[+-]?\d+\s*$") if kind == "bigint" else F.lit(True)
-            if kind == "boolean":
-                plain = F.lower(text).isin("true", "false")
-            checks.append(F.count_if(text.isNotNull() & ~(plain & text.try_cast(kind).isNotNull())).alias(f"{kind}{i}"))
+        checks += [F.count_if(~text.rlike(p)).alias(f"{kind}{i}") for kind, p in _TYPE_PATTERNS.items()]
     row = texts.agg(*checks).first()
     return {
-        name: next((k for k in options if row[f"n{i}"] and not row[f"{k}{i}"]), "string")
+        name: next((k for k in _TYPE_PATTERNS if row[f"n{i}"] and not row[f"{k}{i}"]), "string")
         for i, name in enumerate(columns)
     }
 
