@@ -20,6 +20,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from saleswright.functions.numeric import nan_to_null
 
@@ -37,7 +38,10 @@ def _bucket(x: Column) -> Column:
 
 
 def _bucketed(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
-    rows = df.select(*by, nan_to_null(F.col(value).cast("double")).alias("_x"))
+    x = F.col(value).cast("double")
+    if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)):
+        x = nan_to_null(x)
+    rows = df.select(*by, x.alias("_x"))
     return rows.where(F.col("_x").isNotNull()).withColumn("_b", _bucket(F.col("_x")))
 
 

@@ -148,6 +148,10 @@ def test_mixed_formats(spark, zone):
         "2017-11-08T01:02:03": dt.datetime(2017, 11, 8, 1, 2, 3),
         "2017/11/08": dt.datetime(2017, 11, 8),
         "15/04/18": dt.datetime(2018, 4, 15),
+        "2017.11.08": dt.datetime(2017, 11, 8),
+        "1a/02/2018": None,
+        "ab-cd-efgh": None,
+        " 1/02/2018": dt.datetime(2018, 2, 1),
         "15-04-99": dt.datetime(1999, 4, 15),
         "8 November 2017": dt.datetime(2017, 11, 8),
         "Nov 8, 2017": dt.datetime(2017, 11, 8),
