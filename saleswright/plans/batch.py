@@ -35,6 +35,9 @@ class _Log:
     def __init__(self) -> None:
         self.rows: list[tuple] = []
 
+    def set_rows(self, name: str, rows: int) -> None:
+        self.rows = [(n, s, rows if n == name else r, c, t) for n, s, r, c, t in self.rows]
+
     def stage(self, name: str, fatal: bool, work: Callable[[], tuple]):
         """Run one stage; ``work`` returns (result, ok, rows, cols)."""
         start = time.monotonic()
@@ -61,17 +64,19 @@ def run_stages(
     """Run all six stages and return ``(stage, status, rows, cols, seconds)``.
 
     Reading, cleaning and saving must succeed; loading the table, analysing and
-    exporting may fail without stopping the run. The cleaned data is computed once,
-    while it is saved; everything after that scans the saved Parquet.
+    exporting may fail without stopping the run. Rows read are counted while
+    duplicates are removed, and rows cleaned while they are saved, so nothing is
+    scanned for a count; everything after that scans the saved Parquet.
     """
     done = _Log()
 
+    read, written = Observation("read"), Observation("cleaned")
+
     def ingest():
         df = source if isinstance(source, DataFrame) else discover_and_load(spark, source)
-        return df, True, df.count(), len(df.columns)
+        return df.observe(read, F.count(F.lit(1)).alias("n")), True, None, len(df.columns)
 
     raw = done.stage("ingestion", True, ingest)
-    written = Observation("cleaned")
 
     def clean():
         df = clean_and_transform(raw).observe(written, F.count(F.lit(1)).alias("n"))
@@ -79,6 +84,7 @@ def run_stages(
         return scan_parquet(spark, path, df.schema), True, written.get["n"], len(df.columns)
 
     cleaned = done.stage("cleaning", True, clean)
+    done.set_rows("ingestion", read.get["n"])
     done.stage("save", True, lambda: (save_processed(cleaned, out), True, written.get["n"], len(cleaned.columns)))
 
     def load():

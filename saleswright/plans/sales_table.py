@@ -129,23 +129,25 @@ RAW_NAMES = {
 }
 
 
-def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
+def raw_orders(spark: SparkSession, folder: str, columns: Iterable[str] | None = None) -> DataFrame:
     """The table as it might arrive: raw names, text dates, gaps and copies.
 
     The given tables are clean, so gaps are cut by rule: every 50th order has no
     segment, every 100th no postal code, every 7th line no quantity. The lines of
-    every 10th order occur twice.
+    every 10th order occur twice. ``columns`` are raw names.
     """
-    df = sales_data(spark, folder, RAW_NAMES.values())
+    wanted = list(columns) if columns is not None else list(RAW_NAMES)
+    needed = [RAW_NAMES[c] for c in wanted]
+    df = sales_data(spark, folder, dict.fromkeys([*needed, "order_id", "row_id"]))
     order = F.col("order_id").cast("bigint")
-    df = df.withColumns(
-        {
-            "order_date": F.date_format("order_date", "dd/MM/yyyy"),
-            "ship_date": F.date_format("ship_date", "dd/MM/yyyy"),
-            "segment": F.when(order % 50 != 0, F.col("segment")),
-            "postal_code": F.when(order % 100 != 0, F.col("postal_code")),
-            "quantity": F.when(F.col("row_id") % 10 != 7, F.col("quantity")),
-            "_copy": F.explode(F.when(order % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))),
-        }
-    )
-    return df.select(*[F.col(c).alias(raw) for raw, c in RAW_NAMES.items()])
+    changes = {
+        "order_date": F.date_format("order_date", "dd/MM/yyyy"),
+        "ship_date": F.date_format("ship_date", "dd/MM/yyyy"),
+        "segment": F.when(order % 50 != 0, F.col("segment")),
+        "postal_code": F.when(order % 100 != 0, F.col("postal_code")),
+        "quantity": F.when(F.col("row_id") % 10 != 7, F.col("quantity")),
+    }
+    copies = F.when(order % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    kept = {c: change for c, change in changes.items() if c in needed}
+    df = df.withColumns({**kept, "_copy": F.explode(copies)})
+    return df.select(*[F.col(RAW_NAMES[c]).alias(c) for c in wanted])

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from saleswright.functions.numeric import exact_sum
 from saleswright.operators import cleaning as cl
-from saleswright.plans.sales_table import raw_orders, sales_data
+from saleswright.plans.sales_table import RAW_NAMES, raw_orders, sales_data
 from saleswright.workload.sql import (
     DIGEST_COLUMNS,
     DIGEST_TEXTS,
@@ -32,7 +32,8 @@ def register(name: str, sql: str | None = None):
 
 
 def _raw(spark, folder, *columns):
-    df = cl.standardize_columns(raw_orders(spark, folder))
+    raw_names = [raw for raw, clean in RAW_NAMES.items() if clean in columns or not columns]
+    df = cl.standardize_columns(raw_orders(spark, folder, raw_names))
     return df.select(*columns) if columns else df
 
 
@@ -145,8 +146,8 @@ def _evidence_sql(column: str, text: str) -> str:
     day = f"bool_or({first} > 12)"
     month = f"bool_or({first} <= 12 AND {second} > 12)"
     return (
-        f"SELECT '{column}' AS column, {day} AS day_first, {month} AS month_first, "
-        f"CASE WHEN {day} <> {month} THEN {day} END AS dayfirst FROM raw"
+        f"SELECT '{column}' AS column, CAST({day} AS VARCHAR) AS day_first, CAST({month} AS VARCHAR) AS month_first, "
+        f"CAST(CASE WHEN {day} <> {month} THEN {day} END AS VARCHAR) AS dayfirst FROM raw"
     )
 
 

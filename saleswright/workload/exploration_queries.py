@@ -79,7 +79,7 @@ def select_numeric(spark, folder):
 
 @register("drop_null_rows", over_raw("SELECT row_id, segment FROM raw WHERE segment IS NOT NULL"))
 def drop_null_rows(spark, folder):
-    df = raw_orders(spark, folder).select(F.col("Row ID").alias("row_id"), F.col("Segment").alias("segment"))
+    df = raw_orders(spark, folder, ["Row ID", "Segment"]).toDF("row_id", "segment")
     return fl.drop_null_rows(df, ["segment"])
 
 

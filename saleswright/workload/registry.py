@@ -14,7 +14,7 @@ SQL = {name: sql for area in _AREAS for name, sql in area.SQL.items()}
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Integers as bigint, decimals and floats as double, timestamps as text."""
+    """Integers as bigint, decimals and floats as double, timestamps and booleans as text."""
 
     def cast(field: T.StructField):
         kind = field.dataType
@@ -22,7 +22,7 @@ def comparable(df: DataFrame) -> DataFrame:
             return F.col(field.name).cast("bigint").alias(field.name)
         if isinstance(kind, T.NumericType):
             return F.col(field.name).cast("double").alias(field.name)
-        if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType, T.BooleanType)):
             return F.col(field.name).cast("string").alias(field.name)
         return F.col(field.name)
 

@@ -132,7 +132,7 @@ def reload_processed(spark, folder):
     "validate_schema",
     over_raw(
         "\nUNION ALL\n".join(
-            f"SELECT '{name}' AS column, {'true' if name != 'Region' else 'false'} AS present, "
+            f"SELECT '{name}' AS column, '{"true" if name != "Region" else "false"}' AS present, "
             + (f"count({snake}) AS non_null FROM raw" if name != "Region" else "CAST(NULL AS BIGINT) AS non_null")
             for name, snake in zip(files.REQUIRED_COLUMNS, RAW_COLUMNS, strict=False)
         )
