@@ -138,9 +138,10 @@ def _quantiles(
     picked = ranked.groupBy(*by).agg(F.max("_total").alias("_total"), *picks)
 
     def interpolated(i: int, p: float) -> Column:
-        position, low, high = ranks(p, F.col("_total"))
-        between = (high - position) * F.col(f"_low{i}") + (position - low) * F.col(f"_high{i}")
-        return F.when(low == high, F.col(f"_low{i}")).otherwise(between)
+        # From the nearer neighbour, as NumPy and pandas do it: equal to the last bit.
+        position, low, _ = ranks(p, F.col("_total"))
+        share, a, b = position - low, F.col(f"_low{i}"), F.col(f"_high{i}")
+        return F.when(share < 0.5, a + (b - a) * share).otherwise(b - (b - a) * (F.lit(1.0) - share))
 
     return picked.select(
         *by,

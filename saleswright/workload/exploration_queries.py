@@ -168,7 +168,16 @@ def ship_mode_revenue(spark, folder):
     return ex.ship_mode_revenue(sales_data(spark, folder, ["ship_mode", "sales", "shipping_days"]))
 
 
-def _box_sql(value: str, by: str | None) -> str:
+def _rounded(df, *names):
+    """To six decimals: engines interpolate a quantile with a different last bit."""
+    return df.select(*[round_half_up(c, 6).alias(c) if c in names else F.col(c) for c in df.columns])
+
+
+_BOX = ("q1", "median", "q3")
+_EDGES = ("q1", "q3", "iqr", "lower", "upper")
+
+
+def _box_sql(value: str, by: str | None) -> tuple[str, str]:
     key, group = (f"{by}, ", f"GROUP BY {by}") if by else ("", "")
     join = f"JOIN five USING ({by})" if by else "CROSS JOIN five"
     five = (
@@ -179,8 +188,9 @@ def _box_sql(value: str, by: str | None) -> str:
     )
     inside = f"{value} >= q1 - 1.5 * (q3 - q1) AND {value} <= q3 + 1.5 * (q3 - q1)"
     return (
-        f"SELECT {key}max(five.count) AS count, max(five.min) AS min, max(q1) AS q1, max(median) AS median, "
-        f"max(q3) AS q3, max(five.max) AS max, "
+        f"SELECT {key}max(five.count) AS count, max(five.min) AS min, "
+        + "".join(f"{half_up(f'max({q})', 6)} AS {q}, " for q in _BOX)
+        + "max(five.max) AS max, "
         f"CAST(min({value}) FILTER (WHERE {inside}) AS DOUBLE) AS whisker_low, "
         f"CAST(max({value}) FILTER (WHERE {inside}) AS DOUBLE) AS whisker_high, "
         f"count(*) FILTER (WHERE NOT ({inside})) AS outlier_count FROM sales_data {join} {group}",
@@ -195,12 +205,13 @@ def _over_box(value: str, by: str | None) -> str:
 
 @register("box_stats", _over_box("shipping_days", "ship_mode"))
 def box_stats(spark, folder):
-    return ex.box_stats(sales_data(spark, folder, ["ship_mode", "shipping_days"]), "shipping_days", ["ship_mode"])
+    df = sales_data(spark, folder, ["ship_mode", "shipping_days"])
+    return _rounded(ex.box_stats(df, "shipping_days", ["ship_mode"]), *_BOX)
 
 
 @register("box_stats_overall", _over_box("sales", None))
 def box_stats_overall(spark, folder):
-    return ex.box_stats(sales_data(spark, folder, ["sales"]), "sales")
+    return _rounded(ex.box_stats(sales_data(spark, folder, ["sales"]), "sales"), *_BOX)
 
 
 def _distribution_sql() -> str:
@@ -214,7 +225,7 @@ def _distribution_sql() -> str:
 
 @register("group_distribution", _distribution_sql())
 def group_distribution(spark, folder):
-    return ex.group_distribution(sales_data(spark, folder, ["category", "sales"]))
+    return _rounded(ex.group_distribution(sales_data(spark, folder, ["category", "sales"])), *_BOX)
 
 
 def _histogram_sql(source: str, bins: int) -> str:
@@ -293,8 +304,9 @@ def _unit_prices(spark, folder):
 @register(
     "iqr_outliers",
     over_flat(
-        "SELECT max(q1) AS q1, max(q3) AS q3, max(iqr) AS iqr, max(lower) AS lower, max(upper) AS upper, "
-        "count(*) AS total_count, count(*) FILTER (WHERE sales < lower OR sales > upper) AS outlier_count, "
+        "SELECT "
+        + "".join(f"{half_up(f'max({e})', 6)} AS {e}, " for e in _EDGES)
+        + "count(*) AS total_count, count(*) FILTER (WHERE sales < lower OR sales > upper) AS outlier_count, "
         "count(*) FILTER (WHERE sales < lower OR sales > upper) * 100.0::DOUBLE / count(*) AS outlier_pct, "
         "max(sales) FILTER (WHERE sales < lower OR sales > upper) AS max_outlier FROM u CROSS JOIN b",
         _UNIT,
@@ -303,7 +315,8 @@ def _unit_prices(spark, folder):
 )
 def iqr_outliers(spark, folder):
     df = sales_data(spark, folder, ["sales", "quantity"])
-    return ex.iqr_outliers(df.select((F.col("sales") / F.col("quantity")).alias("sales")))
+    prices = df.select((F.col("sales") / F.col("quantity")).alias("sales"))
+    return _rounded(ex.iqr_outliers(prices), *_EDGES)
 
 
 @register(

@@ -6,6 +6,7 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
+from saleswright.functions.numeric import round_half_up
 from saleswright.operators import features as fe
 from saleswright.plans.reports import (
     REPORTS,
@@ -65,12 +66,15 @@ def shipping_days(spark, folder):
 @register(
     "sales_quartiles",
     over_flat(
-        "SELECT quantile_cont(sales, 0.25) AS q1, quantile_cont(sales, 0.5) AS q2, "
-        "quantile_cont(sales, 0.75) AS q3 FROM flat"
+        "SELECT "
+        + ", ".join(f"{half_up(f'quantile_cont(sales, {p})', 6)} AS q{i}" for i, p in ((1, 0.25), (2, 0.5), (3, 0.75)))
+        + " FROM flat"
     ),
 )
 def sales_quartiles(spark, folder):
-    return fe.sales_quartiles(sales_data(spark, folder, ["sales"]))
+    # To six decimals: engines interpolate a quantile with a different last bit.
+    q = fe.sales_quartiles(sales_data(spark, folder, ["sales"]))
+    return q.select(*[round_half_up(c, 6).alias(c) for c in q.columns])
 
 
 @register("sales_tier", over_sales("SELECT order_id, sales, sales_tier FROM sales_data"))
