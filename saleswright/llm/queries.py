@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleswright.llm import quality, urls
+from saleswright.llm import packing, quality, repair, tokens, urls
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -66,3 +66,16 @@ FROM k LEFT JOIN fit ON fit.page_id = k.page_id AND fit.k = 1 LEFT JOIN listed O
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base figures and verdict of every document."""
     return quality.quality_table(table(spark, folder, "documents")).drop("clean_text")
+
+
+@query
+def op10_repair_output(spark: SparkSession, folder: str) -> DataFrame:
+    """Written as Re-Pair shards, and read back."""
+    docs = table(spark, folder, "documents")
+    return repair.read_documents(repair.write_shards(docs, tokens.vocabulary_path(tokens.VOCABULARY)))
+
+
+@query
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in windows of 4096 tokens, each window with every source's share of the corpus."""
+    return packing.pack(table(spark, folder, "documents"), tokens.vocabulary_path(tokens.VOCABULARY))

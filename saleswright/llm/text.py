@@ -7,7 +7,9 @@ word to hash and a whole text becomes one ``join`` over it.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -71,6 +73,14 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.
             yield batch.slice(start, rows)
 
 
+def map_batches(df: DataFrame, schema: str, work: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """``mapInArrow`` whose workers look for this package where the driver found it, besides their own path."""
+    here, env = str(Path(__file__).resolve().parents[2]), df.sparkSession.sparkContext.environment
+    if here not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH", ""), here]))
+    return df.mapInArrow(work, schema)
+
+
 def map_rows(df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], list], rows: int = SLICE) -> DataFrame:
     """``work`` on small Arrow slices, returning one list or array per column of ``schema``."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -86,7 +96,7 @@ def map_rows(df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], list],
                 schema=names,
             )
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, schema, run)
 
 
 def whole_text(name: str = "text") -> Column:

@@ -122,7 +122,7 @@ def url_filter(pages: DataFrame, rules: DataFrame, listed: DataFrame, url_col: s
     """
     url = F.col(url_col).cast("string")
     rows = pages.select(F.col(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
-    urls = rows.distinct()
+    urls = rows.select("host", "path").distinct()
     ruled = fitting_rule(urls, rules)
     exact = listed.select("key").where(F.col("key").isNotNull()).distinct()
     keyed = urls.select("host", "path", canonical(F.col("host"), F.col("path")).alias("key")).where("key <> ''")
