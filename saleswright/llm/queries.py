@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleswright.llm import packing, quality, repair, tokens, urls
+from saleswright.llm import neardup, packing, quality, repair, tokens, urls
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -79,3 +79,9 @@ def op10_repair_output(spark: SparkSession, folder: str) -> DataFrame:
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in windows of 4096 tokens, each window with every source's share of the corpus."""
     return packing.pack(table(spark, folder, "documents"), tokens.vocabulary_path(tokens.VOCABULARY))
+
+
+@query
+def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its component of near copies."""
+    return neardup.near_duplicates(table(spark, folder, "documents"))
