@@ -56,11 +56,11 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(coordinates: np.ndarray) -> np.ndarray:
+def band_keys(coordinates: np.ndarray, bands: int = BANDS) -> np.ndarray:
     """A 64-bit key for each band."""
-    rows = coordinates.reshape(BANDS, ROWS).astype(np.uint64)
-    out = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for k in range(ROWS):
+    rows = coordinates.reshape(bands, -1).astype(np.uint64)
+    out = np.arange(1, bands + 1, dtype=np.uint64)
+    for k in range(rows.shape[1]):
         out = (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + rows[:, k]
     return (out * np.uint64(0x94D049BB133111EB)).view(np.int64)
 
@@ -80,10 +80,13 @@ def _described(batch: pa.RecordBatch) -> list:
     return [batch.column(0), sizes, ids, bands]
 
 
+DESCRIBED = "doc_id bigint, n_shingles bigint, set_id binary, bands array<bigint>"
+
+
 def describe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, set_id, bands)`` of every row, written once."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), T.whole_text(text_col))
-    return workspace.stage(T.map_rows(rows, "doc_id bigint, n_shingles bigint, set_id binary, bands array<bigint>", _described), "sets")
+    return workspace.stage(T.map_rows(rows, DESCRIBED, _described), "sets")
 
 
 def _vertex(prefix: str) -> list:

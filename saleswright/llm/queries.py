@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleswright.llm import neardup, packing, quality, repair, tokens, urls
+from saleswright.llm import fingerprints, neardup, packing, quality, repair, tokens, urls
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -85,3 +85,9 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its component of near copies."""
     return neardup.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every text and of its edit, and how alike they and their neighbours are."""
+    return fingerprints.edited(table(spark, folder, "documents"))

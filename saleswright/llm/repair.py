@@ -34,7 +34,7 @@ from saleswright.llm import tokens
 SHARD_IDS = 1 << 20
 #: A pair that occurs so often in its shard is frequent; a round takes all pairs that occur
 #: at least a ``ROUND``-th as often as the most frequent one.
-MIN_COUNT, ROUND = 24, 6
+MIN_COUNT, ROUND = 48, 16
 #: The first nonterminal: one beyond the vocabulary's ids.
 FIRST_RULE = 49_408
 _SLOTS = 1 << 18

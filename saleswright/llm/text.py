@@ -81,12 +81,16 @@ def map_batches(df: DataFrame, schema: str, work: Callable[[Iterable[pa.RecordBa
     return df.mapInArrow(work, schema)
 
 
-def map_rows(df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], list], rows: int = SLICE) -> DataFrame:
-    """``work`` on small Arrow slices, returning one list or array per column of ``schema``."""
+def arrow_schema(schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
-    names = to_arrow_schema(_parse_datatype_string(schema))
+    return to_arrow_schema(_parse_datatype_string(schema))
+
+
+def map_rows(df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], list], rows: int = SLICE) -> DataFrame:
+    """``work`` on small Arrow slices, returning one list or array per column of ``schema``."""
+    names = arrow_schema(schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, rows):

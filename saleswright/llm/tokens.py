@@ -21,8 +21,9 @@ from saleswright.llm import text as T
 #: Vocabulary of ``encoded`` and the id that ends each document.
 VOCABULARY, END = "word_bpe_49k.json", 2
 _END_BYTES = np.array([END], "<u4").tobytes()
-#: Words a worker remembers before it starts anew; about 120 MB.
-REMEMBERED = 600_000
+#: Words in one generation of a worker's memory. When it is full it becomes the old one, from
+#: which words that are asked for again move on; two generations take at most 300 MB.
+REMEMBERED = 700_000
 _loaded: dict[str, "Pieces"] = {}
 
 
@@ -56,20 +57,31 @@ class Pieces(dict):
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
         self.letters = _byte_letters()
+        self.old: dict[bytes, bytes] = {}
+
+    def turn(self) -> None:
+        """A new generation, if this one is full."""
+        if len(self) >= REMEMBERED:
+            self.old = dict(self)
+            self.clear()
 
     def __missing__(self, piece: bytes) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.encode(piece)
+        self[piece] = ids
+        return ids
+
+    def encode(self, piece: bytes) -> bytes:
         text = piece.decode()
         stem, mark = (piece[:-1], piece[-1:]) if piece[-1] in b".,!?" else (piece, b"")
         plain = text[:-1] if mark else text
-        if not (plain.isalpha() and plain.isascii() or plain.isalpha() and max(plain) <= "\u00ff"):
-            ids = array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
-        elif mark or not plain.islower():
-            ids = self[plain.lower().encode()] + (self[mark] if mark else b"")
-        else:
-            letters = plain if plain.isascii() else stem.decode("latin-1").translate(self.letters)
-            ids = array("I", [x.id for x in self.model.tokenize(letters)]).tobytes()
-        self[piece] = ids
-        return ids
+        if not (plain.isalpha() and (plain.isascii() or max(plain) <= "\u00ff")):
+            return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        if mark or not plain.islower():
+            return self[plain.lower().encode()] + (self[mark] if mark else b"")
+        letters = plain if plain.isascii() else stem.decode("latin-1").translate(self.letters)
+        return array("I", [x.id for x in self.model.tokenize(letters)]).tobytes()
 
 
 def encode_texts(texts: list[bytes], path: str) -> list[bytes]:
@@ -77,8 +89,7 @@ def encode_texts(texts: list[bytes], path: str) -> list[bytes]:
     if path not in _loaded:
         _loaded[path] = Pieces(path)
     known = _loaded[path]
-    if len(known) >= REMEMBERED:
-        known.clear()
+    known.turn()
     return [b"".join(map(known.__getitem__, t.split())) + _END_BYTES for t in texts]
 
 
