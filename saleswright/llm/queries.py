@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleswright.llm import fingerprints, neardup, packing, quality, repair, tokens, urls
+from saleswright.llm import fingerprints, neardup, packing, quality, repair, secrets, tokens, urls
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -91,3 +91,9 @@ def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of every text and of its edit, and how alike they and their neighbours are."""
     return fingerprints.edited(table(spark, folder, "documents"))
+
+
+@query
+def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The secrets of every document."""
+    return secrets.spans_table(table(spark, folder, "documents"))
