@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleswright.llm import fingerprints, neardup, packing, quality, repair, secrets, tokens, urls
+from saleswright.llm import bytebpe, fingerprints, neardup, packing, quality, repair, secrets, tokens, urls
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -97,3 +97,12 @@ def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """The secrets of every document."""
     return secrets.spans_table(table(spark, folder, "documents"))
+
+
+@query
+def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text encoded and decoded again."""
+    import public_tokenizers
+
+    docs = table(spark, folder, "documents")
+    return bytebpe.encode_decode(docs, public_tokenizers.path(bytebpe.RANKS), public_tokenizers.PATTERN)
