@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleswright.llm import bytebpe, fingerprints, neardup, packing, quality, repair, secrets, tokens, urls
+from saleswright.llm import bytebpe, fingerprints, lines, neardup, packing, quality, repair, secrets, tokens, urls
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -106,3 +106,44 @@ def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
     docs = table(spark, folder, "documents")
     return bytebpe.encode_decode(docs, public_tokenizers.path(bytebpe.RANKS), public_tokenizers.PATTERN)
+
+
+@query
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What later copies of line runs take from each document, and a digest of what stays."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return lines.deduplicated(docs, report="report").select(
+        "doc_id", "report.*", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
+SQL["op1_line_dedup"] = rf"""
+WITH every AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS idx
+  FROM documents
+), worded AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY idx) AS pos
+  FROM every WHERE trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''
+), runs AS (
+  SELECT doc_id, pos, {", ".join(f"lead(line, {k}) OVER w AS l{k}" for k in range(lines.MIN_LINES))}
+  FROM worded WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+), later AS (
+  SELECT doc_id, pos FROM runs WHERE l{lines.MIN_LINES - 1} IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY {", ".join(f"l{k}" for k in range(lines.MIN_LINES))} ORDER BY doc_id, pos) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, pos + k AS pos FROM later, (SELECT unnest(range({lines.MIN_LINES})) AS k)
+), islands AS (
+  SELECT doc_id, n, count(*) AS size FROM (
+    SELECT doc_id, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS n FROM gone) GROUP BY doc_id, n
+), runs_of AS (
+  SELECT doc_id, sum(size)::BIGINT AS n_removed, count(*) AS n_runs, max(size) AS longest_run FROM islands GROUP BY doc_id
+), kept AS (
+  SELECT e.doc_id, string_agg(e.line, chr(10) ORDER BY e.idx) AS text
+  FROM every e LEFT JOIN worded w USING (doc_id, idx) LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.pos = w.pos
+  WHERE g.pos IS NULL GROUP BY e.doc_id
+)
+SELECT d.doc_id, coalesce(w.n, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_runs, 0) AS n_runs,
+  coalesce(longest_run, 0) AS longest_run, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept k USING (doc_id) LEFT JOIN runs_of r USING (doc_id)
+LEFT JOIN (SELECT doc_id, count(*) AS n FROM worded GROUP BY doc_id) w USING (doc_id)
+"""
