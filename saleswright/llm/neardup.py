@@ -7,10 +7,12 @@ table is shifted by ``k`` places, so all coordinates of a shingle lie side by si
 and a signature is one ``min`` over rows. ``BANDS`` bands of ``ROWS`` coordinates make pairs
 candidates: at a similarity of 0.75, a pair is missed by all bands with probability 5e-6.
 
-Equal sets are one class, with its least doc_id as representative. In a bucket, first one
-member is compared with all others. What this leaves apart is compared exactly: members
-of a bucket that lie in different components, with sizes that allow a link. So copies cost
-one comparison each, and no link between components that share a bucket goes untested. Every
+Equal sets are one class, with its least doc_id as representative. In a bucket, first the
+most central member is compared with all others. What this leaves apart is compared pair by
+pair: members of a bucket that lie in different components, unless a bound excludes a link:
+by their sizes, or by their own shingles, which are in no other open set and so can't be in
+an intersection. Texts that only share a passage are excluded that way. So copies cost one
+comparison each, and no link between components that share a bucket goes untested. Every
 link is confirmed on the full sets.
 
 Defined cases: a null or empty text, or one without words, has an empty set and is linked
@@ -125,6 +127,19 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_c
     return workspace.stage(made.join(wanted, ["doc_id", "set_id"], "left_semi").dropDuplicates(["doc_id", "set_id"]), "full_sets")
 
 
+def own_shingles(sets: DataFrame) -> DataFrame:
+    """``(doc_id, set_id, own)``: how many shingles of a set are in no other of ``sets``."""
+
+    def work(batch: pa.RecordBatch) -> list:
+        found = [np.frombuffer(x, np.int64) for x in batch.column(2).to_pylist()]
+        which = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
+        return [batch.column(0).take(which), batch.column(1).take(which), pa.array(np.concatenate([np.zeros(0, np.int64), *found]))]
+
+    each = T.map_rows(sets.select("doc_id", "set_id", "shingles"), "doc_id bigint, set_id binary, shingle bigint", work, rows=64)
+    alone = each.groupBy("shingle").agg(F.count("*").alias("m"), F.min("doc_id").alias("doc_id"), F.min("set_id").alias("set_id")).where("m = 1")
+    return alone.groupBy("doc_id", "set_id").agg(F.count("*").alias("own"))
+
+
 def links(docs: DataFrame, described: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(u, v)``: confirmed links that connect all classes which any chain of links connects."""
     classes = workspace.stage(
@@ -133,11 +148,13 @@ def links(docs: DataFrame, described: DataFrame, id_col: str = "doc_id", text_co
         "classes",
     )
     members = classes.select("doc_id", "set_id", "n", F.posexplode("bands").alias("band", "key"))
-    crowded = members.groupBy("band", "key").agg(
-        F.count("*").alias("many"),
-        F.min_by(F.struct("doc_id", "set_id", "n"), F.xxhash64("doc_id", "band")).alias("pivot"),
-    ).where("many > 1").drop("many")
+    # the member that shares most buckets with most others, as a rule the text the others were made from, stands for a bucket
+    crowded = members.groupBy("band", "key").agg(F.count("*").alias("many")).where("many > 1")
     crowd = workspace.stage(members.join(crowded, ["band", "key"]), "crowd")
+    scores = crowd.groupBy("doc_id", "set_id", "n").agg(F.sum("many").alias("score"))
+    scored = crowd.drop("n").join(scores, ["doc_id", "set_id"])
+    best = scored.groupBy("band", "key").agg(F.max(F.struct("score", (-F.col("doc_id")).alias("least"), "doc_id", "set_id", "n")).alias("pivot"))
+    crowd = workspace.stage(crowd.join(best, ["band", "key"]).drop("many"), "crowd")
     fits = f"100 * least(a_n, b_n) >= {PERCENT} * greatest(a_n, b_n)"
     pivots = crowd.select(
         F.col("pivot.doc_id").alias("a_id"), F.col("pivot.set_id").alias("a_set"), F.col("pivot.n").alias("a_n"),
@@ -160,10 +177,20 @@ def links(docs: DataFrame, described: DataFrame, id_col: str = "doc_id", text_co
     )
     apart = placed.groupBy("band", "key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
     open_ = workspace.stage(placed.join(apart.select("band", "key"), ["band", "key"], "left_semi"), "open")
-    a = open_.select("band", "key", *_vertex("a"), F.col("n").alias("a_n"), F.col("component").alias("a_component"))
-    b = open_.select("band", "key", *_vertex("b"), F.col("n").alias("b_n"), F.col("component").alias("b_component"))
+    own = own_shingles(sets.join(open_.select("doc_id", "set_id").distinct(), ["doc_id", "set_id"], "left_semi"))
+    hopeful = workspace.stage(
+        open_.join(own, ["doc_id", "set_id"], "left").withColumn("own", F.coalesce("own", F.lit(0)))
+        .where(f"100 * own <= {100 - PERCENT} * n"),
+        "hopeful",
+    )
+    a, b = (
+        hopeful.select("band", "key", *_vertex(x), *(F.col(c).alias(f"{x}_{c}") for c in ("n", "own", "component")))
+        for x in "ab"
+    )
+    # an own shingle is in the union and not in the intersection
+    bound = f"{100 - PERCENT} * least(a_n - a_own, b_n - b_own) >= {PERCENT} * (a_own + b_own)"
     rest = (
-        a.join(b, ["band", "key"]).where("a_component <> b_component AND a_set < b_set").where(fits)
+        a.join(b, ["band", "key"]).where("a_component <> b_component AND a_set < b_set").where(fits).where(bound)
         .select("a_id", "a_set", "b_id", "b_set").distinct()
         .join(first, ["a_id", "a_set", "b_id", "b_set"], "left_anti")
     )

@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleswright.llm import bytebpe, fingerprints, lines, neardup, packing, quality, repair, secrets, tokens, urls
+from saleswright.llm import bytebpe, fingerprints, lines, neardup, packing, quality, repair, secrets, suffixes, tokens, urls
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -147,3 +147,9 @@ SELECT d.doc_id, coalesce(w.n, 0) AS n_lines, coalesce(n_removed, 0) AS n_remove
 FROM documents d LEFT JOIN kept k USING (doc_id) LEFT JOIN runs_of r USING (doc_id)
 LEFT JOIN (SELECT doc_id, count(*) AS n FROM worded GROUP BY doc_id) w USING (doc_id)
 """
+
+
+@query
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What repeated strings of 200 bytes take from each document."""
+    return suffixes.without_repeats(table(spark, folder, "documents")).drop("spans")
