@@ -8,11 +8,11 @@ and a signature is one ``min`` over rows. ``BANDS`` bands of ``ROWS`` coordinate
 candidates: at a similarity of 0.75, a pair is missed by all bands with probability 5e-6.
 
 Equal sets are one class, with its least doc_id as representative. In a bucket, first the
-most central member is compared with all others. What this leaves apart is compared pair by
-pair: members of a bucket that lie in different components, unless a bound excludes a link:
+most central member is compared with all others. What this leaves apart is compared in chunks:
+members of a bucket that lie in different components, unless a bound excludes a link:
 by their sizes, or by their own shingles, which are in no other open set and so can't be in
-an intersection. Texts that only share a passage are excluded that way. So copies cost one
-comparison each, and no link between components that share a bucket goes untested. Every
+an intersection. So copies cost one comparison each, no link between components that share a
+bucket goes untested, and only links become rows. Every
 link is confirmed on the full sets.
 
 Defined cases: a null or empty text, or one without words, has an empty set and is linked
@@ -37,6 +37,8 @@ from saleswright.llm import text as T
 #: A pair is linked with ``100 * intersection >= PERCENT * union``.
 PERCENT = 75
 BANDS, ROWS, CIRCLE = 32, 4, 1 << 20
+#: Sets in a chunk of a cluster.
+CHUNK = 256
 _K = BANDS * ROWS
 _tables: list[np.ndarray] = []
 
@@ -183,18 +185,81 @@ def links(docs: DataFrame, described: DataFrame, id_col: str = "doc_id", text_co
         .where(f"100 * own <= {100 - PERCENT} * n"),
         "hopeful",
     )
-    a, b = (
-        hopeful.select("band", "key", *_vertex(x), *(F.col(c).alias(f"{x}_{c}") for c in ("n", "own", "component")))
-        for x in "ab"
+    return found.union(workspace.stage(compared(hopeful, sets), "links"))
+
+
+def compared(open_: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(u, v)``: confirmed links between members of a bucket in different components.
+
+    ``open_`` has a row for each member of an open bucket (``band, key, doc_id, set_id, n, own,
+    component``). Buckets that share members form a cluster, which is dealt in chunks of about
+    ``CHUNK`` sets; a task gets two chunks and compares them in numpy, so pairs without a link are
+    never rows, however large a cluster is.
+    """
+    least = open_.groupBy("band", "key").agg(F.min("doc_id").alias("u"))
+    edges = open_.join(least, ["band", "key"]).where("doc_id <> u").select("u", F.col("doc_id").alias("v"))
+    cluster = graph.components(edges).select(F.col("v").alias("doc_id"), F.col("component").alias("cluster"))
+    members = open_.groupBy("doc_id", "set_id").agg(
+        F.first("n").alias("n"), F.first("own").alias("own"), F.first("component").alias("component"),
+        F.collect_set(F.xxhash64("band", "key")).alias("buckets"),
+    ).join(cluster, "doc_id", "left").withColumn("cluster", F.coalesce("cluster", "doc_id"))
+    sizes = members.groupBy("cluster").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    dealt = (
+        members.join(sizes, "cluster").join(sets, ["doc_id", "set_id"])
+        .withColumn("chunk", F.pmod(F.xxhash64("doc_id", "set_id"), F.col("chunks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .groupBy("cluster", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y"))
+        .agg(F.collect_list(F.struct("chunk", "doc_id", "n", "own", "component", "buckets", "shingles")).alias("members"))
+        .select("x", "y", "members")
     )
-    # an own shingle is in the union and not in the intersection
-    bound = f"{100 - PERCENT} * least(a_n - a_own, b_n - b_own) >= {PERCENT} * (a_own + b_own)"
-    rest = (
-        a.join(b, ["band", "key"]).where("a_component <> b_component AND a_set < b_set").where(fits).where(bound)
-        .select("a_id", "a_set", "b_id", "b_set").distinct()
-        .join(first, ["a_id", "a_set", "b_id", "b_set"], "left_anti")
-    )
-    return found.union(workspace.stage(confirmed(rest, sets), "links"))
+
+    def judge(batch: pa.RecordBatch) -> list:
+        out: list[list] = [[], []]
+        for x, y, members in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            left = [m for m in members if m["chunk"] == x]
+            right = left if x == y else [m for m in members if m["chunk"] == y]
+            for u, v in _linked(left, right, x == y):
+                out[0].append(u)
+                out[1].append(v)
+        return out
+
+    return T.map_rows(dealt, "u bigint, v bigint", judge, rows=1)
+
+
+def _linked(left: list[dict], right: list[dict], same: bool) -> list[tuple[int, int]]:
+    """Links between two chunks that a bucket allows and the bounds don't exclude, counted over an inverted index of one."""
+    if not left or not right:
+        return []
+    arrays = [np.frombuffer(m["shingles"], np.uint64) for m in right]
+    owners = np.repeat(np.arange(len(right)), [len(x) for x in arrays])
+    shingles = np.concatenate(arrays)
+    order = np.argsort(shingles, kind="stable")
+    shingles, owners = shingles[order], owners[order]
+    n, own, component = (np.array([m[k] for m in right], np.int64) for k in ("n", "own", "component"))
+    in_bucket: dict[int, list[int]] = {}
+    for k, m in enumerate(right):
+        for b in m["buckets"]:
+            in_bucket.setdefault(b, []).append(k)
+    out = []
+    for i, m in enumerate(left):
+        allowed = np.zeros(len(right), bool)
+        for b in m["buckets"]:
+            allowed[in_bucket.get(b, [])] = True
+        if same:
+            allowed[: i + 1] = False
+        # by sizes; and an own shingle is in the union and not in the intersection
+        allowed &= (component != m["component"]) & (100 * np.minimum(n, m["n"]) >= PERCENT * np.maximum(n, m["n"]))
+        allowed &= (100 - PERCENT) * np.minimum(n - own, m["n"] - m["own"]) >= PERCENT * (own + m["own"])
+        if not allowed.any():
+            continue
+        mine = np.frombuffer(m["shingles"], np.uint64)
+        first, last = np.searchsorted(shingles, mine, "left"), np.searchsorted(shingles, mine, "right")
+        sizes = last - first
+        place = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+        both = np.bincount(owners[place], minlength=len(right))
+        for k in np.flatnonzero(allowed & (100 * both >= PERCENT * (n + m["n"] - both))):
+            out.append((m["doc_id"], right[k]["doc_id"]))
+    return out
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
