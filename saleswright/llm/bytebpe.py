@@ -89,11 +89,11 @@ def _digests(ids: str, decoded: bytes) -> tuple[int, str, str]:
 
 
 def chunks(docs: DataFrame, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """``(row, doc_id, part, at, text)`` for the texts of more than one chunk, dealt evenly."""
+    """``(row, doc_id, part, at, text)`` for the texts of more than one chunk."""
     last = F.expr(f"CAST((n - 1) DIV {chunk} AS INT)")
     cut = docs.where(F.col("n") > chunk).select("row", "doc_id", "text", F.explode(F.sequence(F.lit(0), last)).alias("part"))
     at = F.col("part") * chunk
-    return cut.select("row", "doc_id", "part", at.alias("at"), F.substring("text", at + 1, F.lit(chunk + overlap)).alias("text")).repartition("row", "part")
+    return cut.select("row", "doc_id", "part", at.alias("at"), F.substring("text", at + 1, F.lit(chunk + overlap)).alias("text"))
 
 
 def _seams(path: str, pattern: str, chunk: int, overlap: int):
@@ -157,11 +157,13 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
     )
     runs = begins.groupBy("row", "run").agg(F.min("begin").alias("begin"), F.min("part").alias("first"), F.max("part").alias("last"))
     runs = runs.withColumn("end", F.lead("begin").over(Window.partitionBy("row").orderBy("run")))
+    # dealt by text alone, so that the chunks move once
+    run_of = begins.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("part", "run"))).alias("run_of"))
     texts = (
-        cut.join(begins.select("row", "part", "run"), ["row", "part"])
+        cut.join(run_of, "row").select("row", F.col("run_of")[F.col("part")].alias("run"), "part", "at", "text")
         .groupBy("row", "run")
-        .agg(F.sort_array(F.collect_list(F.struct("part", F.col("text").alias("text")))).alias("parts"), F.min("at").alias("at"))
-    )
+        .agg(F.sort_array(F.collect_list(F.struct("part", "text"))).alias("parts"), F.min("at").alias("at"))
+    )
     # all but the last chunk of a run without their overlap
     n = F.size("parts")
     text = F.array_join(F.transform("parts", lambda x, k: F.when(k < n - 1, F.substring(x["text"], 1, chunk)).otherwise(x["text"])), "")
