@@ -1,9 +1,15 @@
 """Order-independent money arithmetic.
 
 A sum of doubles depends on the order in which partitions are merged, so the same
-report could differ by a cent between two runs. Money is therefore summed as whole
-ten-thousandths in decimal space, which is exact, and only the total becomes a
-double again.
+report could differ by a cent between two runs. A value is therefore split into whole
+numbers of fixed units, which are summed exactly in decimal space; only the totals
+become doubles again and are added in a fixed order, the largest units first.
+
+Up to ``_PLAIN`` the first unit is a ten-thousandth, so that money with up to four
+decimals is summed as what it says; what a value has beyond that is summed in units of
+2**-66 and 2**-118. Larger values are summed in units of 2**50 and 2**-13, exact up to
+2**113; beyond that (10**34) doubles are added as they are, to the last digit or so.
+NaN is a missing value, infinity makes the sum infinite.
 """
 
 from __future__ import annotations
@@ -11,29 +17,48 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Decimal places kept per money value. Larger scales cost range:
-#: |value| * 10**MONEY_SCALE has to stay below 2**53.
+#: Decimal places of the first unit, and the values below which it is used.
 MONEY_SCALE = 4
+_PLAIN, _LARGEST = 2.0**39, 2.0**113
 
 
 def as_column(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _known(value: str) -> str:
+    return f"nullif(CAST({value} AS DOUBLE), CAST('NaN' AS DOUBLE))"
+
+
 def exact_sum(value: str) -> Column:
-    """Exact sum of a money column (SQL text) as a double; NULL when there is no value.
+    """Sum of a money column (SQL text) as a double, the same in any order; NULL when there is no value.
 
-    The decimal(20,0) input gives a decimal(30,0) buffer, so 10**12 rows of large
-    values cannot overflow as a bigint sum would.
+    Each decimal(20,0) unit gives a decimal(30,0) buffer, so 10**10 rows of the largest
+    units, and more of ordinary ones, can't overflow.
     """
-    unit = f"{10**MONEY_SCALE}D"
-    units = f"CAST(CAST(rint({value} * {unit}) AS BIGINT) AS DECIMAL(20,0))"
-    return F.expr(f"CAST(sum({units}) AS DOUBLE) / {unit}")
+    x, unit = _known(value), f"{10**MONEY_SCALE}D"
+
+    def total(units: str, where: str, size: str) -> str:
+        whole = f"CAST(CAST(CASE WHEN {where} THEN {units} END AS BIGINT) AS DECIMAL(20,0))"
+        return f"coalesce(CAST(sum({whole}) AS DOUBLE), 0D) {size}"
+
+    plain, large = f"abs({x}) < {_PLAIN!r}D", f"abs({x}) >= {_PLAIN!r}D AND abs({x}) < {_LARGEST!r}D"
+    rest = f"({x} - rint({x} * {unit}) / {unit}) * {2.0**66!r}D"
+    high = f"floor({x} * {2.0**-50!r}D)"
+    parts = (
+        total(f"rint({x} * {unit})", plain, f"/ {unit}"),
+        total(f"floor({rest})", plain, f"* {2.0**-66!r}D"),
+        total(f"({rest} - floor({rest})) * {2.0**52!r}D", plain, f"* {2.0**-118!r}D"),
+        total(high, large, f"* {2.0**50!r}D"),
+        total(f"({x} - {high} * {2.0**50!r}D) * {2.0**13!r}D", large, f"* {2.0**-13!r}D"),
+        f"coalesce(sum(CASE WHEN abs({x}) >= {_LARGEST!r}D THEN {x} END), 0D)",
+    )
+    return F.expr(f"CASE WHEN count({x}) > 0 THEN {' + '.join(reversed(parts))} END")
 
 
 def exact_mean(value: str) -> Column:
-    """Exact sum over the number of non-null values."""
-    return F.try_divide(exact_sum(value), F.expr(f"count({value})"))
+    """Exact sum over the number of known values."""
+    return F.try_divide(exact_sum(value), F.expr(f"count({_known(value)})"))
 
 
 def round_half_up(value: str, digits: int = 2) -> Column:
@@ -41,11 +66,14 @@ def round_half_up(value: str, digits: int = 2) -> Column:
 
     Spark's own ``round`` goes through the decimal text of a double; scaling and
     flooring gives the same result in every engine. ``floor`` gives a bigint, so
-    there is no ``-0.0``.
+    there is no ``-0.0``. From 2**53 units on a double has no digits left to round.
     """
     unit = f"{10**digits}D"
     down, up = f"-floor(-({value}) * {unit} + 0.5D)", f"floor(({value}) * {unit} + 0.5D)"
-    return F.expr(f"(CASE WHEN ({value}) < 0 THEN {down} ELSE {up} END) / {unit}")
+    return F.expr(
+        f"CASE WHEN abs({value}) * {unit} < {2.0**53!r}D "
+        f"THEN (CASE WHEN ({value}) < 0 THEN {down} ELSE {up} END) / {unit} ELSE CAST({value} AS DOUBLE) END"
+    )
 
 
 def percent_of(part: Column, whole: Column) -> Column:

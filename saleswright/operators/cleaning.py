@@ -8,6 +8,7 @@ plain projection: no join and no shuffle besides the one that removes duplicates
 
 from __future__ import annotations
 
+import logging
 import os
 import re
 from collections import Counter
@@ -26,6 +27,8 @@ from saleswright.functions.rows import literal_rows
 from saleswright.operators.features import QUARTILES, engineer_features
 from saleswright.workspace import stage
 
+log = logging.getLogger(__name__)
+
 # Fixed values.
 FLAG_THRESHOLD_PCT = 5.0
 FLAG_SUFFIX = "_was_missing"
@@ -272,23 +275,39 @@ def default_dayfirst() -> bool:
     return os.environ.get(DAYFIRST_VARIABLE, "false").strip().lower() == "true"
 
 
-def apply_readings(df: DataFrame, readings: Iterable[DateReading], on_error: str = "keep") -> DataFrame:
+def _ambiguous(column: str, on_ambiguous: str) -> None:
+    order = "day first" if default_dayfirst() else "month first"
+    said = f"the dates in {column} prove no single order; {order} is assumed (set {DAYFIRST_VARIABLE} to change that)"
+    if on_ambiguous == "error":
+        raise ValueError(said)
+    log.warning(said)
+
+
+def apply_readings(
+    df: DataFrame, readings: Iterable[DateReading], on_error: str = "keep", on_ambiguous: str = "default"
+) -> DataFrame:
     """Turn readable text columns into ``timestamp_ntz``.
 
     ``on_error="keep"`` leaves a column with any unreadable value as text;
-    ``"null"`` converts it and nulls those values.
+    ``"null"`` converts it and nulls those values. Where the values prove no order, or
+    both, ``on_ambiguous="default"`` takes the default order and says so in the log;
+    ``"error"`` raises.
     """
     parsed = {}
     for r in readings:
         if r.readable or on_error == "null":
+            if r.dayfirst is None:
+                _ambiguous(r.column, on_ambiguous)
             order = default_dayfirst() if r.dayfirst is None else r.dayfirst
             parsed[r.column] = parse_timestamp(F.col(r.column), order)
     return df.withColumns(parsed) if parsed else df
 
 
-def convert_dates(df: DataFrame, columns: Sequence[str] | None = None, on_error: str = "keep") -> DataFrame:
+def convert_dates(
+    df: DataFrame, columns: Sequence[str] | None = None, on_error: str = "keep", on_ambiguous: str = "default"
+) -> DataFrame:
     """Parse the text date columns, each in the order its own values prove."""
-    return apply_readings(df, date_readings(df, columns), on_error)
+    return apply_readings(df, date_readings(df, columns), on_error, on_ambiguous)
 
 
 # --- all together ----------------------------------------------------------------

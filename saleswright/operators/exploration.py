@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from saleswright.functions.dates import weekday_rank
-from saleswright.functions.numeric import exact_mean, exact_sum, percent_of
+from saleswright.functions.numeric import exact_mean, exact_sum, nan_to_null, percent_of
 from saleswright.functions.quantiles import box_summary, exact_quantiles, quantile_edges
 from saleswright.operators.filters import numeric_columns, project_existing
 
@@ -39,7 +39,7 @@ def kpi_summary(df: DataFrame) -> DataFrame:
 
 def monthly_period_trend(df: DataFrame) -> DataFrame:
     """Revenue and orders per month, with a sortable ``YYYY-MM`` period."""
-    period = F.concat_ws("-", F.col("year").cast("string"), F.lpad(F.col("month").cast("string"), 2, "0"))
+    period = F.concat(F.col("year").cast("string"), F.lit("-"), F.lpad(F.col("month").cast("string"), 2, "0"))
     monthly = df.groupBy(F.col("order_year").alias("year"), F.col("order_month").alias("month")).agg(
         _revenue(), F.count("sales").alias("orders")
     )
@@ -147,7 +147,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     names = list(columns) if columns is not None else numeric_columns(df)
     if len(names) < 2:
         raise ValueError("a correlation needs at least two numeric columns")
-    values = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(names)])
+    values = df.select(*[nan_to_null(F.col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(names)])
     stats, entries = [], []
     for i in range(len(names)):
         for j in range(i, len(names)):
@@ -183,15 +183,19 @@ def _iqr_bounds(df: DataFrame, value: str) -> DataFrame:
 
 
 def outlier_rows(df: DataFrame, value: str = "sales") -> DataFrame:
-    """Rows strictly outside 1.5 interquartile ranges of the middle half."""
+    """Rows strictly outside 1.5 interquartile ranges of the middle half; NaN is missing, not large."""
     b = _iqr_bounds(df, value).scalar()
-    return df.where((F.col(value) < b["lower"]) | (F.col(value) > b["upper"]))
+    x = nan_to_null(F.col(value).cast("double"))
+    return df.where((x < b["lower"]) | (x > b["upper"]))
 
 
 def iqr_outliers(df: DataFrame, value: str = "sales") -> DataFrame:
-    """Bounds, number, percentage and maximum of the outliers, as one row."""
+    """Bounds, number, percentage and maximum of the outliers, as one row.
+
+    ``total_count`` counts all rows, known or not; NaN is a missing value.
+    """
     b = _iqr_bounds(df, value).scalar()
-    x = F.col(value)
+    x = nan_to_null(F.col(value).cast("double"))
     outside = (x < b["lower"]) | (x > b["upper"])
     counts = df.agg(
         F.count("*").alias("total_count"),

@@ -14,9 +14,6 @@ from saleswright.workspace import stage
 SCATTER_ROWS = 2_000
 BOOTSTRAP_ROWS = 100_000
 
-#: Draws are broadcast up to this number: their size is known, 16 bytes a row.
-BROADCAST_DRAWS = 1_000_000
-
 
 def bounded_sample(
     df: DataFrame, keys: Sequence[str], size: int = SCATTER_ROWS, seed: int = 42
@@ -86,8 +83,7 @@ def bootstrap_resample(
 
     Row numbers follow the partitions of a file scan, so the input is first written
     to shared storage; ``staged=False`` is for an input that is a plain scan already.
-    Up to ``BROADCAST_DRAWS`` draws (16 bytes each) are sent to the table; more are
-    joined by shuffle. Dates are read in either order, so none is lost on the way.
+    How draws and rows are joined is Spark's choice, by their measured size. Dates are read in either order, so none is lost on the way.
     """
     columns = df.columns
     if staged:
@@ -97,7 +93,7 @@ def bootstrap_resample(
     # The draw is a 63-bit number modulo the row count: uniform far beyond any table size.
     pick = F.pmod(F.shiftrightunsigned(F.xxhash64(F.lit("row"), F.lit(seed), "_id"), 1), F.nullif(total, F.lit(0)))
     draws = draws.withColumn("_i", pick)
-    out = base.join(F.broadcast(draws) if size <= BROADCAST_DRAWS else draws, "_i").drop("_i")
+    out = base.join(draws, "_i").drop("_i")
     if "Row ID" in columns:
         out = out.withColumn("Row ID", F.col("_id"))
     if "Sales" in columns:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from saleswright.functions.jobs import side_by_side
 from saleswright.functions.numeric import exact_sum, round_half_up
 from saleswright.functions.rows import literal_rows
+from saleswright.workspace import stage
 from saleswright.operators.filters import project_existing
 
 log = logging.getLogger(__name__)
@@ -256,26 +257,40 @@ def plan_reports(
     return planned
 
 
-def run_all_reports(spark: SparkSession, planned: dict[str, DataFrame | Failure]) -> DataFrame:
-    """``(report, rows, error)``: how each planned report turned out.
+def compute_reports(spark: SparkSession, planned: dict[str, DataFrame | Failure]) -> dict[str, DataFrame | Failure]:
+    """Every report computed once, in full, and kept on shared storage in its order.
 
-    A report that fails while running is told apart from an empty one as well.
+    Counts, exports, headlines and views read the kept rows. A report that fails while
+    running, in any of its measures, is a ``Failure`` like one that could not be planned.
     """
 
-    def finish(entry: tuple[str, DataFrame | Failure]) -> tuple:
+    def finish(entry: tuple[str, DataFrame | Failure]) -> tuple[str, DataFrame | Failure]:
         key, result = entry
         if isinstance(result, Failure):
-            return key, None, result.error
+            return key, result
         try:
-            return key, result.count(), None
+            return key, stage(result.coalesce(1), key)
         except Exception as error:
             log.error("report %s failed: %s", key, error)
-            return key, None, str(error).splitlines()[0]
+            return key, Failure(str(error).splitlines()[0])
+
+    return dict(side_by_side(spark, finish, planned.items()))
+
 
-    outcome = side_by_side(spark, finish, planned.items())
+def report_outcomes(spark: SparkSession, computed: dict[str, DataFrame | Failure]) -> DataFrame:
+    """``(report, rows, error)``: how each computed report turned out."""
+    outcome = [
+        (key, None, result.error) if isinstance(result, Failure) else (key, result.count(), None)
+        for key, result in computed.items()
+    ]
     return literal_rows(spark, {"report": "string", "rows": "bigint", "error": "string"}, outcome)
 
 
+def run_all_reports(spark: SparkSession, planned: dict[str, DataFrame | Failure]) -> DataFrame:
+    """``(report, rows, error)`` after computing every planned report in full."""
+    return report_outcomes(spark, compute_reports(spark, planned))
+
+
 # The headline figures, as (metric, report, column) of a report's first row.
 HEADLINES = (
     ("total_orders", "total_revenue_summary", "total_orders"),

@@ -117,8 +117,9 @@ def scan_json(spark: SparkSession, path: str, schema: T.StructType | str | None
     Only JSON Lines can be split between tasks; the first character tells which of
     the two a file is.
     """
-    head = spark.read.text(path).where(F.trim("value") != "").limit(1).collect()
-    array = bool(head) and head[0][0].lstrip().startswith("[")
+    first = F.substring(F.ltrim("value"), 1, 1).alias("first")
+    head = spark.read.text(path).where(F.trim("value") != "").select(first).limit(1).collect()
+    array = bool(head) and head[0][0] == "["
     reader = spark.read.schema(schema) if schema else spark.read
     df = reader.json(path, multiLine=array)
     nested = [f.name for f in df.schema if isinstance(f.dataType, (T.StructType, T.MapType, T.ArrayType))]

@@ -162,12 +162,6 @@ def load_profile(spark, folder):
     return files.load_profile(raw_orders(spark, folder).toDF(*RAW_COLUMNS))
 
 
-@register("file_inventory")
-def file_inventory(spark, folder):
-    """The given tables as files; SQL does not see the folder, so rows only."""
-    return files.file_inventory(spark, folder)
-
-
 @register("save_processed", over_sales(digest("sales_data")))
 def save_processed(spark, folder):
     path = tables.save_processed(_clean(spark, folder), work_dir(spark))
