@@ -27,7 +27,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleswright import workspace
@@ -37,6 +37,8 @@ from saleswright.llm import text as T
 #: A pair is linked with ``100 * intersection >= PERCENT * union``.
 PERCENT = 75
 BANDS, ROWS, CIRCLE = 32, 4, 1 << 20
+#: Bits of the filter that spares texts from being read again; 16 MB once unpacked.
+FILTER_BITS = 1 << 24
 #: Sets in a chunk of a cluster.
 CHUNK = 256
 _K = BANDS * ROWS
@@ -116,15 +118,33 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return T.map_rows(both.select("a_id", "b_id", "a_shingles", "b_shingles"), "u bigint, v bigint", judge)
 
 
+def _place(doc_id: str) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(FILTER_BITS))
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, set_id, shingles)`` of the ``wanted`` (``doc_id, set_id``), written once."""
+    """``(doc_id, set_id, shingles)`` of the ``wanted`` (``doc_id, set_id``), written once.
+
+    A bitmap of fixed size, ``FILTER_BITS``, spares most texts that aren't wanted: it is
+    sent to all tasks, so texts needn't be shuffled. What it lets through is joined exactly.
+    """
+    place = _place("doc_id")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(F.lit(63)).cast("int"))
+    words = wanted.select(F.shiftright(place, 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    table = np.zeros(FILTER_BITS // 64, np.int64)
+    for row in words.toLocalIterator():
+        table[row["word"]] = row["bits"]
+    there = np.unpackbits(table.view(np.uint8), bitorder="little").tobytes()
+    shared = docs.sparkSession.sparkContext.broadcast(there)
 
     def work(batch: pa.RecordBatch) -> list:
+        bits = np.frombuffer(shared.value, bool)
+        batch = batch.filter(pa.array(bits[batch.column(2).to_numpy(zero_copy_only=False)]))
         found = [T.shingle_set(x) for x in batch.column(1).to_pylist()]
         return [batch.column(0), [set_id(x) for x in found], [x.tobytes() for x in found]]
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").where("text IS NOT NULL")
+    rows = rows.where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("place", _place("doc_id"))
     made = T.map_rows(rows, "doc_id bigint, set_id binary, shingles binary", work)
     return workspace.stage(made.join(wanted, ["doc_id", "set_id"], "left_semi").dropDuplicates(["doc_id", "set_id"]), "full_sets")
 
