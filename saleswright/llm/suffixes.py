@@ -115,6 +115,14 @@ def _release(*frames: DataFrame) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def _drop(written: DataFrame) -> None:
+    """Removes a level that has been merged into another one; nothing reads it any more."""
+    jvm, conf = written.sparkSession.sparkContext._jvm, written.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in written.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def _sorted_run(level: DataFrame) -> DataFrame:
     return workspace.stage(level.sortWithinPartitions("g", "c"), "level")
 
@@ -137,6 +145,8 @@ def family(texts: DataFrame, batches: int = BATCHES) -> tuple[list[DataFrame], D
             (size, x), (_, y) = levels.pop(), levels.pop()
             merged = x.union(y).repartitionByRange("g", "c", "t1")
             levels.append((2 * size, _sorted_run(merged)))
+            _drop(x)
+            _drop(y)
         _release(texts)
     return [x for _, x in levels], workspace.stage(met.distinct(), "met")
 
@@ -177,16 +187,16 @@ def _blocks(batch: pa.RecordBatch) -> list:
         cores.append(core.view(np.int64))
         wholes += [int(w) if f else None for w, f in zip(whole, full, strict=True)]
     if not which:
-        return [[] for _ in range(len(batch.schema.names) + 3)]
-    rows = batch.take(pa.array(np.concatenate(which)))
+        return [[] for _ in range(len(_ENTRY) + 3)]
+    rows = batch.take(pa.array(np.concatenate(which))).select(_ENTRY)
     return [*rows.columns, np.concatenate(blocks).tolist(), np.concatenate(cores).tolist(), wholes]
 
 
 def _strings(batch: pa.RecordBatch) -> list:
-    """Each string of a block by itself."""
+    """Each string of the open blocks of an entry by itself."""
     which, xs, prints = [], [], []
-    for (k, a, last, hashed), j in zip(_entries(batch), batch.column(batch.schema.names.index("block")).to_pylist(), strict=True):
-        x = np.arange(max(j * BLOCK, a - last), min(j * BLOCK + BLOCK - 1, a) + 1)
+    for (k, a, last, hashed), open_ in zip(_entries(batch), batch.column(batch.schema.names.index("blocks")).to_pylist(), strict=True):
+        x = np.concatenate([np.arange(max(j * BLOCK, a - last), min(j * BLOCK + BLOCK - 1, a) + 1) for j in open_])
         which.append(np.full(len(x), k))
         xs.append(x)
         prints.append(hashed.of(a - x, a - x + LENGTH, 7).view(np.int64))
@@ -201,6 +211,32 @@ def named_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select("doc_id", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"), F.col("text").cast("binary").alias("text"))
 
 
+FILTER_BITS = 1 << 24
+
+
+def maybe(texts: DataFrame, wanted: DataFrame, there: bool = True) -> DataFrame:
+    """The texts that a bitmap of fixed size takes for ``wanted``, or those that it rules out.
+
+    At most ``FILTER_BITS`` bits are sent to the tasks, so that most other texts needn't be shuffled.
+    """
+    words = (
+        wanted.select(F.shiftright(F.pmod("t1", F.lit(FILTER_BITS)), 6).alias("word"), F.pmod("t1", F.lit(64)).cast("int").alias("bit"))
+        .groupBy("word").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit"))).alias("bits"))
+    )
+    table = np.zeros(FILTER_BITS // 64, np.int64)
+    for row in words.toLocalIterator():
+        table[row["word"]] = row["bits"]
+    shared = texts.sparkSession.sparkContext.broadcast(np.unpackbits(table.view(np.uint8), bitorder="little").tobytes())
+
+    def work(batch: pa.RecordBatch) -> list:
+        bits = np.frombuffer(shared.value, bool)
+        hit = bits[batch.column(1).to_numpy(zero_copy_only=False) & (FILTER_BITS - 1)] == there
+        return batch.filter(pa.array(hit)).columns
+
+    columns = texts.select("doc_id", "t1", "t2", "text")
+    return T.map_rows(columns, "doc_id bigint, t1 bigint, t2 bigint, text binary", work)
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES) -> DataFrame:
     """``(t1, t2, spans)``: the stretches of each distinct text that repeated strings cover, perhaps overlapping."""
     texts = named_texts(docs, id_col, text_col)
@@ -214,18 +250,21 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     several = contexts.groupBy("g").agg(F.count("*").alias("m")).where("m > 1").select("g")
     open_ = contexts.join(several, "g", "left_semi")
     by_text = open_.groupBy("t1", "t2").agg(F.collect_list(F.struct("g", "c", "a", "lo", "hi")).alias("entries"))
-    wanted = texts.select("t1", "t2", "text").join(by_text, ["t1", "t2"]).select("t1", "t2", "text", "entries")
+    by_text = workspace.stage(by_text, "open")
+    wanted = maybe(texts, by_text).join(by_text, ["t1", "t2"]).select("t1", "t2", "text", "entries")
     cut = T.map_rows(wanted, f"{LEVEL}, bytes binary", _cut_contexts, rows=64)
     cut = workspace.stage(cut.dropDuplicates(["g", "c"]), "entries")
     _release(docs)
-    blocks = workspace.stage(T.map_rows(cut, f"{LEVEL}, bytes binary, block int, core bigint, whole bigint", _blocks), "blocks")
+    blocks = workspace.stage(T.map_rows(cut, f"{LEVEL}, block int, core bigint, whole bigint", _blocks), "blocks")
     shared = blocks.groupBy("g", "block", "core").agg(
         F.count("*").alias("m"), F.count("whole").alias("w"), F.min("whole").alias("x"), F.max("whole").alias("y")
     ).where("m > 1").select("g", "block", "core", F.expr("w = m AND x = y").alias("alike"))
-    judged = workspace.stage(blocks.join(shared, ["g", "block", "core"]), "judged")
+    judged = blocks.join(shared, ["g", "block", "core"]).select("g", "c", "t1", "t2", "a", "block", "alike")
+    judged = workspace.stage(judged, "judged")
     _release(docs)
+    still = judged.where("NOT alike").groupBy("g", "c").agg(F.collect_list("block").alias("blocks"))
     single = T.map_rows(
-        judged.where("NOT alike").select(*_ENTRY, "bytes", "block"), "g bigint, t1 bigint, t2 bigint, a int, x int, print bigint", _strings
+        cut.join(still, ["g", "c"]).select(*_ENTRY, "bytes", "blocks"), "g bigint, t1 bigint, t2 bigint, a int, x int, print bigint", _strings
     )
     single = workspace.stage(single, "strings")
     twice = single.groupBy("g", "x", "print").agg(F.count("*").alias("m")).where("m > 1").drop("m")
@@ -268,9 +307,8 @@ def _removed(batch: pa.RecordBatch) -> list:
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans)``, one row per document."""
     found = repeated_spans(docs, id_col, text_col, batches)
-    rows = named_texts(docs, id_col, text_col).join(found, ["t1", "t2"], "left").select("doc_id", "text", "spans")
-    return T.map_rows(
-        rows,
-        "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<from: int, to: int>>",
-        _removed,
-    )
+    texts = named_texts(docs, id_col, text_col)
+    touched = maybe(texts, found).join(found, ["t1", "t2"], "left").select("doc_id", "text", "spans")
+    whole = maybe(texts, found, there=False).withColumn("spans", F.lit(None).cast("array<struct<from: int, to: int>>"))
+    schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<from: int, to: int>>"
+    return T.map_rows(touched, schema, _removed).union(T.map_rows(whole.select("doc_id", "text", "spans"), schema, _removed))
