@@ -1,14 +1,19 @@
 """Exact quantiles that never hold a group's values in one task.
 
 The built-in exact ``percentile`` keeps a value -> count map per group in a single
-buffer, which grows with the data. Here a quantile takes two narrow scans instead:
+buffer, which grows with the data. Here a quantile takes three narrow scans instead:
 
 1. Every value falls into a narrow, logarithmic bucket. The bucket totals per group
    are combined on the map side and form a small table; its running sum tells in
    which bucket a wanted rank lies.
-2. The second scan keeps only the values of those few buckets (a scalar subquery
-   filters them before anything is shuffled), counts them and orders them, one
-   window partition per bucket.
+2. Each bucket that holds a wanted rank is cut into ``CELLS`` cells of equal width
+   between its own least and largest value, whose totals tell the cell in the same way.
+   So values far from zero, or close to it, are told apart as well.
+3. The last scan keeps only the values of the wanted cells, counts them and orders
+   them, one window partition per cell.
+
+Which rows a scan keeps is a join with the wanted buckets or cells, or without groups,
+where they are at most two per quantile, a scalar subquery.
 
 Nothing is sampled or approximated, copies of a value collapse in the map-side
 combine, and a dominant group is spread over its buckets.
@@ -28,9 +33,8 @@ from saleswright.functions.numeric import nan_to_null
 #: i.e. some 2,400 different cents around 100,000.
 BUCKETS_PER_EFOLD = 4096
 
-#: Up to this many wanted buckets the second scan is filtered by a list; with more
-#: (thousands of groups) all rows go on to the join with the wanted buckets.
-MAX_LISTED_BUCKETS = 2_000
+#: Cells into which a wanted bucket is cut.
+CELLS = 65_536
 
 
 def _bucket(x: Column) -> Column:
@@ -52,32 +56,25 @@ def _histogram(rows: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def _values_in(rows: DataFrame, wanted: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Distinct values with counts in the ``wanted`` (group, bucket) cells.
-
-    ``wanted`` has ``by..., _b`` and one struct column ``_w`` that is carried along.
-    """
+def _rows_in(rows: DataFrame, wanted: DataFrame, by: Sequence[str], key: str) -> DataFrame:
+    """The ``rows`` of the ``wanted`` (group, ``key``) cells, with their struct column ``_w``."""
     if not by:
-        # A handful of buckets: one subquery both filters and attaches.
-        cells = wanted.agg(F.map_from_entries(F.collect_list(F.struct("_b", "_w")))).scalar()
-        hit = rows.where(F.array_contains(F.map_keys(cells), F.col("_b")))
-        return (
-            hit.groupBy("_b", "_x")
-            .agg(F.count("*").alias("_n"))
-            .withColumn("_w", F.try_element_at(cells, F.col("_b")))
-        )
-    listed = wanted.agg(
-        F.when(F.count_distinct("_b") <= MAX_LISTED_BUCKETS, F.collect_set("_b")).alias("l")
-    ).scalar()
-    hit = rows.where(listed.isNull() | F.array_contains(listed, F.col("_b")))
-    values = hit.groupBy(*by, "_b", "_x").agg(F.count("*").alias("_n"))
-    cells = wanted.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)], F.col("_b").alias("_kb"), "_w"
-    )
-    cond = values["_b"] == cells["_kb"]
+        # At most two buckets or cells per quantile or bound: one subquery both filters and attaches.
+        cells = wanted.agg(F.map_from_entries(F.collect_list(F.struct(key, "_w")))).scalar()
+        hit = rows.where(F.array_contains(F.map_keys(cells), F.col(key)))
+        return hit.withColumn("_w", F.try_element_at(cells, F.col(key)))
+    cells = wanted.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)], F.col(key).alias("_kb"), "_w")
+    cond = rows[key] == cells["_kb"]
     for i, k in enumerate(by):
-        cond = cond & values[k].eqNullSafe(cells[f"_k{i}"])
-    return values.join(cells, cond).select(*by, "_b", "_x", "_n", "_w")
+        cond = cond & rows[k].eqNullSafe(cells[f"_k{i}"])
+    return rows.join(cells, cond).select(*rows.columns, "_w")
+
+
+def _cell(x: Column, box: Column) -> Column:
+    """The cell of a value, counted through all buckets; it never falls as the value grows."""
+    width = box["_max"] - box["_min"]
+    inside = F.floor((x - box["_min"]) / F.nullif(width, F.lit(0.0)) * F.lit(float(CELLS)))
+    return F.col("_b") * CELLS + F.coalesce(F.least(inside, F.lit(CELLS - 1)), F.lit(0)).cast("bigint")
 
 
 def exact_quantiles(
@@ -97,12 +94,14 @@ def _quantiles(
     rows: DataFrame, hist: DataFrame, probs: Sequence[float], by: list[str]
 ) -> DataFrame:
     group = Window.partitionBy(*by)
-    upto = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = (Window.unboundedPreceding, Window.currentRow)
     cumulated = hist.select(
         *by,
         "_b",
         "_n",
-        (F.sum("_n").over(upto) - F.col("_n")).alias("_before"),
+        "_min",
+        "_max",
+        (F.sum("_n").over(group.orderBy("_b").rowsBetween(*upto)) - F.col("_n")).alias("_before"),
         F.sum("_n").over(group).alias("_total"),
     )
 
@@ -113,21 +112,36 @@ def _quantiles(
     def holds(rank: Column, start: Column, size: Column) -> Column:
         return (rank >= start) & (rank < start + size)
 
-    needed = F.lit(False)
-    for p in probs:
-        for rank in ranks(p, F.col("_total"))[1:]:
-            needed = needed | holds(rank, F.col("_before"), F.col("_n"))
-    wanted = cumulated.where(needed).select(*by, "_b", F.struct("_before", "_total").alias("_w"))
+    def needed(start: Column) -> Column:
+        found = F.lit(False)
+        for p in probs:
+            for rank in ranks(p, F.col("_total"))[1:]:
+                found = found | holds(rank, start, F.col("_n"))
+        return found
 
-    inside = (
-        Window.partitionBy(*by, "_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    wanted = cumulated.where(needed(F.col("_before"))).select(
+        *by, "_b", F.struct("_before", "_total", "_min", "_max").alias("_w")
+    )
+    celled = _rows_in(rows, wanted, by, "_b").withColumn("_c", _cell(F.col("_x"), F.col("_w")))
+    cells = celled.groupBy(*by, "_b", "_c").agg(F.count("*").alias("_n"), F.first("_w").alias("_w"))
+    inside = Window.partitionBy(*by, "_b").orderBy("_c").rowsBetween(*upto)
+    wanted_cells = (
+        cells.select(
+            *by, "_c", "_n", F.col("_w._total").alias("_total"),
+            (F.col("_w._before") + F.sum("_n").over(inside) - F.col("_n")).alias("_before"),
+        )
+        .where(needed(F.col("_before")))
+        .select(*by, "_c", F.struct("_before", "_total").alias("_w"))
     )
-    ranked = _values_in(rows, wanted, by).select(
+    values = _rows_in(celled.drop("_w"), wanted_cells, by, "_c")
+    counted = values.groupBy(*by, "_c", "_x").agg(F.count("*").alias("_n"), F.first("_w").alias("_w"))
+    ordered = Window.partitionBy(*by, "_c").orderBy("_x").rowsBetween(*upto)
+    ranked = counted.select(
         *by,
         "_x",
         "_n",
         F.col("_w._total").alias("_total"),
-        (F.col("_w._before") + F.sum("_n").over(inside) - F.col("_n")).alias("_start"),
+        (F.col("_w._before") + F.sum("_n").over(ordered) - F.col("_n")).alias("_start"),
     )
     picks = []
     for i, p in enumerate(probs):
@@ -200,7 +214,8 @@ def box_summary(df: DataFrame, value: str, by: Sequence[str] = (), reach: float
     )
     edges = boxed.where(cut).select(*by, "_b", F.col("_box").alias("_w"))
     x = F.col("_x")
-    split = _values_in(rows, edges, by).select(
+    cut_values = _rows_in(rows, edges, by, "_b").groupBy(*by, "_b", "_x").agg(F.count("*").alias("_n"), F.first("_w").alias("_w"))
+    split = cut_values.select(
         *by,
         F.col("_w").alias("_box"),
         x.alias("_min"),

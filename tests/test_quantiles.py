@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from saleswright.functions import quantiles as q
 
@@ -47,15 +48,26 @@ def test_overall(spark, name):
     assert row.quantiles == _brute(values, PROBS)
 
 
-@pytest.mark.parametrize("limit", [2000, 1])
-def test_grouped(spark, monkeypatch, limit):
-    """With the bucket list as a filter, and beyond its limit."""
-    monkeypatch.setattr(q, "MAX_LISTED_BUCKETS", limit)
+def test_grouped(spark):
     groups = {**SAMPLES, None: [1.0, 2.0, 4.0]}
     rows = q.exact_quantiles(_frame(spark, groups), "v", PROBS, ["g"]).collect()
     assert {r.g: r.quantiles for r in rows} == {g: _brute(v, PROBS) for g, v in groups.items()}
 
 
+@pytest.mark.parametrize("value", ["1.5e9D + id", "1D + id * 1e-9D"])
+def test_close_values_are_told_apart(spark, value):
+    """A million values far from zero: no cell, hence no task, holds more than a few of them."""
+    df = spark.range(1_000_000).select(F.expr(value).alias("v"))
+    row = q.exact_quantiles(df, "v", (0.5,)).first()
+    assert row["count"] == 1_000_000
+    expected = df.agg(F.expr("percentile(v, 0.5)")).first()[0]
+    assert row.quantiles[0] == pytest.approx(expected, rel=1e-15)
+    rows = q._bucketed(df, "v", [])
+    boxes = q._histogram(rows, []).select("_b", F.struct("_min", "_max").alias("w"))
+    cells = rows.join(boxes, "_b").groupBy(q._cell(F.col("_x"), F.col("w"))).count()
+    assert cells.agg(F.max("count")).first()[0] <= 100
+
+
 def test_nulls_and_nan_are_ignored(spark):
     df = spark.createDataFrame([(None,), (float("nan"),), (1.0,), (3.0,)], "v double")
     row = q.exact_quantiles(df, "v", (0.5,)).first()
