@@ -37,12 +37,12 @@ SHORT_LINE = 3
 SYMBOLS = "#*$%&|<>"
 _SPACES = " \t\n\x0b\x0c\r"
 _ENDS = tuple(".!?:;\"'”’»…。！？)]}")
-_SEPARATOR = re.compile(r"[|»›·•]|(?<=\s)[/>](?=\s)")
-_BOILERPLATE = re.compile(
+_SEPARATOR = re.compile("[|»›·•]")
+BOILERPLATE = (
     r"all rights reserved|terms of (use|service)|privacy policy|cookie policy|accept (all )?cookies|enable javascript"
-    r"|javascript is (disabled|required)|subscribe to our newsletter|click here to|lorem ipsum|skip to (main )?content",
-    re.IGNORECASE,
+    r"|javascript is (disabled|required)|subscribe to our newsletter|click here to|lorem ipsum|skip to (main )?content"
 )
+_BOILERPLATE = re.compile(BOILERPLATE, re.IGNORECASE)
 _FIELDS = (
     "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
     "n_failed_lines bigint, lost_chars bigint, base_failed boolean, kept boolean, clean_text string"
@@ -54,7 +54,7 @@ def line_fails(line: str, first: bool) -> bool:
     words = line.encode().split()
     if not words:
         return False
-    separators = len(_SEPARATOR.findall(line))
+    separators = len(_SEPARATOR.findall(line)) + words.count(b"/") + words.count(b">")
     if separators >= MIN_SEPARATORS and len(words) <= (ITEM_WORDS + 1) * (separators + 1):
         return True
     if _BOILERPLATE.search(line):

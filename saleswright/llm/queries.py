@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleswright.llm import bytebpe, fingerprints, lines, neardup, packing, quality, repair, secrets, suffixes, tokens, urls
+from saleswright.llm import text as T
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -153,3 +154,75 @@ LEFT JOIN (SELECT doc_id, count(*) AS n FROM worded GROUP BY doc_id) w USING (do
 def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """What repeated strings of 200 bytes take from each document."""
     return suffixes.without_repeats(table(spark, folder, "documents")).drop("spans")
+
+
+_GAP = r"[\x20\x09-\x0D]"
+SQL["op7_quality_rules"] = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), runs AS (
+  SELECT doc_id, unnest(range(1, len(words) - {T.WIDTH - 2})) AS p, words FROM d WHERE len(words) >= {T.WIDTH}
+), counted AS (
+  SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, words[p:p + {T.WIDTH - 1}]) AS n FROM runs
+), repeated AS (
+  SELECT doc_id, count(DISTINCT p + k) AS n FROM counted, (SELECT unnest(range({T.WIDTH})) AS k) WHERE n > 1 GROUP BY doc_id
+), every AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS idx FROM d
+), l AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY idx) AS nth, length(regexp_replace(line, '{_GAP}', '', 'g')) AS chars,
+    regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS words
+  FROM every WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), s AS (
+  SELECT *, length(regexp_replace(line, '[^|»›·•]', '', 'g')) + len(list_filter(words, lambda w: w IN ('/', '>'))) AS seps,
+    len(list_filter(words, lambda w: regexp_matches(w, '(!!|\?\?)\.?$'))) AS shouted,
+    length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) AS symbols
+  FROM l
+), f AS (
+  SELECT doc_id, line, chars,
+    (seps >= {quality.MIN_SEPARATORS} AND len(words) <= {quality.ITEM_WORDS + 1} * (seps + 1))
+    OR regexp_matches(line, '{quality.BOILERPLATE}', 'i')
+    OR (len(words) >= 2 AND shouted > {quality.MAX_SHOUTED} * len(words))
+    OR symbols > {quality.MAX_SYMBOLS}::DOUBLE * length(line)
+    OR (nth > 1 AND len(words) <= {quality.SHORT_LINE}
+        AND NOT regexp_matches(line, '[.!?:;"''”’»…。！？)\]}}]{_GAP}*$')) AS fails
+  FROM s
+), g AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS dups, count(*) FILTER (fails) AS failed, sum(chars) FILTER (fails) AS lost
+  FROM f GROUP BY doc_id
+), b AS (
+  SELECT d.doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(text, '{_GAP}', '', 'g'))::BIGINT AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(dups, 0)::BIGINT AS n_dup_lines,
+    coalesce(r.n, 0)::BIGINT AS n_repeat_words, coalesce(failed, 0)::BIGINT AS n_failed_lines, coalesce(lost, 0)::BIGINT AS lost_chars
+  FROM d LEFT JOIN g USING (doc_id) LEFT JOIN repeated r USING (doc_id)
+), v AS (
+  SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEATED} * n_words AS base_failed FROM b
+)
+SELECT *, NOT base_failed AND lost_chars <= {quality.MAX_LOST}::DOUBLE * word_chars AS kept FROM v
+"""
+
+SQL["op8_minhash_near_dedup"] = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT doc_id, list_sort(list_distinct(list_transform(range(1, greatest(2, len(words) - {T.WIDTH - 2})),
+    lambda p: array_to_string(words[p:p + {T.WIDTH - 1}], ' ')))) AS shingles
+  FROM d WHERE len(words) > 0
+), c AS (
+  SELECT shingles, min(doc_id) AS rep, len(shingles) AS n FROM s GROUP BY shingles
+), e AS (
+  SELECT rep, n, unnest(shingles) AS shingle FROM c
+), linked AS (
+  SELECT a.rep AS u, b.rep AS v FROM e a JOIN e b ON a.shingle = b.shingle AND a.rep < b.rep
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= {neardup.PERCENT} * (a.n + b.n - count(*))
+), edges AS (
+  SELECT u, v FROM linked UNION ALL SELECT v, u FROM linked
+), reach AS (
+  SELECT rep AS u, rep AS v FROM c UNION SELECT r.u, e.v FROM reach r JOIN edges e ON r.v = e.u
+), component AS (
+  SELECT u, min(v) AS component_id FROM reach GROUP BY u
+)
+SELECT documents.doc_id, coalesce(len(s.shingles), 0)::BIGINT AS n_shingles,
+  coalesce(component_id, documents.doc_id) AS component_id, coalesce(component_id, documents.doc_id) = documents.doc_id AS kept
+FROM documents LEFT JOIN s USING (doc_id) LEFT JOIN c USING (shingles) LEFT JOIN component ON component.u = c.rep
+"""
