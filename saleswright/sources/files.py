@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,8 @@ from saleswright.functions.numeric import nan_to_null, percent_of
 from saleswright.functions.rows import literal_rows
 from saleswright.sources import storage
 
+log = logging.getLogger(__name__)
+
 # File extensions that can be read.
 FORMATS = {".csv": "CSV", ".json": "JSON", ".parquet": "Parquet"}
 
@@ -64,12 +67,14 @@ def scan_csv(
     path: str,
     types: dict[str, str] | None = None,
     multi_line: bool | None = None,
+    on_error: str = "raise",
 ) -> DataFrame:
     """A UTF-8 CSV file, or a folder of them, with a header.
 
     The usual missing-value texts become NULL before any typing, so one ``NA`` does
-    not turn a number column into text. Columns in ``types`` are cast without
-    looking at the data; the types of all others come from one aggregate.
+    not turn a number column into text. The types of columns that are not in ``types``
+    come from one aggregate, which also counts the values that a declared type cannot
+    hold: ``on_error="raise"`` names them, ``"null"`` logs their number and makes them NULL.
 
     A file with line breaks inside quotes cannot be split between tasks, so by
     default one cheap scan finds out whether there are any; pass ``multi_line`` to
@@ -80,31 +85,44 @@ def scan_csv(
     raw = spark.read.csv(path, header=True, inferSchema=False, escape='"', multiLine=multi_line, encoding="UTF-8")
     texts = raw.select(*[F.when(~column(c).isin(*NA_TOKENS), column(c)).alias(c) for c in raw.columns])
     declared = types or {}
-    inferred = _infer_types(texts, [c for c in texts.columns if c not in declared])
+    inferred = _infer_types(texts, [c for c in texts.columns if c not in declared], declared, on_error)
     kinds = {**inferred, **declared}
     return nan_as_null(texts.select(*[column(c).try_cast(kinds[c]).alias(c) for c in texts.columns]))
 
 
 _TYPE_PATTERNS = {
     "bigint": r"^\s*[+-]?[0-9]{1,18}\s*$",
+    "decimal(38,0)": r"^\s*[+-]?[0-9]{1,38}\s*$",
     "double": r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+|inf|Infinity)([eE][+-]?[0-9]+)?\s*$",
     "boolean": r"^(true|True|TRUE|false|False|FALSE)$",
 }
 
 
-def _infer_types(texts: DataFrame, columns: Sequence[str]) -> dict[str, str]:
-    """The narrowest of bigint, double, boolean and string that holds every value.
+def _infer_types(
+    texts: DataFrame, columns: Sequence[str], declared: dict[str, str], on_error: str
+) -> dict[str, str]:
+    """The narrowest of bigint, decimal, double, boolean and string that holds every value.
 
-    Values are matched, not cast: a failing cast costs an exception per value.
+    Values are matched, not cast: a failing cast costs an exception per value. Declared
+    columns are cast, and those with values that fail are told.
     """
-    if not columns:
+    told = {c: kind for c, kind in declared.items() if c in texts.columns and kind != "string"}
+    if not columns and not told:
         return {}
-    checks = []
+    checks = [
+        F.count_if(column(c).isNotNull() & column(c).try_cast(kind).isNull()).alias(f"bad{i}")
+        for i, (c, kind) in enumerate(told.items())
+    ]
     for i, name in enumerate(columns):
         text = column(name)
         checks.append(F.count(text).alias(f"n{i}"))
         checks += [F.count_if(~text.rlike(p)).alias(f"{kind}{i}") for kind, p in _TYPE_PATTERNS.items()]
     row = texts.agg(*checks).first()
+    bad = {c: row[f"bad{i}"] for i, c in enumerate(told) if row[f"bad{i}"]}
+    if bad and on_error == "raise":
+        raise ValueError(f"values that their declared types cannot hold, by column: {bad}")
+    if bad:
+        log.warning("values that their declared types cannot hold become NULL, by column: %s", bad)
     return {
         name: next((k for k in _TYPE_PATTERNS if row[f"n{i}"] and not row[f"{k}{i}"]), "string")
         for i, name in enumerate(columns)

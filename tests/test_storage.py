@@ -172,3 +172,13 @@ def test_work_dir_needs_shared_storage_on_a_cluster(spark, monkeypatch):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         workspace.work_dir(Session())
     assert "saleswright" in workspace.work_dir(spark)
+
+
+def test_declared_types_never_lose_values_silently(spark, tmp_path, caplog):
+    (tmp_path / "x.csv").write_text('Id,Sales\n12345678901234567890,7\n12345678901234567891,"1,234.50"\n')
+    with pytest.raises(ValueError, match="Sales.*1"):
+        files.scan_csv(spark, str(tmp_path / "x.csv"), types={"Sales": "double"})
+    with caplog.at_level("WARNING"):
+        df = files.scan_csv(spark, str(tmp_path / "x.csv"), types={"Sales": "double"}, on_error="null")
+    assert "Sales" in caplog.text and sorted(r.Sales or 0 for r in df.collect()) == [0, 7.0]
+    assert df.select("Id").distinct().count() == 2 and dict(df.dtypes)["Id"] == "decimal(38,0)"
