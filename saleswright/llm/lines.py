@@ -9,6 +9,10 @@ array with a common prefix of at least that length: the repeated runs. A maximal
 run is the union of its overlapping stretches of that length, so the first copy of each
 stretch (by doc_id, then place) stays and the lines of later ones go.
 
+By lines alone, a passage of one or two lines is never a run, however long. With ``min_words``
+a shorter run counts too when it has more words than that: the rounds before the last find
+these runs anyway, and take the words of each along.
+
 DataFrame operations only. Ranks come from sorted distinct pairs, each with its count, so a
 line that fills a third of the corpus is one row of every sort.
 
@@ -20,6 +24,8 @@ and added ones evade their names.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +34,10 @@ from saleswright.llm import text as T
 
 #: Lines in the shortest run that counts as repeated.
 MIN_LINES = 3
+#: With this as ``min_words``, a shorter run counts as repeated when it has more words.
+MIN_WORDS = 50
 _BLANK = " \t\r\x0b\x0c"
+_WORD = r"[^\x20\x09-\x0D]+"
 
 
 def _worded(text: Column) -> Column:
@@ -37,10 +46,20 @@ def _worded(text: Column) -> Column:
     return F.filter(numbered, lambda x: F.btrim(x["line"], F.lit(_BLANK)) != "")
 
 
-def suffixes(held: DataFrame) -> DataFrame:
-    """``(row, doc_id, pos, h1, h2)``: one suffix per line of ``held`` (``row, doc_id, text``)."""
-    hashed = F.transform(_worded(F.col("text")), lambda x: F.struct(F.xxhash64(x["line"]).alias("h1"), F.xxhash64(F.lit(1), x["line"]).alias("h2")))
-    return held.select("row", "doc_id", F.posexplode(hashed).alias("pos", "h")).select("row", "doc_id", "pos", "h.h1", "h.h2")
+def suffixes(held: DataFrame, worded: bool = False) -> DataFrame:
+    """``(row, doc_id, pos, h1, h2)``: one suffix per line of ``held`` (``row, doc_id, text``).
+
+    If ``worded``, also ``words`` and ``last``: the words of the run so far and of its last line.
+    """
+
+    def one(x: Column) -> Column:
+        fields = [F.xxhash64(x["line"]).alias("h1"), F.xxhash64(F.lit(1), x["line"]).alias("h2")]
+        if worded:
+            fields.append(F.regexp_count(x["line"], F.lit(_WORD)).cast("bigint").alias("words"))
+        return F.struct(*fields)
+
+    found = held.select("row", "doc_id", F.posexplode(F.transform(_worded(F.col("text")), one)).alias("pos", "h")).select("row", "doc_id", "pos", "h.*")
+    return found.withColumn("last", F.col("words")) if worded else found
 
 
 def _ranked(keyed: DataFrame, keys: list[str]) -> DataFrame:
@@ -49,7 +68,25 @@ def _ranked(keyed: DataFrame, keys: list[str]) -> DataFrame:
     groups = keyed.groupBy(*keys).agg(F.count("*").alias("copies"), F.min(place).alias("first")).where("copies > 1")
     ranks = workspace.stage(groups.orderBy(*keys).withColumn("rank", F.monotonically_increasing_id()), "ranks")
     ranked = keyed.join(ranks.drop("copies"), keys)
-    return workspace.stage(ranked.select("row", "doc_id", "pos", "rank", "first"), "suffixes")
+    carried = [c for c in ("words", "last") if c in keyed.columns]
+    return workspace.stage(ranked.select("row", "doc_id", "pos", "rank", "first", *carried), "suffixes")
+
+
+def _rounds(held: DataFrame, min_lines: int, min_words: int | None) -> Iterator[tuple[int, DataFrame]]:
+    """``(length, suffixes)`` of each round; with ``min_words`` no length up to ``min_lines`` is left out."""
+    worded = min_words is not None
+    now, length = _ranked(suffixes(held, worded), ["h1", "h2"]), 1
+    yield length, now
+    while length < min_lines:
+        step = 1 if worded else min(length, min_lines - length)
+        tail = [F.col("last").alias("last2")] if worded else []
+        ahead = now.select("row", (F.col("pos") - step).alias("pos"), F.col("rank").alias("rank2"), *tail)
+        totals = ["words"] if worded else []
+        pairs = now.select("row", "doc_id", "pos", F.col("rank").alias("rank1"), *totals).join(ahead, ["row", "pos"])
+        if worded:
+            pairs = pairs.withColumn("words", F.col("words") + F.col("last2")).withColumnRenamed("last2", "last")
+        now, length = _ranked(pairs, ["rank1", "rank2"]), length + step
+        yield length, now
 
 
 def repeated_runs(held: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
@@ -57,31 +94,34 @@ def repeated_runs(held: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
 
     ``rank`` is the place of that prefix in the order of all repeated ones, ``first`` its first suffix.
     """
-    now, length = _ranked(suffixes(held), ["h1", "h2"]), 1
-    while length < min_lines:
-        step = min(length, min_lines - length)
-        ahead = now.select("row", (F.col("pos") - step).alias("pos"), F.col("rank").alias("rank2"))
-        pairs = now.select("row", "doc_id", "pos", F.col("rank").alias("rank1")).join(ahead, ["row", "pos"])
-        now, length = _ranked(pairs, ["rank1", "rank2"]), length + step
-    return now
+    *_, (_, runs) = _rounds(held, min_lines, None)
+    return runs
 
 
-def removed_lines(held: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def removed_lines(held: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
     """``(row, removed)``: the ordered places, among lines with words, that lie in a later copy of a run."""
-    later = repeated_runs(held, min_lines).where("NOT (row <=> first.row AND pos = first.pos)")
-    covered = later.select("row", F.explode(F.sequence("pos", F.col("pos") + min_lines - 1)).alias("pos"))
+    covered = None
+    for length, runs in _rounds(held, min_lines, min_words):
+        if length < min_lines:
+            if min_words is None:
+                continue
+            runs = runs.where(F.col("words") > min_words)
+        later = runs.where("NOT (row <=> first.row AND pos = first.pos)")
+        places = later.select("row", F.explode(F.sequence("pos", F.col("pos") + length - 1)).alias("pos"))
+        covered = places if covered is None else covered.unionByName(places)
     return covered.groupBy("row").agg(F.sort_array(F.collect_set("pos")).alias("removed"))
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, report: str | None = None) -> DataFrame:
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, report: str | None = None, min_words: int | None = None) -> DataFrame:
     """The documents with all their columns, without the lines of later copies; ``n_chars`` is set anew.
 
+    ``min_words`` lets runs of fewer than ``min_lines`` lines count when they have more words than that.
     ``report`` names a further column for ``(n_lines, n_removed, n_runs, longest_run)``.
     """
     row, removed = T.free_name(docs, "row"), T.free_name(docs, "removed")
     held = workspace.stage(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
     text = F.col(text_col).cast("string")
-    gone = removed_lines(held.select(F.col(row).alias("row"), F.col(id_col).alias("doc_id"), text.alias("text")), min_lines)
+    gone = removed_lines(held.select(F.col(row).alias("row"), F.col(id_col).alias("doc_id"), text.alias("text")), min_lines, min_words)
     joined = held.join(gone.select(F.col("row").alias(row), F.col("removed").alias(removed)), row, "left")
     places = F.coalesce(F.col(removed), F.array().cast("array<int>"))
     lines, worded = F.split(text, "\n", -1), _worded(text)
