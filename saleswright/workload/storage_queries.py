@@ -15,6 +15,7 @@ from saleswright.plans.sales_table import FEATURE_INPUTS, raw_orders, sales_data
 from saleswright.sinks import exports, tables
 from saleswright.sources import files
 from saleswright.workload.cleaning_queries import summary
+from saleswright.plans.reports import report_views
 from saleswright.workload.report_queries import REPORT_SQL, SQL as REPORT_FULL_SQL, planned
 from saleswright.workload.sql import (
     DIGEST_COLUMNS,
@@ -280,6 +281,143 @@ def report_book(spark, folder):
     return book.where(chosen).select("report", "row", F.col("value").alias("label"))
 
 
+# --- whole results: every cell of the reports, every column of the loaders ----------
+
+
+def _cells_sql(parts: dict[str, str]) -> str:
+    """All cells of ordered results: a number where the text is one, else the text."""
+    return "\nUNION ALL\n".join(
+        f"SELECT '{k}' AS report, row, \"column\", try_cast(value AS DOUBLE) AS number, "
+        "CASE WHEN try_cast(value AS DOUBLE) IS NULL THEN value END AS text FROM "
+        f"(SELECT row, COLUMNS(* EXCLUDE (row))::VARCHAR FROM (SELECT row_number() OVER () AS row, * FROM ({s}))) "
+        'UNPIVOT INCLUDE NULLS (value FOR "column" IN (COLUMNS(* EXCLUDE (row))))'
+        for k, s in parts.items()
+    )
+
+
+def _cells(results):
+    number = F.col("value").try_cast("double")
+    return exports.report_book(results).select(
+        "report", "row", "column", number.alias("number"), F.when(number.isNull(), F.col("value")).alias("text")
+    )
+
+
+def _written_cells(spark, base, keys, plan):
+    """What the exports wrote, read as text."""
+    return {
+        k: files.scan_csv(spark, f"{base}/{k}", {c: "string" for c in plan[k].columns}, multi_line=False) for k in keys
+    }
+
+
+_SHOWN = {
+    "total_revenue_summary": ("total_orders, total_revenue, avg_order_value, min_sale, max_sale, std_dev_sales", 1),
+    "category_performance": ("category, order_count, total_revenue, revenue_share_pct", 5),
+    "region_performance": ("region, states_covered, cities_covered, total_orders, total_revenue", 5),
+    "segment_analysis": ("segment, unique_customers, total_orders, total_revenue, avg_order_value, revenue_per_customer", 5),
+    "top_10_customers": ("customer_name, segment, total_orders, total_revenue, avg_order_value", 10),
+    "shipping_mode_analysis": ("ship_mode, total_orders, total_revenue, avg_order_value, avg_shipping_days", 1000),
+    "top_10_products": ("product_name, category, times_ordered, total_revenue", 10),
+}
+
+
+@register("report_book_cells", over_sales(_cells_sql(REPORT_SQL)))
+def report_book_cells(spark, folder):
+    """The whole book: every cell of all planned reports."""
+    return _cells(planned(spark, folder))
+
+
+@register(
+    "report_views_cells",
+    over_sales(_cells_sql({k: f"SELECT {c} FROM ({REPORT_SQL[k]}) LIMIT {n}" for k, (c, n) in _SHOWN.items()})),
+)
+def report_views_cells(spark, folder):
+    """Every cell of the printed views."""
+    return _cells(report_views(planned(spark, folder)))
+
+
+@register("export_reports_csv_cells", over_sales(_cells_sql(REPORT_SQL)))
+def export_reports_csv_cells(spark, folder):
+    """Every cell of the written reports, read back."""
+    base, plan = work_dir(spark), planned(spark, folder)
+    return _cells(_written_cells(spark, base, exports.export_reports_csv(plan, base), plan))
+
+
+@register(
+    "export_report_bundle_cells",
+    over_sales(_cells_sql(REPORT_SQL | {"cleaned_data": f"SELECT * FROM ({digest('sales_data')}) ORDER BY order_year, category"})),
+)
+def export_report_bundle_cells(spark, folder):
+    """Every cell of the bundle's reports, and a digest of all columns of its data."""
+    base, plan = work_dir(spark), planned(spark, folder)
+    keys = exports.export_report_bundle(_clean(spark, folder), plan, base)
+    data = files.scan_csv(spark, f"{base}/cleaned_data.csv", _TYPES, multi_line=False)
+    ordered = summary(data).orderBy("order_year", "category")
+    return _cells(_written_cells(spark, f"{base}/reports", keys, plan) | {"cleaned_data": ordered})
+
+
+def _columns_sql(source: str, group: str, texts: list[str], numbers: list[str]) -> str:
+    """One row per group and column that reads all values: of a text a sum of hashes, of a number its total."""
+    parts = [
+        f"SELECT {group} AS key, '{c}' AS column, count(*) AS rows, count({c}) AS known, min(CAST({c} AS VARCHAR)) AS least, "
+        f"max(CAST({c} AS VARCHAR)) AS greatest, CAST(sum(CAST('0x' || substr(md5(CAST({c} AS VARCHAR)), 1, 8) AS BIGINT)) AS BIGINT) "
+        f"AS hashes, NULL::DOUBLE AS low, NULL::DOUBLE AS high, NULL::DOUBLE AS total FROM {source} GROUP BY 1"
+        for c in texts
+    ] + [
+        f"SELECT {group}, '{c}', count(*), count({c}), NULL, NULL, NULL, CAST(min({c}) AS DOUBLE), "
+        f"CAST(max({c}) AS DOUBLE), {total(c)} FROM {source} GROUP BY 1"
+        for c in numbers
+    ]
+    return "\nUNION ALL\n".join(parts)
+
+
+def _columns(df, group: str, texts: list[str], numbers: list[str]):
+    """The Spark side of ``_columns_sql``."""
+
+    def row(c):
+        value, number = F.col(c).cast("string"), c in numbers
+        hashed = F.conv(F.substring(F.md5(value), 1, 8), 16, 10).cast("bigint")
+        fields = {
+            "rows": F.count("*"),
+            "known": F.count(c),
+            "least": F.lit(None).cast("string") if number else F.min(value),
+            "greatest": F.lit(None).cast("string") if number else F.max(value),
+            "hashes": F.lit(None).cast("bigint") if number else F.sum(hashed),
+            "low": F.min(F.col(c).cast("double")) if number else F.lit(None).cast("double"),
+            "high": F.max(F.col(c).cast("double")) if number else F.lit(None).cast("double"),
+            "total": exact_sum(c) if number else F.lit(None).cast("double"),
+        }
+        return F.struct(F.lit(c).alias("column"), *[v.alias(k) for k, v in fields.items()])
+
+    grouped = df.groupBy(F.col(group).alias("key")).agg(F.array(*map(row, texts + numbers)).alias("columns"))
+    return grouped.select("key", F.inline("columns"))
+
+
+_LINE_TEXTS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate"]
+_LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("load_dataset_columns", _columns_sql("lineitem", "l_linenumber", _LINE_TEXTS, _LINE_NUMBERS))
+def load_dataset_columns(spark, folder):
+    """A digest of all columns of the loaded table."""
+    return _columns(files.load_dataset(spark, f"{folder}/lineitem.parquet"), "l_linenumber", _LINE_TEXTS, _LINE_NUMBERS)
+
+
+_RAW_NUMBERS = ["sales", "quantity"]
+_RAW_TEXTS = [c for c in RAW_COLUMNS if c not in _RAW_NUMBERS]
+
+
+@register("discover_and_load_columns", over_raw(_columns_sql("raw", "ship_mode", _RAW_TEXTS, _RAW_NUMBERS)))
+def discover_and_load_columns(spark, folder):
+    """As ``discover_and_load``, with a digest of all columns."""
+    base = work_dir(spark)
+    raw = raw_orders(spark, folder)
+    raw.select("Row ID", "Ship Mode").write.json(f"{base}/b_later.json")
+    raw.write.option("header", True).option("escape", '"').csv(f"{base}/a_orders.csv")
+    raw.select("Row ID").limit(1).write.json(f"{base}/_ignored.txt")
+    df = files.discover_and_load(spark, base)
+    return _columns(df.toDF(*RAW_COLUMNS), "ship_mode", _RAW_TEXTS, _RAW_NUMBERS)
+
+
 @register(
     "staged_run",
     over_raw(
