@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleswright.llm import bytebpe, fingerprints, lines, neardup, packing, quality, repair, secrets, suffixes, tokens, urls
+from saleswright.llm import align, bytebpe, collocations, fingerprints, jaccardjoin, lines, neardup, packing, quality, repair, secrets, suffixes, tokens, urls
 from saleswright.llm import text as T
 
 QUERIES: dict = {}
@@ -255,3 +255,67 @@ SELECT documents.doc_id, coalesce(len(s.shingles), 0)::BIGINT AS n_shingles,
   coalesce(component_id, documents.doc_id) AS component_id, coalesce(component_id, documents.doc_id) = documents.doc_id AS kept
 FROM documents LEFT JOIN s USING (doc_id) LEFT JOIN c USING (shingles) LEFT JOIN component ON component.u = c.rep
 """
+
+
+@query
+def op11_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its component of documents that share four fifths of their shingles."""
+    return jaccardjoin.joined(table(spark, folder, "documents"))
+
+
+SQL["op11_ngram_join"] = SQL["op8_minhash_near_dedup"].replace(f">= {neardup.PERCENT} *", f">= {jaccardjoin.PERCENT} *").replace(
+    ",\n  coalesce(component_id, documents.doc_id) AS component_id, coalesce(component_id, documents.doc_id) = documents.doc_id AS kept",
+    ", coalesce(component_id, documents.doc_id) AS component_id",
+)
+
+
+@query
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The phrases of each language that occur together more than their parts would by chance."""
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+_SIZES = range(1, collocations.LONGEST + 1)
+SQL["op12_collocations"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), pieces AS (
+  SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), sized AS (
+  SELECT lang, words, unnest(range(1, {collocations.LONGEST + 1})) AS size FROM w WHERE len(words) > 0
+), runs AS (
+  SELECT lang, size, words, unnest(range(1, len(words) - size + 2)) AS p FROM sized WHERE len(words) >= size
+), f AS (
+  SELECT lang, size, words[p:p + size - 1] AS words, count(*) AS a FROM runs GROUP BY ALL HAVING count(*) >= {collocations.MIN_COUNT}
+), t AS (
+  SELECT lang, sum(len(words))::BIGINT AS n FROM w GROUP BY lang
+), cuts AS (
+  SELECT f.lang, f.size, f.words, f.a, t.n, unnest(range(1, f.size)) AS k FROM f JOIN t USING (lang) WHERE f.size > 1
+), scores AS (
+  SELECT c.*, x.a AS l, y.a AS r, (1000::HUGEINT * c.a * c.n) // (x.a::HUGEINT * y.a) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.words = c.words[1:c.k] JOIN f y ON y.lang = c.lang AND y.words = c.words[c.k + 1:]
+), best AS (
+  SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1
+), inner_ AS (
+  SELECT lang, a, unnest(range(2, size)) AS m, words, size FROM f WHERE size > 2
+), inside AS (
+  SELECT lang, words[q:q + m - 1] AS words, max(a) AS longer FROM (
+    SELECT lang, a, m, words, unnest(range(1, size - m + 2)) AS q FROM inner_) GROUP BY ALL
+)
+SELECT * FROM (
+  SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, array_to_string(b.words, ' ')) AS rank,
+    array_to_string(b.words, ' ') AS phrase, a, l, r, n, score::BIGINT AS score
+  FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.words = b.words
+  WHERE longer IS NULL OR 100 * longer < 100 * a
+) WHERE rank <= {collocations.REPORTED}
+"""
+
+
+@query
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's tokens of two vocabularies in groups of the same bytes."""
+    a, b = map(tokens.vocabulary_path, (align.A_VOCABULARY, align.B_VOCABULARY))
+    return align.aligned(table(spark, folder, "documents"), a, b)

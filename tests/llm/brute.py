@@ -14,7 +14,7 @@ def shingles(text: str | None) -> frozenset:
     return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
 
 
-def components(docs: list[tuple[int, str | None]]) -> dict[int, int]:
+def components(docs: list[tuple[int, str | None]], percent: int = 75) -> dict[int, int]:
     sets = {d: shingles(t) for d, t in docs}
     parent = {d: d for d in sets}
 
@@ -27,7 +27,7 @@ def components(docs: list[tuple[int, str | None]]) -> dict[int, int]:
     for i, a in enumerate(ids):
         for b in ids[i + 1 :]:
             x, y = sets[a], sets[b]
-            if x and y and 100 * len(x & y) >= 75 * len(x | y) and root(a) != root(b):
+            if x and y and 100 * len(x & y) >= percent * len(x | y) and root(a) != root(b):
                 low, high = sorted((root(a), root(b)))
                 parent[high] = low
     return {d: root(d) for d in ids}
@@ -82,3 +82,29 @@ def secrets(text: str | None) -> list[tuple[int, int, int]]:
     for kind, (pattern, group, least) in enumerate(kinds):
         found += [(m.start(), kind, m.end()) for m in re.finditer(pattern, text) if len(m[group]) >= least]
     return sorted(found)
+
+
+def collocations(docs: list[tuple[str | None, str | None]], least: int) -> dict[str, list[tuple]]:
+    """Per language, ``(phrase, a, l, r, n, score)`` in order; ``docs`` are ``(lang, text)``."""
+    counts: dict[str, Counter] = {}
+    totals: Counter = Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        own = counts.setdefault(lang, Counter())
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            for k in range(1, 6):
+                own.update(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
+    out = {}
+    for lang, own in counts.items():
+        found = {w: a for w, a in own.items() if len(w) > 1 and a >= least}
+        rows = []
+        for w, a in found.items():
+            score, _, l, r = min((1000 * a * totals[lang] // (own[w[:k]] * own[w[k:]]), k, own[w[:k]], own[w[k:]]) for k in range(1, len(w)))
+            inside = (b for x, b in found.items() if len(x) > len(w) and any(x[i : i + len(w)] == w for i in range(len(x))))
+            if not any(100 * b >= 100 * a for b in inside):
+                rows.append((" ".join(w), a, l, r, totals[lang], score))
+        if rows:
+            out[lang] = sorted(rows, key=lambda x: (-x[5], -x[1], x[0].encode()))
+    return out
