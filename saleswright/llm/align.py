@@ -7,8 +7,9 @@ are links.
 
 No token of either goes beyond the white space before a word, so a text is cut into units
 (white space and the word behind it) that are aligned by themselves, and each worker remembers
-the units it has seen. What the vocabulary says decides where that holds: a text with white
-space that a piece may join to a word is one unit. A test compares with whole texts.
+the units it has seen. What the vocabulary says decides where that holds: a word is cut from the
+mark behind it if no piece joins the two, and a text with white space that a piece may join to a
+word is one unit. A test compares with whole texts.
 
 Documents are dealt into shards of ``SHARD_BYTES`` of text, one row each, with every unit and
 every linked id pair once. The pairs of all shards are added up over the cluster, and each
@@ -26,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
@@ -42,14 +44,18 @@ from saleswright.llm import tokens
 A_VOCABULARY, B_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Text bytes and documents in a shard.
 SHARD_BYTES, SHARD_DOCS = 4 << 20, 1 << 16
-#: Units in a worker's memory; about 200 MB.
-REMEMBERED = 250_000
+#: Units in one generation of a worker's memory. When it is full it becomes the old one, from which units that are asked for
+#: again move on; two generations take some 250 MB.
+REMEMBERED = 300_000
 #: Units that are spelled at a time for the digest.
 SPELLED = 1 << 14
 _SPACE = "▁"
 #: White space besides space and line end, or what some call so.
 _OTHER = re.compile("[^\\S \\n]|[\\u180e\\u200b\\u2060\\ufeff]")
 _UNIT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+#: The same, cut between a letter and a mark as well.
+_MARKED = re.compile(r"[ \n]*(?:[^\W\d_]+(?=[.,;:!?])|[^ \n]+)|[ \n]+")
+_MARKS = ".,;:!?"
 _SHARD = (
     "shard bigint, doc_ids array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, n_links array<bigint>, "
     "digests array<string>, doc_ends binary, doc_units binary, unit_ends binary, unit_pairs binary, a binary, b binary, n binary"
@@ -97,7 +103,8 @@ class Aligner:
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         letters = {c: b for b, c in tokens._byte_letters().items()}
-        self.a_bytes = {k: bytes(letters.get(c, ord(c) & 255) for c in entry) for entry, k in self.a.get_vocab().items()}
+        entries = sorted(self.a.get_vocab().items(), key=lambda x: x[1])
+        self.a_bytes = [bytes(letters.get(c, ord(c) & 255) for c in entry) for entry, _ in entries]
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         pieces = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
         self.b_bytes = [
@@ -106,26 +113,33 @@ class Aligner:
         self.blank = pieces.index(_SPACE)
         # a piece may hold spaces at its start only, and no line end at all, for units to be cut there
         self.separable = not any(_SPACE in p.lstrip(_SPACE) or "\n" in p for p in pieces)
+        mixed = any(x.isalnum() and y in _MARKS for p in pieces for x, y in zip(p, p[1:], strict=False))
+        self.unit = _UNIT if mixed else _MARKED
         self.known: dict[str, tuple | None] = {}
+        self.old: dict[str, tuple | None] = {}
 
     def units(self, text: str) -> list[str]:
         """A space and the text, cut where neither tokenizer joins anything."""
         text = " " + text
         if not self.separable or _OTHER.search(text):
             return [text]
-        return _UNIT.findall(text)
+        return self.unit.findall(text)
 
     def align(self, a: list[int], b: list[int], data: bytes) -> tuple | None:
         """The record of one unit with these ids; ``data`` is what both must spell."""
         a_raw, b_raw = [self.a_bytes[x] for x in a], [self.b_bytes[x] for x in b]
         if b"".join(a_raw) != data or b"".join(b_raw) != data:
             return None
+        a_text, b_text = list(map(str, a)), list(map(str, b))
+        if len(a) == 1 or len(b) == 1:
+            spelled = f"{','.join(a_text)}|{','.join(b_text)}"
+            return len(a), len(b), 1, spelled, array("Q", [x << 32 | y for x in a for y in b]).tobytes()
         a_ends, b_ends = list(accumulate(map(len, a_raw))), list(accumulate(map(len, b_raw)))
         parts, pairs = slices(a_ends, b_ends), []
         for part in parts:
             pairs += [a[x] << 32 | b[y] for x, y in links(a_ends, b_ends, part)]
-        spelled = ";".join(f"{','.join(map(str, a[i:i2]))}|{','.join(map(str, b[j:j2]))}" for i, i2, j, j2 in parts)
-        return len(a), len(b), len(parts), spelled, np.array(pairs, np.uint64)
+        spelled = ";".join([f"{','.join(a_text[i:i2])}|{','.join(b_text[j:j2])}" for i, i2, j, j2 in parts])
+        return len(a), len(b), len(parts), spelled, array("Q", pairs).tobytes()
 
     def b_ids(self, units: list[str]) -> list[list[int]]:
         """The library puts a space before each but an empty text; where a unit brings none of its own, that is a token of its own and goes."""
@@ -133,16 +147,21 @@ class Aligner:
         return [(ids or [self.blank]) if u[0] == " " else ids[ids[0] == self.blank :] for u, ids in zip(units, found, strict=True)]
 
     def records(self, units: list[str]) -> list[tuple | None]:
-        new = [u for u in units if u not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = units
+        if len(self.known) >= REMEMBERED:
+            self.old, self.known = self.known, {}
+        known, old, new = self.known, self.old, []
+        for u in units:
+            if u not in known:
+                if u in old:
+                    known[u] = old[u]
+                else:
+                    new.append(u)
         for start in range(0, len(new), 4096):
             part = new[start : start + 4096]
             a = [x.ids for x in self.a.encode_batch(part, add_special_tokens=False)]
             for u, x, y in zip(part, a, self.b_ids(part), strict=True):
-                self.known[u] = self.align(x, y, u.encode())
-        return [self.known[u] for u in units]
+                known[u] = self.align(x, y, u.encode())
+        return [known[u] for u in units]
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -184,13 +203,13 @@ class _Shard:
         """The shard as one row of ``_SHARD``."""
         records = own.records(list(self.units))
         bad = np.array([r is None for r in records], bool)
-        records = [r or (0, 0, 0, "", np.zeros(0, np.uint64)) for r in records]
+        records = [r or (0, 0, 0, "", b"") for r in records]
         docs = [d[:0] if bad[d].any() else d for d in self.docs]
         ends = np.cumsum([len(d) for d in docs], dtype=np.int64)
         held = np.concatenate([np.zeros(0, np.uint32), *docs])
-        sizes = np.array([len(r[4]) for r in records], np.int64)
+        sizes = np.array([len(r[4]) // 8 for r in records], np.int64)
         figures = [_sums(np.array([r[k] for r in records], np.int64)[held], ends).tolist() for k in range(3)]
-        pairs, place = np.unique(np.concatenate([np.zeros(0, np.uint64), *[r[4] for r in records]]), return_inverse=True)
+        pairs, place = np.unique(np.frombuffer(b"".join([r[4] for r in records]), np.uint64), return_inverse=True)
         often = np.repeat(np.bincount(held, minlength=len(records)), sizes)
         n = np.bincount(place, weights=often, minlength=len(pairs)).astype(np.int64)
         spelled, digests = [r[3] for r in records], []

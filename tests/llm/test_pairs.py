@@ -21,7 +21,7 @@ A, B = map(tokens.vocabulary_path, (align.A_VOCABULARY, align.B_VOCABULARY))
 EDGES = [
     "a  b", " lead", "tail  ", "\n\nfoo \n bar.\n\tx", "tab\there", "no\xa0break and\u3000wide", "x\u2581y", "\u2581", "don't 12345 'll",
     "<|endoftext|> </s> <s><unk>", "\x1c\x1f.\x1cx", "\r\nfoo();\r\nbar", "na\u00efve \U0001f600\U0001f468\u200d\U0001f469 caf\u00e9", "\u4e2d\u6587 \u0645\u0631",
-    " ", "\n", "x", "\ufeffbom \u180ez \u200b", "..." * 60, "a" * 300, "{ }\r';\r", "e\u0301 \x00 nul",
+    " ", "\n", "x", "\ufeffbom \u180ez \u200b", "..." * 60, "a" * 300, "a.b,c's; x\u00b2, 3. \u2460! e\u0301? it's,'re \u0130.", "{ }\r';\r", "e\u0301 \x00 nul",
 ]
 
 
