@@ -106,15 +106,19 @@ def parse_timestamp(text: Column, dayfirst: bool) -> Column:
     )
 
 
-def dayfirst_evidence(text: Column) -> tuple[Column, Column]:
-    """Aggregates: does any value prove day-first order, does any prove month-first?"""
-    day = F.coalesce(F.max(text.rlike(DAY_THEN_NUMBER)), F.lit(False))
-    month = F.coalesce(F.max(text.rlike(MONTH_THEN_DAY)), F.lit(False))
-    return day, month
+def dayfirst_evidence(text: Column, count: Column | None = None) -> tuple[Column, Column]:
+    """Aggregates: how many values prove day-first order, and how many month-first. A row stands for ``count`` values."""
 
+    def values(pattern: str) -> Column:
+        proves = text.rlike(pattern)
+        found = F.count_if(proves) if count is None else F.sum(F.when(proves, count))
+        return F.coalesce(found, F.lit(0).cast("bigint"))
 
-def decide_dayfirst(day: bool, month: bool) -> bool | None:
+    return values(DAY_THEN_NUMBER), values(MONTH_THEN_DAY)
+
+
+def decide_dayfirst(day: int, month: int) -> bool | None:
     """One kind of evidence decides; none or both leave it open."""
-    if day == month:
+    if bool(day) == bool(month):
         return None
-    return day
+    return bool(day)

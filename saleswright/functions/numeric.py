@@ -26,39 +26,66 @@ def as_column(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def _known(value: str) -> str:
+def known_value(value: str) -> str:
+    """SQL of a value as a double, NaN as NULL."""
     return f"nullif(CAST({value} AS DOUBLE), CAST('NaN' AS DOUBLE))"
 
 
-def exact_sum(value: str) -> Column:
-    """Sum of a money column (SQL text) as a double, the same in any order; NULL when there is no value.
+def _limbs(value: str, weight: str | None = None) -> list[tuple[str, str]]:
+    """``(SQL of a row's units, SQL from their total to its share of the sum)``, the smallest values' units first.
 
-    Each decimal(20,0) unit gives a decimal(30,0) buffer, so 10**10 rows of the largest
-    units, and more of ordinary ones, can't overflow.
+    Units that a value has none of are NULL, so ordinary money is one addition a row. A row may stand for
+    ``weight`` equal ones.
     """
-    x, unit = _known(value), f"{10**MONEY_SCALE}D"
+    x, unit = known_value(value), f"{10**MONEY_SCALE}D"
 
-    def total(units: str, where: str, size: str) -> str:
-        whole = f"CAST(CAST(CASE WHEN {where} THEN {units} END AS BIGINT) AS DECIMAL(20,0))"
-        return f"coalesce(CAST(sum({whole}) AS DOUBLE), 0D) {size}"
+    def units(whole: str, where: str) -> str:
+        one = f"CAST(CAST(CASE WHEN {where} THEN {whole} END AS BIGINT) AS DECIMAL(20,0))"
+        return f"{one} * CAST({weight} AS DECIMAL(17,0))" if weight else one
 
     plain, large = f"abs({x}) < {_PLAIN!r}D", f"abs({x}) >= {_PLAIN!r}D AND abs({x}) < {_LARGEST!r}D"
     rest = f"({x} - rint({x} * {unit}) / {unit}) * {2.0**66!r}D"
     high = f"floor({x} * {2.0**-50!r}D)"
-    parts = (
-        total(f"rint({x} * {unit})", plain, f"/ {unit}"),
-        total(f"floor({rest})", plain, f"* {2.0**-66!r}D"),
-        total(f"({rest} - floor({rest})) * {2.0**52!r}D", plain, f"* {2.0**-118!r}D"),
-        total(high, large, f"* {2.0**50!r}D"),
-        total(f"({x} - {high} * {2.0**50!r}D) * {2.0**13!r}D", large, f"* {2.0**-13!r}D"),
-        f"coalesce(sum(CASE WHEN abs({x}) >= {_LARGEST!r}D THEN {x} END), 0D)",
-    )
-    return F.expr(f"CASE WHEN count({x}) > 0 THEN {' + '.join(reversed(parts))} END")
+    largest = f"CASE WHEN abs({x}) >= {_LARGEST!r}D THEN {x} END"
+    return [
+        (units(f"rint({x} * {unit})", plain), f"/ {unit}"),
+        (units(f"floor({rest})", f"{plain} AND {rest} <> 0"), f"* {2.0**-66!r}D"),
+        (units(f"({rest} - floor({rest})) * {2.0**52!r}D", f"{plain} AND {rest} <> 0"), f"* {2.0**-118!r}D"),
+        (units(high, large), f"* {2.0**50!r}D"),
+        (units(f"({x} - {high} * {2.0**50!r}D) * {2.0**13!r}D", large), f"* {2.0**-13!r}D"),
+        (f"{largest} * {weight}" if weight else largest, ""),
+    ]
+
+
+def known_count(value: str, weight: str | None = None) -> str:
+    """SQL of the number of known values."""
+    return f"sum(CASE WHEN {known_value(value)} IS NOT NULL THEN {weight} ELSE 0 END)" if weight else f"count({known_value(value)})"
+
+
+def sum_parts(value: str, prefix: str, weight: str | None = None) -> dict[str, str]:
+    """Column -> SQL aggregate: what an exact sum is made of. The parts of several groups add up to those of their union."""
+    return {f"{prefix}{k}": f"sum({row})" for k, (row, _) in enumerate(_limbs(value, weight))}
+
+
+def sum_of_parts(parts: list[str]) -> str:
+    """SQL of the exact sum as a double from SQL of the totals of ``sum_parts``."""
+    sizes = [size for _, size in _limbs("0D")]
+    return " + ".join(reversed([f"coalesce(CAST({part} AS DOUBLE), 0D) {size}" for part, size in zip(parts, sizes, strict=True)]))
+
+
+def exact_sum(value: str, weight: str | None = None) -> Column:
+    """Sum of a money column (SQL text) as a double, the same in any order; NULL when there is no value.
+
+    Each decimal(20,0) unit gives a decimal(30,0) buffer, so 10**10 rows of the largest
+    units, and more of ordinary ones, can't overflow. With a ``weight`` (SQL text of a whole number) a row counts that often.
+    """
+    parts = list(sum_parts(value, "", weight).values())
+    return F.expr(f"CASE WHEN {known_count(value, weight)} > 0 THEN {sum_of_parts(parts)} END")
 
 
-def exact_mean(value: str) -> Column:
+def exact_mean(value: str, weight: str | None = None) -> Column:
     """Exact sum over the number of known values."""
-    return F.try_divide(exact_sum(value), F.expr(f"count({_known(value)})"))
+    return F.try_divide(exact_sum(value, weight), F.expr(known_count(value, weight)))
 
 
 def round_half_up(value: str, digits: int = 2) -> Column:

@@ -28,6 +28,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saleswright.functions.numeric import nan_to_null
+from saleswright.workspace import stage
+
+#: The column of a value table that says how many rows have the value.
+COUNT = "value_count"
 
 #: Buckets per e-fold of magnitude: a bucket spans 1/4096 of the value it holds,
 #: i.e. some 2,400 different cents around 100,000.
@@ -41,18 +45,32 @@ def _bucket(x: Column) -> Column:
     return F.floor(F.signum(x) * F.log1p(F.abs(x)) * F.lit(float(BUCKETS_PER_EFOLD)))
 
 
-def _bucketed(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+def _known(df: DataFrame, value: str) -> Column:
     x = F.col(value).cast("double")
-    if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)):
-        x = nan_to_null(x)
-    rows = df.select(*by, x.alias("_x"))
+    return nan_to_null(x) if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)) else x
+
+
+def value_table(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """``(by..., value, COUNT)``: every distinct value once with its number of rows, written once.
+
+    It takes one pass over the input; ranks, boxes, means and tails are read from it with ``count=COUNT``. Copies
+    collapse before the shuffle. The row with a NULL value counts what is missing, NaN included.
+    """
+    rows = df.select(*by, _known(df, value).alias(value)).groupBy(*by, value).agg(F.count("*").alias(COUNT))
+    return stage(rows, "values")
+
+
+def _bucketed(df: DataFrame, value: str, by: Sequence[str], count: str | None = None) -> DataFrame:
+    """``(by..., _x, _n, _b)``: known values, how many rows each stands for, and their buckets."""
+    n = F.col(count) if count else F.lit(1).cast("bigint")
+    rows = df.select(*by, _known(df, value).alias("_x"), n.alias("_n"))
     return rows.where(F.col("_x").isNotNull()).withColumn("_b", _bucket(F.col("_x")))
 
 
 def _histogram(rows: DataFrame, by: Sequence[str]) -> DataFrame:
     """Bucket totals; size is bounded by groups times buckets, not by rows."""
     return rows.groupBy(*by, "_b").agg(
-        F.count("*").alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max")
+        F.sum("_n").alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max")
     )
 
 
@@ -78,15 +96,16 @@ def _cell(x: Column, box: Column) -> Column:
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()
+    df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), count: str | None = None
 ) -> DataFrame:
     """Linear-interpolated quantiles of ``value``, overall or per group of ``by``.
 
     Returns ``by..., count bigint, quantiles array<double>``. Nulls and NaN are
-    ignored. Without ``by`` there is one row even for an empty input.
+    ignored. Without ``by`` there is one row even for an empty input. ``count`` names a column
+    that says how many rows each one stands for (see ``value_table``).
     """
     by = list(by)
-    rows = _bucketed(df, value, by)
+    rows = _bucketed(df, value, by, count)
     return _quantiles(rows, _histogram(rows, by), probs, by)
 
 
@@ -123,7 +142,7 @@ def _quantiles(
         *by, "_b", F.struct("_before", "_total", "_min", "_max").alias("_w")
     )
     celled = _rows_in(rows, wanted, by, "_b").withColumn("_c", _cell(F.col("_x"), F.col("_w")))
-    cells = celled.groupBy(*by, "_b", "_c").agg(F.count("*").alias("_n"), F.first("_w").alias("_w"))
+    cells = celled.groupBy(*by, "_b", "_c").agg(F.sum("_n").alias("_n"), F.first("_w").alias("_w"))
     inside = Window.partitionBy(*by, "_b").orderBy("_c").rowsBetween(*upto)
     wanted_cells = (
         cells.select(
@@ -134,7 +153,7 @@ def _quantiles(
         .select(*by, "_c", F.struct("_before", "_total").alias("_w"))
     )
     values = _rows_in(celled.drop("_w"), wanted_cells, by, "_c")
-    counted = values.groupBy(*by, "_c", "_x").agg(F.count("*").alias("_n"), F.first("_w").alias("_w"))
+    counted = values.groupBy(*by, "_c", "_x").agg(F.sum("_n").alias("_n"), F.first("_w").alias("_w"))
     ordered = Window.partitionBy(*by, "_c").orderBy("_x").rowsBetween(*upto)
     ranked = counted.select(
         *by,
@@ -164,13 +183,13 @@ def _quantiles(
     )
 
 
-def quantile_edges(df: DataFrame, value: str, probs: Sequence[float]) -> Column:
+def quantile_edges(df: DataFrame, value: str, probs: Sequence[float], count: str | None = None) -> Column:
     """The overall quantiles as one array-valued scalar subquery.
 
     Spark runs it once, before the stage that uses it, and inlines the result: no
     join, no broadcast, no driver round trip.
     """
-    return exact_quantiles(df, value, probs).select("quantiles").scalar()
+    return exact_quantiles(df, value, probs, count=count).select("quantiles").scalar()
 
 
 def approx_edges(df: DataFrame, value: str, probs: Sequence[float], accuracy: int = 10_000) -> Column:
@@ -180,14 +199,14 @@ def approx_edges(df: DataFrame, value: str, probs: Sequence[float], accuracy: in
     ).scalar()
 
 
-def box_summary(df: DataFrame, value: str, by: Sequence[str] = (), reach: float = 1.5) -> DataFrame:
+def box_summary(df: DataFrame, value: str, by: Sequence[str] = (), reach: float = 1.5, count: str | None = None) -> DataFrame:
     """Five numbers, whisker ends inside ``reach`` IQRs and the count beyond them.
 
     Buckets wholly inside or outside the bounds contribute their totals; only the
     two buckets that a bound cuts through are looked into, by value.
     """
     by = list(by)
-    rows = _bucketed(df, value, by)
+    rows = _bucketed(df, value, by, count)
     hist = _histogram(rows, by)
     names = ("min", "q1", "median", "q3", "max")
     five = _quantiles(rows, hist, (0.0, 0.25, 0.5, 0.75, 1.0), by).select(
@@ -214,7 +233,7 @@ def box_summary(df: DataFrame, value: str, by: Sequence[str] = (), reach: float
     )
     edges = boxed.where(cut).select(*by, "_b", F.col("_box").alias("_w"))
     x = F.col("_x")
-    cut_values = _rows_in(rows, edges, by, "_b").groupBy(*by, "_b", "_x").agg(F.count("*").alias("_n"), F.first("_w").alias("_w"))
+    cut_values = _rows_in(rows, edges, by, "_b").groupBy(*by, "_b", "_x").agg(F.sum("_n").alias("_n"), F.first("_w").alias("_w"))
     split = cut_values.select(
         *by,
         F.col("_w").alias("_box"),

@@ -3,7 +3,7 @@
 Decisions that depend on the data (which columns have gaps, what to fill in, how to
 read dates) take a fixed number of aggregate jobs whatever the number of columns,
 and bring one row per column to the driver. The cleaned frame itself is then a
-plain projection: no join and no shuffle besides the one that removes duplicates.
+projection with a look-up of the distinct date texts: no shuffle besides the one that removes duplicates.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saleswright.functions.dates import dayfirst_evidence, decide_dayfirst, parse_timestamp
-from saleswright.functions.missing import is_missing, missing_by_column
+from saleswright.functions.missing import column, is_missing, missing_by_column
 from saleswright.functions.numeric import percent_of
 from saleswright.functions.quantiles import exact_quantiles
 from saleswright.functions.rows import literal_rows
@@ -35,6 +35,8 @@ FLAG_SUFFIX = "_was_missing"
 UNKNOWN = "Unknown"
 DATE_NAME_PARTS = ("date", "time", "timestamp", "created", "updated", "dt")
 DAYFIRST_VARIABLE = "SALES_DAYFIRST"
+#: Distinct texts up to which dates are looked up; beyond, parsing in place is cheaper than shuffling the rows.
+DICTIONARY_TEXTS = 200_000
 
 
 # --- names -----------------------------------------------------------------------
@@ -213,15 +215,30 @@ def date_candidates(df: DataFrame) -> list[str]:
 
 @dataclass(frozen=True)
 class DateReading:
-    """How to read one text column: order of the parts, and can every value be read."""
+    """How to read one text column: order of the parts, and can every value be read; with the values that prove it."""
 
     column: str
     dayfirst: bool | None
     readable: bool
+    day_first: int = 0
+    month_first: int = 0
+    unread: int = 0
 
 
-def date_readings(df: DataFrame, columns: Sequence[str] | None = None) -> list[DateReading]:
-    """Evidence and readability of all candidate columns from one aggregate row.
+def date_dictionary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, text, n, day_first, month_first)``: every distinct text with its number of rows and both readings, written once.
+
+    One pass over the rows brings all columns along; copies of a text collapse before the shuffle, so a text is parsed
+    once, however often it occurs.
+    """
+    texts = F.array(*[F.struct(F.lit(i).alias("column"), column(c).alias("text")) for i, c in enumerate(columns)])
+    each = df.select(F.inline(texts)).where("text IS NOT NULL").groupBy("column", "text").agg(F.count("*").alias("n"))
+    both = {name: parse_timestamp(F.col("text"), first) for name, first in (("day_first", True), ("month_first", False))}
+    return stage(each.withColumns(both), "date_texts")
+
+
+def date_readings(df: DataFrame, columns: Sequence[str] | None = None, dictionary: DataFrame | None = None) -> list[DateReading]:
+    """Evidence and readability of all candidate columns, one row each, from their distinct texts.
 
     Every row counts, not a sample: without a row order a sample would not be
     repeatable. Readability does not depend on the order that is chosen, because
@@ -230,17 +247,16 @@ def date_readings(df: DataFrame, columns: Sequence[str] | None = None) -> list[D
     columns = date_candidates(df) if columns is None else list(columns)
     if not columns:
         return []
-    aggregates = []
+    texts = date_dictionary(df, columns) if dictionary is None else dictionary
+    day, month = dayfirst_evidence(F.col("text"), F.col("n"))
+    unread = F.coalesce(F.sum(F.when(F.col("day_first").isNull(), F.col("n"))), F.lit(0))
+    found = {r["column"]: r for r in texts.groupBy("column").agg(day.alias("day"), month.alias("month"), unread.alias("unread")).collect()}
+    readings = []
     for i, name in enumerate(columns):
-        text = F.col(name)
-        day, month = dayfirst_evidence(text)
-        unread = F.count_if(text.isNotNull() & parse_timestamp(text, dayfirst=True).isNull())
-        aggregates += [day.alias(f"d{i}"), month.alias(f"m{i}"), unread.alias(f"u{i}")]
-    row = df.agg(*aggregates).first()
-    return [
-        DateReading(name, decide_dayfirst(row[f"d{i}"], row[f"m{i}"]), row[f"u{i}"] == 0)
-        for i, name in enumerate(columns)
-    ]
+        row = found.get(i)  # a column without texts proves nothing and is readable
+        day_first, month_first, unread_ = (row["day"], row["month"], row["unread"]) if row else (0, 0, 0)
+        readings.append(DateReading(name, decide_dayfirst(day_first, month_first), unread_ == 0, day_first, month_first, unread_))
+    return readings
 
 
 def infer_dayfirst(df: DataFrame, column: str) -> bool | None:
@@ -250,9 +266,9 @@ def infer_dayfirst(df: DataFrame, column: str) -> bool | None:
 
 
 def dayfirst_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Evidence per date column, lazily: ``(column, day_first, month_first, dayfirst)``."""
+    """Evidence per date column, lazily: ``(column, day_first, month_first, dayfirst)``; the middle two count values."""
     columns = date_candidates(df) if columns is None else list(columns)
-    schema = {"column": "string", "day_first": "boolean", "month_first": "boolean"}
+    schema = {"column": "string", "day_first": "bigint", "month_first": "bigint"}
     if not columns:
         return literal_rows(df.sparkSession, {**schema, "dayfirst": "boolean"}, [])
     row = df.agg(
@@ -266,7 +282,8 @@ def dayfirst_report(df: DataFrame, columns: Sequence[str] | None = None) -> Data
         )
         for i, c in enumerate(columns)
     ]
-    decided = F.when(F.col("day_first") != F.col("month_first"), F.col("day_first"))
+    day, month = F.col("day_first") > 0, F.col("month_first") > 0
+    decided = F.when(day != month, day)
     return row.select(F.inline(F.array(*entries))).withColumn("dayfirst", decided)
 
 
@@ -275,46 +292,63 @@ def default_dayfirst() -> bool:
     return os.environ.get(DAYFIRST_VARIABLE, "false").strip().lower() == "true"
 
 
-def _ambiguous(column: str, on_ambiguous: str) -> None:
+def _ambiguous(reading: DateReading, on_ambiguous: str) -> None:
     order = "day first" if default_dayfirst() else "month first"
-    said = f"the dates in {column} prove no single order; {order} is assumed (set {DAYFIRST_VARIABLE} to change that)"
+    said = (
+        f"the dates in {reading.column} prove no single order ({reading.day_first} values are day first, {reading.month_first} month first); "
+        f"{order} is assumed (set {DAYFIRST_VARIABLE} to change that)"
+    )
     if on_ambiguous == "error":
         raise ValueError(said)
     log.warning(said)
 
 
 def apply_readings(
-    df: DataFrame, readings: Iterable[DateReading], on_error: str = "keep", on_ambiguous: str = "default"
+    df: DataFrame, readings: Iterable[DateReading], on_error: str = "keep", on_ambiguous: str = "default", dictionary: DataFrame | None = None
 ) -> DataFrame:
     """Turn readable text columns into ``timestamp_ntz``.
 
     ``on_error="keep"`` leaves a column with any unreadable value as text;
     ``"null"`` converts it and nulls those values. Where the values prove no order, or
     both, ``on_ambiguous="default"`` takes the default order and says so in the log;
-    ``"error"`` raises.
+    ``"error"`` raises. With the ``dictionary`` of these ``readings`` a text is looked up by
+    equality instead of being parsed in every row, as long as it has no more than ``DICTIONARY_TEXTS`` texts.
     """
-    parsed = {}
-    for r in readings:
+    readings, parsed = list(readings), {}
+    look_up = dictionary is not None and dictionary.count() <= DICTIONARY_TEXTS
+    for i, r in enumerate(readings):
         if r.readable or on_error == "null":
             if r.dayfirst is None:
-                _ambiguous(r.column, on_ambiguous)
+                _ambiguous(r, on_ambiguous)
             order = default_dayfirst() if r.dayfirst is None else r.dayfirst
-            parsed[r.column] = parse_timestamp(F.col(r.column), order)
-    return df.withColumns(parsed) if parsed else df
+            if look_up:
+                key, value = f"_text_{i}", f"_read_{i}"
+                texts = dictionary.where(F.col("column") == i).select(F.col("text").alias(key), F.col("day_first" if order else "month_first").alias(value))
+                df = df.join(texts, column(r.column) == F.col(key), "left").drop(key)
+                parsed[r.column] = F.col(value)
+            else:
+                parsed[r.column] = parse_timestamp(column(r.column), order)
+    if not parsed:
+        return df
+    return df.withColumns(parsed).drop(*[f"_read_{i}" for i in range(len(readings))])
 
 
 def convert_dates(
     df: DataFrame, columns: Sequence[str] | None = None, on_error: str = "keep", on_ambiguous: str = "default"
 ) -> DataFrame:
     """Parse the text date columns, each in the order its own values prove."""
-    return apply_readings(df, date_readings(df, columns), on_error, on_ambiguous)
+    columns = date_candidates(df) if columns is None else list(columns)
+    if not columns:
+        return df
+    texts = date_dictionary(df, columns)
+    return apply_readings(df, date_readings(df, columns, texts), on_error, on_ambiguous, texts)
 
 
 # --- all together ----------------------------------------------------------------
 
 
-def clean_and_transform(df: DataFrame, dates_first: bool = False, staged: bool = True) -> DataFrame:
-    """Names, duplicates, gaps, dates, features, in that order.
+def clean_and_transform(df: DataFrame, dates_first: bool = False, staged: bool = True, on_ambiguous: str = "default") -> DataFrame:
+    """Names, duplicates, gaps, dates, features, in that order. ``on_ambiguous`` is that of ``apply_readings``.
 
     The frame without duplicates is written once to shared storage, because several
     passes follow; each of them reads only its own columns. ``dates_first`` parses
@@ -328,13 +362,14 @@ def clean_and_transform(df: DataFrame, dates_first: bool = False, staged: bool =
     # Filling with a value that already occurs changes neither the evidence for a
     # date order nor readability, so both are decided on the same frame.
     if dates_first:
-        df = convert_dates(df)
+        df = convert_dates(df, on_ambiguous=on_ambiguous)
         df = apply_fills(df, column_fills(df))
     else:
         fills = column_fills(df)
         emptied = {f.column for f in fills if f.strategy == "unknown"}
-        readings = date_readings(df, [c for c in date_candidates(df) if c not in emptied])
-        df = apply_readings(apply_fills(df, fills), readings)
+        dated = [c for c in date_candidates(df) if c not in emptied]
+        texts = date_dictionary(df, dated) if dated else None
+        df = apply_readings(apply_fills(df, fills), date_readings(df, dated, texts), on_ambiguous=on_ambiguous, dictionary=texts)
     edges = None
     if "sales" in df.columns:
         found = exact_quantiles(df, "sales", QUARTILES).first().quantiles

@@ -8,8 +8,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from saleswright.functions.dates import weekday_rank
-from saleswright.functions.numeric import exact_mean, exact_sum, nan_to_null, percent_of
-from saleswright.functions.quantiles import box_summary, exact_quantiles, quantile_edges
+from saleswright.functions.numeric import (
+    exact_mean,
+    exact_sum,
+    known_count,
+    nan_to_null,
+    percent_of,
+    sum_of_parts,
+    sum_parts,
+)
+from saleswright.functions.quantiles import COUNT, box_summary, exact_quantiles, quantile_edges, value_table
 from saleswright.operators.filters import numeric_columns, project_existing
 
 # Bins of the full and of the trimmed histogram, where the latter is
@@ -27,13 +35,25 @@ def _revenue() -> Column:
 
 
 def kpi_summary(df: DataFrame) -> DataFrame:
-    """Revenue, orders, mean order, distinct customers and products."""
-    return df.agg(
-        _revenue(),
-        F.count("*").alias("orders"),
-        exact_mean("sales").alias("avg_order"),
-        F.count_distinct("customer_id").alias("customers"),
-        F.count_distinct("product_name").alias("products"),
+    """Revenue, orders, mean order, distinct customers and products.
+
+    The facts are summed up per customer and product in one pass; how many there are of each is counted over those
+    sums, where the first of each customer and of each product stands for it.
+    """
+    keys = ("customer_id", "product_name")
+    parts = sum_parts("sales", "_l")
+    cells = df.groupBy(*keys).agg(
+        F.count("*").alias("_rows"), F.expr(known_count("sales")).alias("_known"), *[F.expr(x).alias(c) for c, x in parts.items()]
+    )
+    for key, other in zip(keys, keys[::-1], strict=True):
+        first = F.row_number().over(Window.partitionBy(key).orderBy(other)) == 1
+        cells = cells.withColumn(f"_first_{key}", first & F.col(key).isNotNull())
+    total = F.expr(f"CASE WHEN sum(_known) > 0 THEN {sum_of_parts([f'sum({c})' for c in parts])} END")
+    return cells.agg(
+        total.alias("revenue"),
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("orders"),
+        F.try_divide(total, F.sum("_known")).alias("avg_order"),
+        *[F.count_if(f"_first_{key}").alias(name) for key, name in zip(keys, ("customers", "products"), strict=True)],
     )
 
 
@@ -41,7 +61,7 @@ def monthly_period_trend(df: DataFrame) -> DataFrame:
     """Revenue and orders per month, with a sortable ``YYYY-MM`` period."""
     period = F.concat(F.col("year").cast("string"), F.lit("-"), F.lpad(F.col("month").cast("string"), 2, "0"))
     monthly = df.groupBy(F.col("order_year").alias("year"), F.col("order_month").alias("month")).agg(
-        _revenue(), F.count("sales").alias("orders")
+        _revenue(), F.expr(known_count("sales")).alias("orders")
     )
     return monthly.withColumn("period", period).orderBy("period")
 
@@ -71,7 +91,7 @@ def top_subcategories(df: DataFrame, k: int = TOP_SUBCATEGORIES) -> DataFrame:
 def segment_revenue(df: DataFrame) -> DataFrame:
     """Revenue, orders and mean order per segment."""
     return df.groupBy("segment").agg(
-        _revenue(), F.count("sales").alias("orders"), exact_mean("sales").alias("avg_order")
+        _revenue(), F.expr(known_count("sales")).alias("orders"), exact_mean("sales").alias("avg_order")
     )
 
 
@@ -86,13 +106,14 @@ def ship_mode_revenue(df: DataFrame) -> DataFrame:
 
 def box_stats(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Five numbers, whisker ends and outlier count, overall or per group."""
-    return box_summary(df, value, by, WHISKER_REACH)
+    return box_summary(value_table(df, value, by), value, by, WHISKER_REACH, COUNT)
 
 
 def group_distribution(df: DataFrame, value: str = "sales", by: str = "category") -> DataFrame:
     """How ``value`` is distributed in each group: its box plus mean and share of outliers."""
-    means = df.groupBy(by).agg(exact_mean(value).alias("mean")).withColumnRenamed(by, "_g")
-    boxes = box_summary(df, value, [by], WHISKER_REACH)
+    values = value_table(df, value, [by])
+    means = values.groupBy(by).agg(exact_mean(f"`{value}`", COUNT).alias("mean")).withColumnRenamed(by, "_g")
+    boxes = box_summary(values, value, [by], WHISKER_REACH, COUNT)
     joined = boxes.join(means, boxes[by].eqNullSafe(means["_g"])).drop("_g")
     pct = percent_of(F.col("outlier_count").cast("double"), F.col("count").cast("double"))
     return joined.withColumn("outlier_pct", pct)
@@ -166,8 +187,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     return values.agg(*stats).select(F.inline(F.array(*entries)))
 
 
-def _iqr_bounds(df: DataFrame, value: str) -> DataFrame:
-    q = exact_quantiles(df, value, (0.25, 0.75)).select(
+def _iqr_bounds(values: DataFrame, value: str) -> DataFrame:
+    q = exact_quantiles(values, value, (0.25, 0.75), count=COUNT).select(
         F.col("quantiles")[0].alias("q1"), F.col("quantiles")[1].alias("q3")
     )
     spread = F.col("q3") - F.col("q1")
@@ -184,7 +205,7 @@ def _iqr_bounds(df: DataFrame, value: str) -> DataFrame:
 
 def outlier_rows(df: DataFrame, value: str = "sales") -> DataFrame:
     """Rows strictly outside 1.5 interquartile ranges of the middle half; NaN is missing, not large."""
-    b = _iqr_bounds(df, value).scalar()
+    b = _iqr_bounds(value_table(df, value), value).scalar()
     x = nan_to_null(F.col(value).cast("double"))
     return df.where((x < b["lower"]) | (x > b["upper"]))
 
@@ -194,12 +215,13 @@ def iqr_outliers(df: DataFrame, value: str = "sales") -> DataFrame:
 
     ``total_count`` counts all rows, known or not; NaN is a missing value.
     """
-    b = _iqr_bounds(df, value).scalar()
-    x = nan_to_null(F.col(value).cast("double"))
+    values = value_table(df, value)
+    b = _iqr_bounds(values, value).scalar()
+    x, n = F.col(value), F.col(COUNT)
     outside = (x < b["lower"]) | (x > b["upper"])
-    counts = df.agg(
-        F.count("*").alias("total_count"),
-        F.count_if(outside).alias("outlier_count"),
+    counts = values.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("total_count"),
+        F.coalesce(F.sum(F.when(outside, n)), F.lit(0)).alias("outlier_count"),
         F.max(F.when(outside, x)).alias("max_outlier"),
     )
     pct = percent_of(F.col("outlier_count").cast("double"), F.col("total_count").cast("double"))

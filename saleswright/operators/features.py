@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleswright.functions.dates import elapsed_days, is_temporal, month_name, weekday_name
+from saleswright.functions.numeric import nan_to_null
 from saleswright.functions.quantiles import approx_edges, exact_quantiles, quantile_edges
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -64,7 +65,8 @@ def sales_quartiles(df: DataFrame) -> DataFrame:
 
 
 def tier_of(sales: Column, edges: list[Column]) -> Column:
-    """The tier of a sale: an edge belongs to the tier below it."""
+    """The tier of a sale: an edge belongs to the tier below it. NaN is missing, not large."""
+    sales = nan_to_null(sales.cast("double"))
     low, medium, high, premium = TIERS
     return (
         F.when(sales <= edges[0], low)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from saleswright.functions.rows import literal_rows
 from saleswright.operators.cleaning import clean_and_transform
-from saleswright.plans.reports import Failure, compute_reports, headline_metrics, plan_reports
+from saleswright.plans.reports import Failure, compute_reports, headline_metrics, plan_together
 from saleswright.sinks.exports import export_reports_csv
 from saleswright.sinks.tables import SALES_TABLE, load_table, save_processed
 from saleswright.sources.files import discover_and_load, load_dataset, scan_parquet
@@ -94,7 +94,7 @@ def run_stages(
     done.stage("database", False, load)
 
     def analyse():
-        computed = compute_reports(spark, plan_reports(cleaned))
+        computed = compute_reports(spark, plan_together(cleaned))
         fine = sum(not isinstance(x, Failure) for x in computed.values())
         return computed, fine == len(computed), fine, None
 
@@ -110,6 +110,6 @@ def run_stages(
 
 def reports_from_processed(spark: SparkSession, processed: str, out: str) -> DataFrame:
     """Reports from saved data alone: export them and return the headline figures."""
-    planned = compute_reports(spark, plan_reports(load_dataset(spark, processed)))
+    planned = compute_reports(spark, plan_together(load_dataset(spark, processed)))
     export_reports_csv(planned, f"{out.rstrip('/')}/csv_reports")
     return headline_metrics(planned)

@@ -12,39 +12,78 @@ import logging
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from saleswright.functions.jobs import side_by_side
-from saleswright.functions.numeric import exact_sum, round_half_up
+from saleswright.functions.numeric import known_count, known_value, round_half_up, sum_of_parts, sum_parts
+from saleswright.functions.quantiles import COUNT, quantile_edges, value_table
 from saleswright.functions.rows import literal_rows
-from saleswright.workspace import stage
+from saleswright.operators.features import QUARTILES, tier_of
 from saleswright.operators.filters import project_existing
+from saleswright.workspace import stage
 
 log = logging.getLogger(__name__)
 
 
+_SALE = known_value("sales")
+
+
+@dataclass(frozen=True)
+class Aggregate:
+    """An aggregate over order lines, and the same over cells: sums that groups of lines were reduced to.
+
+    ``parts`` are the columns of a cell that it needs, as SQL over lines; ``merged`` is SQL over cells.
+    """
+
+    direct: str
+    parts: dict[str, str]
+    merged: str
+
+    def __call__(self) -> Column:
+        return F.expr(self.direct)
+
+
 @dataclass(frozen=True)
 class Measure:
     """Aggregates to compute per group, and the reported value made from them."""
 
     name: str
     inputs: tuple[str, ...]
-    aggregates: dict[str, Callable[[], Column]]
+    aggregates: dict[str, Aggregate]
     value: Callable[[], Column]
+    counted: str | None = None  # the column whose distinct values are counted
+
+
+def _added(direct: str, part: str, merge: str = "sum") -> Aggregate:
+    return Aggregate(direct, {part: direct}, f"{merge}({part})")
 
 
 def rows(name: str) -> Measure:
-    return Measure(name, (), {"_rows": lambda: F.count("*")}, lambda: F.col("_rows"))
+    return Measure(name, (), {"_rows": _added("count(*)", "_rows")}, lambda: F.col("_rows"))
 
 
 def distinct(name: str, column: str) -> Measure:
     key = f"_distinct_{column}"
-    return Measure(name, (column,), {key: lambda: F.count_distinct(column)}, lambda: F.col(key))
+    counted = Aggregate(f"count(DISTINCT `{column}`)", {}, f"count_if(_first_{column})")
+    return Measure(name, (column,), {key: counted}, lambda: F.col(key), column)
+
+
+_KNOWN = {"_known": _added(known_count("sales"), "_known")}
+_PARTS = sum_parts("sales", "_l")
+
+
+def _total(known: str, parts: list[str]) -> str:
+    return f"CASE WHEN {known} > 0 THEN {sum_of_parts(parts)} END"
 
 
-_SUM = {"_sum": lambda: exact_sum("sales")}
-_KNOWN = {"_known": lambda: F.count("sales")}
+_SUM = {
+    "_sum": Aggregate(
+        _total(known_count("sales"), list(_PARTS.values())),
+        {"_known": known_count("sales"), **_PARTS},
+        _total("sum(_known)", [f"sum({c})" for c in _PARTS]),
+    )
+}
 
 REVENUE = Measure("total_revenue", ("sales",), _SUM, lambda: round_half_up("_sum"))
 MEAN_ORDER = Measure(
@@ -53,8 +92,8 @@ MEAN_ORDER = Measure(
     {**_SUM, **_KNOWN},
     lambda: round_half_up("try_divide(_sum, _known)"),
 )
-SMALLEST = Measure("min_sale", ("sales",), {"_min": lambda: F.min("sales")}, lambda: round_half_up("_min"))
-LARGEST = Measure("max_sale", ("sales",), {"_max": lambda: F.max("sales")}, lambda: round_half_up("_max"))
+SMALLEST = Measure("min_sale", ("sales",), {"_min": _added(f"min({_SALE})", "_min", "min")}, lambda: round_half_up("_min"))
+LARGEST = Measure("max_sale", ("sales",), {"_max": _added(f"max({_SALE})", "_max", "max")}, lambda: round_half_up("_max"))
 # The share is a window over one row per group.
 SHARE = Measure(
     "revenue_share_pct",
@@ -67,18 +106,26 @@ PER_CUSTOMER = Measure(
     ("sales", "customer_id"),
     {**_SUM, **distinct("", "customer_id").aggregates},
     lambda: round_half_up("try_divide(_sum, _distinct_customer_id)"),
+    "customer_id",
 )
 SHIPPING = Measure(
     "avg_shipping_days",
     ("shipping_days",),
-    {"_days": lambda: F.sum("shipping_days"), "_shipped": lambda: F.count("shipping_days")},
+    {"_days": _added("sum(shipping_days)", "_days"), "_shipped": _added("count(shipping_days)", "_shipped")},
     lambda: round_half_up("try_divide(CAST(_days AS DOUBLE), _shipped)", 1),
 )
+#: How parts add up that are no sums. A mean and a variance don't, so a deviation is no measure of a report with distinct counts.
+_MERGES = {"_min": "min", "_max": "max"}
+#: The mean of all cells, near which deviations of cells from each other are taken.
+_CENTRE = "sum(_known * _mean) / sum(_known)"
 
 
 def deviation(ddof: int = 0) -> Measure:
-    fn = F.stddev_samp if ddof else F.stddev_pop
-    return Measure("std_dev_sales", ("sales",), {"_std": lambda: fn("sales")}, lambda: round_half_up("_std"))
+    within, between = "sum(_known * _var) + sum(_known * power(_mean - _centre, 2))", "power(sum(_known * (_mean - _centre)), 2) / sum(_known)"
+    merged = f"CASE WHEN sum(_known) > {ddof} THEN sqrt(greatest(0D, {within} - {between}) / (sum(_known) - {ddof})) END"
+    parts = {"_known": known_count("sales"), "_mean": f"avg({_SALE})", "_var": f"var_pop({_SALE})"}
+    std = Aggregate(f"{'stddev_samp' if ddof else 'stddev_pop'}({_SALE})", parts, merged)
+    return Measure("std_dev_sales", ("sales",), {"_std": std}, lambda: round_half_up("_std"))
 
 
 @dataclass(frozen=True)
@@ -102,12 +149,24 @@ class Report:
     def columns(self) -> list[str]:
         return [*self.keys, *[m.name for m in self.measures]]
 
+    @property
+    def aggregates(self) -> dict[str, Aggregate]:
+        return {alias: made for m in self.measures for alias, made in m.aggregates.items()}
+
+    @property
+    def counted(self) -> list[str]:
+        """The columns whose distinct values a measure counts."""
+        return list(dict.fromkeys(m.counted for m in self.measures if m.counted))
+
     def run(self, sales: DataFrame, collation: str | None = None) -> DataFrame:
         """The report over a sales table.
 
         With a ``collation`` (e.g. ``UNICODE_CI_AI``) text keys that it considers
-        equal are one group, shown by their smallest spelling.
+        equal are one group, shown by their smallest spelling. Several distinct counts go
+        through cells of one pass instead of copies of every line.
         """
+        if len(self.counted) > 1 and not collation:
+            return self.from_cells(cells_of(sales, [self]))
         keys = {name: F.col(source) for name, source in self.keys.items()}
         shown: dict[str, Column] = {}
         if collation:
@@ -115,20 +174,63 @@ class Report:
                 if sales.schema[source].dataType.typeName() == "string":
                     keys[name] = F.collate(F.col(source), collation)
                     shown[f"_shown_{name}"] = F.min(F.col(source))
-        aggregates = {alias: make for m in self.measures for alias, make in m.aggregates.items()}
         grouped = sales.groupBy(*[c.alias(n) for n, c in keys.items()]).agg(
-            *[make().alias(alias) for alias, make in aggregates.items()],
+            *[make().alias(alias) for alias, make in self.aggregates.items()],
             *[c.alias(n) for n, c in shown.items()],
         )
-        labels = [F.col(f"_shown_{n}" if f"_shown_{n}" in shown else n).alias(n) for n in self.keys]
+        return self._finished(grouped, [F.col(f"_shown_{n}" if f"_shown_{n}" in shown else n).alias(n) for n in self.keys])
+
+    def from_cells(self, cells: DataFrame) -> DataFrame:
+        """The report over cells (``cells_of``) whose keys include its own. The lines aren't read."""
+        sources = list(self.keys.values())
+        if any("_centre" in x.merged for x in self.aggregates.values()):
+            cells = cells.withColumn("_centre", cells.agg(F.expr(_CENTRE)).scalar())
+        kept = list(dict.fromkeys((*sources, *self.counted)))
+        if self.counted and set(cells_keys(cells)) - set(kept):
+            # first as few cells as the distinct counts need
+            parts = dict.fromkeys(c for x in self.aggregates.values() for c in x.parts)
+            cells = cells.groupBy(*kept).agg(*[F.expr(f"{_MERGES.get(c, 'sum')}({c})").alias(c) for c in parts])
+        for c in self.counted:  # one cell of each distinct value stands for it
+            others = [x for x in kept if x not in (*sources, c)]
+            place = Window.partitionBy(*[F.col(f"`{x}`") for x in (*sources, c)]).orderBy(*others or [F.lit(0)])
+            cells = cells.withColumn(f"_first_{c}", (F.row_number().over(place) == 1) & F.col(f"`{c}`").isNotNull())
+        grouped = cells.groupBy(*[F.col(source).alias(n) for n, source in self.keys.items()]).agg(
+            *[F.expr(made.merged).alias(alias) for alias, made in self.aggregates.items()]
+        )
+        if not self.keys and "_rows" in grouped.columns:  # no cells, no lines
+            grouped = grouped.withColumn("_rows", F.coalesce("_rows", F.lit(0)))
+        return self._finished(grouped, [F.col(n) for n in self.keys])
+
+    def _finished(self, grouped: DataFrame, labels: list[Column]) -> DataFrame:
+        """The reported values of the groups, in the report's order."""
         df = grouped.select(*labels, *[m.value().alias(m.name) for m in self.measures])
         if self.keys:
-            ranked = [F.desc(c) if down else F.asc(c) for c, down in self.order]
+            # a figure that is missing comes last either way
+            rising = {c: F.asc(c) if c in self.keys else F.asc_nulls_last(c) for c, _ in self.order}
+            ranked = [F.desc(c) if down else rising[c] for c, down in self.order]
             ties = [F.asc(k) for k in self.keys if k not in {c for c, _ in self.order}]
             df = df.orderBy(*ranked, *ties)
         return df.limit(self.limit) if self.limit else df
 
 
+def cells_keys(cells: DataFrame) -> list[str]:
+    """The key columns of cells: what does not begin with an underscore."""
+    return [c for c in cells.columns if not c.startswith("_")]
+
+
+def cells_of(sales: DataFrame, reports: Iterable[Report]) -> DataFrame:
+    """The lines reduced to one row per combination of all keys and counted columns of ``reports``, in one pass.
+
+    A row holds what every aggregate needs, as parts that add up: counts, whole units of exact
+    sums, least and largest, mean and variance, shipping days. So reports over cells are equal to reports over lines to the last digit
+    (the deviation to rounding).
+    """
+    reports = list(reports)
+    keys = dict.fromkeys(c for r in reports for c in (*r.keys.values(), *r.counted))
+    parts = {c: x for r in reports for made in r.aggregates.values() for c, x in made.parts.items()}
+    return sales.groupBy(*keys).agg(*[F.expr(x).alias(c) for c, x in parts.items()])
+
+
 _BY_REVENUE = (("total_revenue", True),)
 _ORDERS = rows("total_orders")
 _COUNT = rows("order_count")
@@ -257,6 +359,55 @@ def plan_reports(
     return planned
 
 
+#: Reports that share cells: their keys come from the same dimension, so there are no more cells than days, customers or products.
+FAMILIES = (
+    (
+        "total_revenue_summary", "monthly_revenue_trend", "quarterly_revenue", "yearly_revenue", "shipping_mode_analysis",
+        "day_of_week_analysis",
+    ),
+    ("category_performance", "subcategory_performance", "top_10_products"),
+    ("segment_analysis", "top_10_customers", "region_performance", "top_10_states", "top_10_cities"),
+)
+
+
+def _tier_report(report: Report, sales: DataFrame) -> DataFrame:
+    """A report by price tier from a value table: edges, tiers and sums come from one pass over the prices."""
+    values = value_table(sales, "sales")
+    edges = quantile_edges(values, "sales", QUARTILES, COUNT)
+    parts = {"_rows": f"sum({COUNT})", "_known": known_count("sales", COUNT), **sum_parts("sales", "_l", COUNT)}
+    tiered = values.withColumn("sales_tier", tier_of(F.col("sales"), [edges[i] for i in range(3)]))
+    cells = tiered.groupBy("sales_tier").agg(
+        *[F.expr(x).alias(c) for c, x in parts.items()], F.min("sales").alias("_min"), F.max("sales").alias("_max")
+    )
+    return report.from_cells(cells)
+
+
+def plan_together(
+    sales: DataFrame | Callable[[list[str]], DataFrame], registry: dict[str, Report] | None = None
+) -> dict[str, DataFrame | Failure]:
+    """All reports over shared cells: one pass over the lines per family, whose cells are kept, and one over the prices.
+
+    The tiers are those of the prices at hand if ``sales`` is a function; a table brings its own. Reports of no family, and
+    those of a family that fails as a whole, are planned one by one as by ``plan_reports``.
+    """
+    reports = REPORTS if registry is None else registry
+    planned: dict[str, DataFrame | Failure] = {}
+    for family in FAMILIES:
+        members = [reports[k] for k in family if k in reports and reports[k] is REPORTS[k]]
+        inputs = list(dict.fromkeys(c for r in members for c in r.inputs))
+        try:
+            cells = stage(cells_of(sales(inputs) if callable(sales) else sales, members), "cells") if members else None
+        except Exception as error:  # each report then tells by itself
+            log.warning("no shared cells for %s: %s", ", ".join(r.key for r in members), str(error).splitlines()[0])
+            continue
+        planned |= {r.key: r.from_cells(cells) for r in members}
+    tiers = reports.get("sales_tier_distribution")
+    if callable(sales) and tiers is not None and tiers is REPORTS[tiers.key]:
+        planned[tiers.key] = _tier_report(tiers, sales(["sales"]))
+    rest = plan_reports(sales, {k: r for k, r in reports.items() if k not in planned})
+    return {k: planned.get(k, rest.get(k)) for k in reports}
+
+
 def compute_reports(spark: SparkSession, planned: dict[str, DataFrame | Failure]) -> dict[str, DataFrame | Failure]:
     """Every report computed once, in full, and kept on shared storage in its order.
 

@@ -1,9 +1,11 @@
 """The flat sales table over a star schema, joined only as far as it is used.
 
-Order lines reference exactly one order, customer, nation, region and part, so a
-dimension that no requested column comes from cannot change the rows and is not
-joined. The dimensions are joined with each other first: the fact table is
-shuffled at most once per key (order, part), never by customer.
+The table is the inner join of order lines with their order, customer, nation, region
+and part. A dimension that no requested column comes from is left out only where it
+cannot change the rows: where ``reference_check`` found that every line has exactly one
+row in each. The check runs once per application and folder and its result is kept. The
+dimensions are joined with each other first: the fact table is shuffled at most once per
+key (order, part), never by customer.
 """
 
 from __future__ import annotations
@@ -63,6 +65,50 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.schema(_schemas[known]).parquet(path)
 
 
+#: Reference -> (table and key that refer, table and key referred to).
+REFERENCES = {
+    "order": ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    "part": ("lineitem", "l_partkey", "part", "p_partkey"),
+    "customer": ("orders", "o_custkey", "customer", "c_custkey"),
+    "nation": ("customer", "c_nationkey", "nation", "n_nationkey"),
+    "region": ("nation", "n_regionkey", "region", "r_regionkey"),
+}
+
+_evidence: dict[tuple[str, str], bool] = {}
+
+
+def reference_check(spark: SparkSession, folder: str) -> DataFrame:
+    """``(reference, rows, orphans, repeated)``: rows that refer, those of them whose key is missing there, and keys that occur twice there.
+
+    Both keys are counted before they meet, so a key that a third of all rows have is one row of the join.
+    """
+    parts = []
+    for name, (table, key, other, other_key) in REFERENCES.items():
+        used = _read(spark, folder, table).groupBy(F.col(key).alias("k")).agg(F.count("*").alias("n"))
+        there = _read(spark, folder, other).groupBy(F.col(other_key).alias("k")).agg(F.count("*").alias("m"))
+        found = used.join(there, "k", "full")
+        zero = F.lit(0).cast("bigint")
+        parts.append(
+            found.agg(
+                F.coalesce(F.sum("n"), zero).alias("rows"),
+                F.coalesce(F.sum(F.when(F.col("m").isNull(), F.col("n"))), zero).alias("orphans"),
+                F.count_if(F.col("k").isNotNull() & (F.col("m") > 1)).alias("repeated"),
+            ).select(F.lit(name).alias("reference"), "rows", "orphans", "repeated")
+        )
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+def references_hold(spark: SparkSession, folder: str) -> bool:
+    """If ``reference_check`` found nothing; asked once per application and folder."""
+    known = (spark.sparkContext.applicationId, folder.rstrip("/"))
+    if known not in _evidence:
+        _evidence[known] = not reference_check(spark, folder).where("orphans > 0 OR repeated > 0").take(1)
+    return _evidence[known]
+
+
 def _facts(spark: SparkSession, folder: str, tables: set[str]) -> DataFrame:
     """Order lines with the dimensions in ``tables`` (and those on the way there)."""
     facts = _read(spark, folder, "lineitem")
@@ -85,12 +131,17 @@ def _facts(spark: SparkSession, folder: str, tables: set[str]) -> DataFrame:
     return facts
 
 
-def sales_data(spark: SparkSession, folder: str, columns: Iterable[str] | None = None) -> DataFrame:
-    """The cleaned order table, or the requested base and feature columns of it."""
+def sales_data(spark: SparkSession, folder: str, columns: Iterable[str] | None = None, skip: bool | None = None) -> DataFrame:
+    """The cleaned order table, or the requested base and feature columns of it.
+
+    ``skip`` says whether unused dimensions may be left out; without it ``references_hold`` is asked.
+    """
+    skip = references_hold(spark, folder) if skip is None else skip
     wanted = list(columns) if columns is not None else [*CLEAN_COLUMNS, *FEATURE_INPUTS]
     inputs = [i for c in wanted for i in FEATURE_INPUTS.get(c, (c,))]
     needed = list(dict.fromkeys(inputs)) or ["row_id"]
-    facts = _facts(spark, folder, {BASE[c][0] for c in needed})
+    every = {table for table, _ in BASE.values()}
+    facts = _facts(spark, folder, {BASE[c][0] for c in needed} if skip else every)
     df = facts.selectExpr(*[f"{BASE[c][1]} AS {c}" for c in needed])
     for name in wanted:
         if name in CALENDAR:
@@ -98,9 +149,8 @@ def sales_data(spark: SparkSession, folder: str, columns: Iterable[str] | None =
         elif name == "shipping_days":
             df = shipping_days(df)
         elif name == "sales_tier":
-            # The quartiles need the price only, so they skip every join.
-            prices = _read(spark, folder, "lineitem").selectExpr(f"{BASE['sales'][1]} AS sales")
-            edges = quantile_edges(prices, "sales", QUARTILES)
+            # the quartiles need the price only
+            edges = quantile_edges(sales_data(spark, folder, ["sales"], skip), "sales", QUARTILES)
             df = df.withColumn("sales_tier", tier_of(F.col("sales"), [edges[i] for i in range(3)]))
     return df.select(*wanted)
 

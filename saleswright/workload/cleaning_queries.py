@@ -143,11 +143,11 @@ def null_report(spark, folder):
 
 def _evidence_sql(column: str, text: str) -> str:
     first, second = (f"CAST(regexp_extract({text}, '^([0-9]{{1,2}})[-/.]([0-9]{{1,2}})', {g}) AS INT)" for g in (1, 2))
-    day = f"bool_or({first} > 12)"
-    month = f"bool_or({first} <= 12 AND {second} > 12)"
+    day = f"count(*) FILTER ({first} > 12)"
+    month = f"count(*) FILTER ({first} <= 12 AND {second} > 12)"
     return (
-        f"SELECT '{column}' AS column, CAST({day} AS VARCHAR) AS day_first, CAST({month} AS VARCHAR) AS month_first, "
-        f"CAST(CASE WHEN {day} <> {month} THEN {day} END AS VARCHAR) AS dayfirst FROM raw"
+        f"SELECT '{column}' AS column, {day} AS day_first, {month} AS month_first, "
+        f"CAST(CASE WHEN ({day} > 0) <> ({month} > 0) THEN {day} > 0 END AS VARCHAR) AS dayfirst FROM raw"
     )
 
 

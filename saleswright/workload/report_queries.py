@@ -12,11 +12,12 @@ from saleswright.plans.reports import (
     REPORTS,
     headline_metrics,
     plan_reports,
-    report_views,
+    plan_together,
     run_all_reports,
 )
-from saleswright.plans.sales_table import sales_data
-from saleswright.workload.sql import AOV, REV, half_up, over_flat, over_sales, total
+from saleswright.plans.sales_table import REFERENCES, reference_check, sales_data
+from saleswright.sinks import exports
+from saleswright.workload.sql import AOV, FLAT, REV, features, half_up, over_flat, over_sales, total
 
 QUERIES, SQL = {}, {}
 
@@ -97,6 +98,24 @@ def engineer_features(spark, folder):
 # --- reports ---------------------------------------------------------------------
 
 
+def cells_sql(parts: dict[str, str]) -> str:
+    """All cells of ordered results: a number where the text is one, else the text."""
+    return "\nUNION ALL\n".join(
+        f"SELECT '{k}' AS report, row, \"column\", try_cast(value AS DOUBLE) AS number, "
+        "CASE WHEN try_cast(value AS DOUBLE) IS NULL THEN value END AS text FROM "
+        f"(SELECT row, COLUMNS(* EXCLUDE (row))::VARCHAR FROM (SELECT row_number() OVER () AS row, * FROM ({s}))) "
+        'UNPIVOT INCLUDE NULLS (value FOR "column" IN (COLUMNS(* EXCLUDE (row))))'
+        for k, s in parts.items()
+    )
+
+
+def report_cells(results):
+    number = F.col("value").try_cast("double")
+    return exports.report_book(results).select(
+        "report", "row", "column", number.alias("number"), F.when(number.isNull(), F.col("value")).alias("text")
+    )
+
+
 def _group(keys: str, measures: str, order: str, limit: int | None = None) -> str:
     names = ", ".join(k.split(" AS ")[0] for k in keys.split(", "))
     tail = f" LIMIT {limit}" if limit else ""
@@ -180,6 +199,11 @@ def planned(spark, folder):
     return plan_reports(partial(sales_data, spark, folder))
 
 
+def planned_together(spark, folder):
+    """All reports over shared cells."""
+    return plan_together(partial(sales_data, spark, folder))
+
+
 @register(
     "run_all_reports",
     over_sales(
@@ -190,7 +214,7 @@ def planned(spark, folder):
     ),
 )
 def all_reports(spark, folder):
-    return run_all_reports(spark, planned(spark, folder))
+    return run_all_reports(spark, planned_together(spark, folder))
 
 
 def _headline_sql() -> str:
@@ -220,34 +244,32 @@ def headlines(spark, folder):
     return headline_metrics(planned(spark, folder))
 
 
-def _views_sql() -> str:
-    shown = {
-        "total_revenue_summary": ("'all'", "total_revenue", 1),
-        "category_performance": ("category", "total_revenue", 5),
-        "region_performance": ("region", "total_revenue", 5),
-        "segment_analysis": ("segment", "total_revenue", 5),
-        "top_10_customers": ("customer_name", "total_revenue", 10),
-        "shipping_mode_analysis": ("ship_mode", "total_revenue", 1000),
-        "top_10_products": ("product_name", "total_revenue", 10),
-    }
-    return over_sales(
-        "\nUNION ALL\n".join(
-            f"SELECT '{k}' AS view, {label} AS label, {value} AS total_revenue, "
-            f"CAST({width} AS BIGINT) AS columns FROM (SELECT * FROM ({REPORT_SQL[k]}) LIMIT {cap})"
-            for (k, (label, value, cap)), width in zip(shown.items(), (6, 4, 5, 6, 5, 5, 4), strict=True)
-        )
-    )
+@register(
+    "reference_check",
+    "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS reference, count(*) AS rows, count(*) FILTER (NOT EXISTS (SELECT 1 FROM {other} WHERE {other_key} = {key})) AS orphans, "
+        f"(SELECT count(*) FROM (SELECT {other_key} FROM {other} WHERE {other_key} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)) AS repeated FROM {table}"
+        for name, (table, key, other, other_key) in REFERENCES.items()
+    ),
+)
+def references(spark, folder):
+    """How many lines, orders and places refer to nothing, or to something ambiguous."""
+    return reference_check(spark, folder)
 
 
-@register("report_views", _views_sql())
-def views(spark, folder):
-    """The printed views one below the other: label, revenue and number of columns."""
-    out = None
-    for key, view in report_views(planned(spark, folder)).items():
-        label = F.lit("all") if key == "total_revenue_summary" else F.col(view.columns[0])
-        part = view.select(
-            F.lit(key).alias("view"), label.alias("label"), "total_revenue", F.lit(len(view.columns)).alias("columns")
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+# --- missing sales -----------------------------------------------------------------
+
+_GAPS = "gaps AS (SELECT * REPLACE (CASE WHEN row_id % 13 <> 0 THEN sales END AS sales) FROM flat)"
+
+
+def over_gaps(body: str) -> str:
+    return f"WITH {FLAT}, {_GAPS}, sales_data AS ({features('gaps')})\n{body}"
+
 
+@register("reports_with_gaps", over_gaps(cells_sql(REPORT_SQL)))
+def reports_with_gaps(spark, folder):
+    """Every cell of all reports where every 13th line's price is not a number."""
+    columns = dict.fromkeys(c for r in REPORTS.values() for c in r.inputs if c != "sales_tier")
+    sales = sales_data(spark, folder, [*columns, "row_id"])
+    price = F.when(F.col("row_id") % 13 == 0, F.lit(float("nan"))).otherwise(F.col("sales"))
+    return report_cells(plan_together(fe.sales_tier(sales.withColumn("sales", price))))

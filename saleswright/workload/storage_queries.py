@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 
 from saleswright.functions.numeric import exact_sum
 from saleswright.operators.filters import SalesFilter, apply_filters
+from saleswright.plans import reports
 from saleswright.plans.batch import reports_from_processed, run_stages
 from saleswright.plans.sales_table import FEATURE_INPUTS, raw_orders, sales_data
 from saleswright.sinks import exports, tables
 from saleswright.sources import files
 from saleswright.workload.cleaning_queries import summary
-from saleswright.plans.reports import report_views
-from saleswright.workload.report_queries import REPORT_SQL, SQL as REPORT_FULL_SQL, planned
+from saleswright.workload.report_queries import REPORT_SQL, SQL as REPORT_FULL_SQL, cells_sql, planned, planned_together, report_cells
 from saleswright.workload.sql import (
     DIGEST_COLUMNS,
     RAW_COLUMNS,
@@ -69,46 +69,6 @@ def scan_parquet(spark, folder):
     return summary(files.scan_parquet(spark, path))
 
 
-@register(
-    "load_dataset",
-    "SELECT l_linenumber AS line, count(*) AS rows, CAST(sum(l_orderkey) AS BIGINT) AS keys, "
-    f"{total('l_extendedprice')} AS price, count(DISTINCT l_returnflag) AS flags FROM lineitem GROUP BY 1",
-)
-def load_dataset(spark, folder):
-    df = files.load_dataset(spark, f"{folder}/lineitem.parquet")
-    return df.groupBy(F.col("l_linenumber").alias("line")).agg(
-        F.count("*").alias("rows"),
-        F.sum("l_orderkey").alias("keys"),
-        exact_sum("l_extendedprice").alias("price"),
-        F.count_distinct("l_returnflag").alias("flags"),
-    )
-
-
-@register(
-    "discover_and_load",
-    over_raw(
-        "SELECT ship_mode, count(*) AS rows, count(segment) AS known_segments, count(quantity) AS known_quantities, "
-        f"{total('sales')} AS revenue, CAST(sum(row_id) AS BIGINT) AS keys, min(order_date) AS first_text FROM raw GROUP BY 1"
-    ),
-)
-def discover_and_load(spark, folder):
-    """A folder with an unreadable file first and then two data sets: types are inferred."""
-    base = work_dir(spark)
-    raw = raw_orders(spark, folder)
-    raw.select("Row ID", "Ship Mode").write.json(f"{base}/b_later.json")
-    raw.write.option("header", True).option("escape", '"').csv(f"{base}/a_orders.csv")
-    raw.select("Row ID").limit(1).write.json(f"{base}/_ignored.txt")
-    df = files.discover_and_load(spark, base)
-    return df.groupBy(F.col("Ship Mode").alias("ship_mode")).agg(
-        F.count("*").alias("rows"),
-        F.count("Segment").alias("known_segments"),
-        F.count("Quantity").alias("known_quantities"),
-        exact_sum("Sales").alias("revenue"),
-        F.sum("Row ID").alias("keys"),
-        F.min("Order Date").alias("first_text"),
-    )
-
-
 @register(
     "reload_processed",
     over_sales(
@@ -218,88 +178,7 @@ def table_layout(spark, folder):
     )
 
 
-def _read_back_sql() -> str:
-    return over_sales(
-        "\nUNION ALL\n".join(
-            f"SELECT '{k}' AS report, count(*) AS rows, {total('total_revenue')} AS revenue FROM ({s})"
-            for k, s in REPORT_SQL.items()
-        )
-    )
-
-
-def _read_back(spark, folder, keys):
-    out = None
-    for key in keys:
-        report = files.scan_csv(spark, f"{folder}/{key}", {"total_revenue": "double"}, multi_line=False)
-        line = report.agg(F.count("*").alias("rows"), exact_sum("total_revenue").alias("revenue"))
-        line = line.select(F.lit(key).alias("report"), "rows", "revenue")
-        out = line if out is None else out.unionByName(line)
-    return out
-
-
-@register("export_reports_csv", _read_back_sql())
-def export_reports_csv(spark, folder):
-    base = work_dir(spark)
-    return _read_back(spark, base, exports.export_reports_csv(planned(spark, folder), base))
-
-
-@register("export_report_bundle", _read_back_sql() + "\nUNION ALL SELECT 'cleaned_data', count(*), " + total("sales") + " FROM sales_data")
-def export_report_bundle(spark, folder):
-    """The bundle read back: all reports and the cleaned data next to them."""
-    base = work_dir(spark)
-    keys = exports.export_report_bundle(_clean(spark, folder), planned(spark, folder), base)
-    data = files.scan_csv(spark, f"{base}/cleaned_data.csv", _TYPES, multi_line=False)
-    line = data.agg(F.count("*").alias("rows"), exact_sum("sales").alias("revenue"))
-    line = line.select(F.lit("cleaned_data").alias("report"), "rows", "revenue")
-    return _read_back(spark, f"{base}/reports", keys).unionByName(line)
-
-
-@register(
-    "report_book",
-    over_sales(
-        "\nUNION ALL\n".join(
-            f"SELECT '{k}' AS report, CAST(row AS BIGINT) AS row, {label} AS label FROM "
-            f"(SELECT row_number() OVER (ORDER BY {order}) AS row, * FROM ({REPORT_SQL[k]}))"
-            for k, (label, order) in {
-                "monthly_revenue_trend": ("month_name", "year, month"),
-                "category_performance": ("category", "total_revenue DESC, category"),
-                "top_10_customers": ("customer_name", "total_revenue DESC, customer_id"),
-                "top_10_cities": ("city", "total_revenue DESC, city"),
-            }.items()
-        )
-    ),
-)
-def report_book(spark, folder):
-    """Labels of four reports in the order of the book."""
-    labels = {"monthly_revenue_trend": "month_name", "category_performance": "category",
-              "top_10_customers": "customer_name", "top_10_cities": "city"}
-    some = {k: v for k, v in planned(spark, folder).items() if k in labels}
-    book = exports.report_book(some)
-    chosen = F.lit(False)
-    for key, column in labels.items():
-        chosen = chosen | ((F.col("report") == key) & (F.col("column") == column))
-    return book.where(chosen).select("report", "row", F.col("value").alias("label"))
-
-
-# --- whole results: every cell of the reports, every column of the loaders ----------
-
-
-def _cells_sql(parts: dict[str, str]) -> str:
-    """All cells of ordered results: a number where the text is one, else the text."""
-    return "\nUNION ALL\n".join(
-        f"SELECT '{k}' AS report, row, \"column\", try_cast(value AS DOUBLE) AS number, "
-        "CASE WHEN try_cast(value AS DOUBLE) IS NULL THEN value END AS text FROM "
-        f"(SELECT row, COLUMNS(* EXCLUDE (row))::VARCHAR FROM (SELECT row_number() OVER () AS row, * FROM ({s}))) "
-        'UNPIVOT INCLUDE NULLS (value FOR "column" IN (COLUMNS(* EXCLUDE (row))))'
-        for k, s in parts.items()
-    )
-
-
-def _cells(results):
-    number = F.col("value").try_cast("double")
-    return exports.report_book(results).select(
-        "report", "row", "column", number.alias("number"), F.when(number.isNull(), F.col("value")).alias("text")
-    )
+# --- every cell of the reports, every column of the loaders -----------------------------
 
 
 def _written_cells(spark, base, keys, plan):
@@ -320,39 +199,39 @@ _SHOWN = {
 }
 
 
-@register("report_book_cells", over_sales(_cells_sql(REPORT_SQL)))
-def report_book_cells(spark, folder):
+@register("report_book", over_sales(cells_sql(REPORT_SQL)))
+def report_book(spark, folder):
     """The whole book: every cell of all planned reports."""
-    return _cells(planned(spark, folder))
+    return report_cells(planned_together(spark, folder))
 
 
 @register(
-    "report_views_cells",
-    over_sales(_cells_sql({k: f"SELECT {c} FROM ({REPORT_SQL[k]}) LIMIT {n}" for k, (c, n) in _SHOWN.items()})),
+    "report_views",
+    over_sales(cells_sql({k: f"SELECT {c} FROM ({REPORT_SQL[k]}) LIMIT {n}" for k, (c, n) in _SHOWN.items()})),
 )
-def report_views_cells(spark, folder):
+def report_views(spark, folder):
     """Every cell of the printed views."""
-    return _cells(report_views(planned(spark, folder)))
+    return report_cells(reports.report_views(planned(spark, folder)))
 
 
-@register("export_reports_csv_cells", over_sales(_cells_sql(REPORT_SQL)))
-def export_reports_csv_cells(spark, folder):
+@register("export_reports_csv", over_sales(cells_sql(REPORT_SQL)))
+def export_reports_csv(spark, folder):
     """Every cell of the written reports, read back."""
-    base, plan = work_dir(spark), planned(spark, folder)
-    return _cells(_written_cells(spark, base, exports.export_reports_csv(plan, base), plan))
+    base, plan = work_dir(spark), planned_together(spark, folder)
+    return report_cells(_written_cells(spark, base, exports.export_reports_csv(plan, base), plan))
 
 
 @register(
-    "export_report_bundle_cells",
-    over_sales(_cells_sql(REPORT_SQL | {"cleaned_data": f"SELECT * FROM ({digest('sales_data')}) ORDER BY order_year, category"})),
+    "export_report_bundle",
+    over_sales(cells_sql(REPORT_SQL | {"cleaned_data": f"SELECT * FROM ({digest('sales_data')}) ORDER BY order_year, category"})),
 )
-def export_report_bundle_cells(spark, folder):
+def export_report_bundle(spark, folder):
     """Every cell of the bundle's reports, and a digest of all columns of its data."""
-    base, plan = work_dir(spark), planned(spark, folder)
+    base, plan = work_dir(spark), planned_together(spark, folder)
     keys = exports.export_report_bundle(_clean(spark, folder), plan, base)
     data = files.scan_csv(spark, f"{base}/cleaned_data.csv", _TYPES, multi_line=False)
     ordered = summary(data).orderBy("order_year", "category")
-    return _cells(_written_cells(spark, f"{base}/reports", keys, plan) | {"cleaned_data": ordered})
+    return report_cells(_written_cells(spark, f"{base}/reports", keys, plan) | {"cleaned_data": ordered})
 
 
 def _columns_sql(source: str, group: str, texts: list[str], numbers: list[str]) -> str:
@@ -396,8 +275,8 @@ _LINE_TEXTS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_return
 _LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-@register("load_dataset_columns", _columns_sql("lineitem", "l_linenumber", _LINE_TEXTS, _LINE_NUMBERS))
-def load_dataset_columns(spark, folder):
+@register("load_dataset", _columns_sql("lineitem", "l_linenumber", _LINE_TEXTS, _LINE_NUMBERS))
+def load_dataset(spark, folder):
     """A digest of all columns of the loaded table."""
     return _columns(files.load_dataset(spark, f"{folder}/lineitem.parquet"), "l_linenumber", _LINE_TEXTS, _LINE_NUMBERS)
 
@@ -406,9 +285,9 @@ _RAW_NUMBERS = ["sales", "quantity"]
 _RAW_TEXTS = [c for c in RAW_COLUMNS if c not in _RAW_NUMBERS]
 
 
-@register("discover_and_load_columns", over_raw(_columns_sql("raw", "ship_mode", _RAW_TEXTS, _RAW_NUMBERS)))
-def discover_and_load_columns(spark, folder):
-    """As ``discover_and_load``, with a digest of all columns."""
+@register("discover_and_load", over_raw(_columns_sql("raw", "ship_mode", _RAW_TEXTS, _RAW_NUMBERS)))
+def discover_and_load(spark, folder):
+    """A folder with an unreadable file first and then two data sets, types inferred: a digest of all columns."""
     base = work_dir(spark)
     raw = raw_orders(spark, folder)
     raw.select("Row ID", "Ship Mode").write.json(f"{base}/b_later.json")
@@ -421,10 +300,13 @@ def discover_and_load_columns(spark, folder):
 @register(
     "staged_run",
     over_raw(
-        "SELECT * FROM (SELECT 'ingestion' AS stage, 'success' AS status, (SELECT count(*) FROM raw) AS rows UNION ALL "
-        "SELECT stage, 'success', (SELECT count(*) FROM (SELECT DISTINCT * FROM raw)) FROM "
-        "(VALUES ('cleaning'), ('save'), ('database')) v(stage) UNION ALL "
-        "SELECT stage, 'success', 15 FROM (VALUES ('analytics'), ('export')) v(stage))"
+        f"SELECT * FROM (SELECT 'ingestion' AS stage, 'success' AS status, (SELECT count(*) FROM raw) AS rows, CAST({len(RAW_COLUMNS)} AS BIGINT) AS cols "
+        "UNION ALL SELECT stage, 'success', (SELECT count(*) FROM (SELECT DISTINCT * FROM raw)), "
+        # the columns of the raw table, a flag for each numeric column with one gap in twenty values or more, and the features
+        f"{len(RAW_COLUMNS)} + (SELECT " + " + ".join(f"CAST(20 * (count(*) - count({c})) >= count(*) AS BIGINT)" for c in ("quantity", "postal_code"))
+        + f" FROM (SELECT DISTINCT * FROM raw)) + {len(FEATURE_INPUTS)} "
+        "FROM (VALUES ('cleaning'), ('save'), ('database')) v(stage) UNION ALL "
+        f"SELECT stage, 'success', {len(reports.REPORTS)}, NULL FROM (VALUES ('analytics'), ('export')) v(stage))"
     ),
 )
 def staged_run(spark, folder):
@@ -432,7 +314,7 @@ def staged_run(spark, folder):
     base = work_dir(spark)
     raw_orders(spark, folder).write.option("header", True).option("escape", '"').csv(f"{base}/in/orders.csv")
     metrics = run_stages(spark, f"{base}/in", f"{base}/out", _TABLE, table_path=f"{base}/{_TABLE}")
-    return metrics.select("stage", "status", "rows")
+    return metrics.select("stage", "status", "rows", "cols")
 
 
 @register("reports_from_processed", REPORT_FULL_SQL["headline_metrics"])

@@ -10,7 +10,7 @@ from saleswright.workload.report_queries import planned
 from saleswright.workload.sql import RAW_COLUMNS
 
 
-@pytest.mark.parametrize("name", ["report_book_cells", "export_reports_csv_cells"])
+@pytest.mark.parametrize("name", ["report_book", "export_reports_csv"])
 def test_every_cell_of_every_report(spark, folder, name):
     got = {}
     for r in registry.run(name, spark, folder).collect():
@@ -23,5 +23,5 @@ def test_every_cell_of_every_report(spark, folder, name):
 
 def test_every_column_of_the_loaders(spark, folder):
     lines = spark.read.parquet(f"{folder}/lineitem.parquet").columns
-    for name, columns in (("load_dataset_columns", lines), ("discover_and_load_columns", RAW_COLUMNS)):
+    for name, columns in (("load_dataset", lines), ("discover_and_load", RAW_COLUMNS)):
         assert {r["column"] for r in registry.run(name, spark, folder).collect()} == set(columns)
