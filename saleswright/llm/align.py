@@ -53,9 +53,9 @@ _SPACE = "▁"
 #: White space besides space and line end, or what some call so.
 _OTHER = re.compile("[^\\S \\n]|[\\u180e\\u200b\\u2060\\ufeff]")
 _UNIT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-#: The same, cut between a letter and a mark as well.
-_MARKED = re.compile(r"[ \n]*(?:[^\W\d_]+(?=[.,;:!?])|[^ \n]+)|[ \n]+")
-_MARKS = ".,;:!?"
+_MARKED_LETTER = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f](?=[.,;:!?])"
+#: The same, cut between Latin letters and a mark as well.
+_MARKED = re.compile(rf"[ \n]*(?:[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]*{_MARKED_LETTER}|[^ \n]+)|[ \n]+")
 _SHARD = (
     "shard bigint, doc_ids array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, n_links array<bigint>, "
     "digests array<string>, doc_ends binary, doc_units binary, unit_ends binary, unit_pairs binary, a binary, b binary, n binary"
@@ -113,7 +113,7 @@ class Aligner:
         self.blank = pieces.index(_SPACE)
         # a piece may hold spaces at its start only, and no line end at all, for units to be cut there
         self.separable = not any(_SPACE in p.lstrip(_SPACE) or "\n" in p for p in pieces)
-        mixed = any(x.isalnum() and y in _MARKS for p in pieces for x, y in zip(p, p[1:], strict=False))
+        mixed = any(re.search(_MARKED_LETTER, p) for p in pieces)
         self.unit = _UNIT if mixed else _MARKED
         self.known: dict[str, tuple | None] = {}
         self.old: dict[str, tuple | None] = {}
