@@ -142,9 +142,9 @@ class Aligner:
         return len(a), len(b), len(parts), spelled, array("Q", pairs).tobytes()
 
     def b_ids(self, units: list[str]) -> list[list[int]]:
-        """The library puts a space before each but an empty text; where a unit brings none of its own, that is a token of its own and goes."""
-        found = self.b.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
-        return [(ids or [self.blank]) if u[0] == " " else ids[ids[0] == self.blank :] for u, ids in zip(units, found, strict=True)]
+        """The library puts a space before each but an empty text. A unit without one follows a line end, and both tokens before it go."""
+        found = self.b.encode([u[1:] if u[0] == " " else "\n" + u for u in units], num_threads=1)
+        return [(ids or [self.blank]) if u[0] == " " else ids[2:] for u, ids in zip(units, found, strict=True)]
 
     def records(self, units: list[str]) -> list[tuple | None]:
         if len(self.known) >= REMEMBERED:
