@@ -51,7 +51,8 @@ BITS = 1 << 25
 #: Shingles in a chunk that is compared with another inside a task.
 CHUNK = 1 << 18
 _MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
-DESCRIBED = "doc_id bigint, n_shingles bigint, set_id binary, keys array<bigint>, units array<int>, needs array<int>"
+#: ``own`` keys of the set's own band come first; ``units`` tells those of wide and of sparse sets, otherwise each is a unit of its own.
+DESCRIBED = "doc_id bigint, n_shingles bigint, set_id binary, keys array<bigint>, units array<int>, own int, proper int, need int"
 
 
 @cache
@@ -114,21 +115,24 @@ def segment_keys(shingles: np.ndarray, high: int) -> tuple[np.ndarray, np.ndarra
 
 def _described(batch: pa.RecordBatch) -> list:
     """Each set with its keys, in its own band and in the band below. Units of -1 are for others to find: nothing is spent on them."""
-    out: list[list] = [[] for _ in range(5)]
+    out: list[list] = [[] for _ in range(7)]
     for text in batch.column(1).to_pylist():
         found = T.shingle_set(text)
-        n, keys, units, needs = len(found), np.zeros(0, np.int64), np.zeros(0, np.int32), []
+        n, keys, units, own, proper, need = len(found), np.zeros(0, np.int64), np.zeros(0, np.int32), 0, 0, 0
         if n:
             low, high = band_of(n)
             keys, units, empty, proper = segment_keys(found, high)
-            if proper > n // 4:
-                units, needs = np.where(empty, np.int32(-1), units), [proper, n // 4 + 1]
-            else:  # all there is
-                needs = [proper, len(keys) + proper]
+            own, need = len(keys), n // 4 + 1
+            if proper < need:  # all there is
+                need = own + proper
+            elif empty.any():
+                units = np.where(empty, np.int32(-1), units)
+            elif high > WIDE:
+                units = units[:0]
             if 100 * (low - 1) >= PERCENT * n:
                 below, *_ = segment_keys(found, low - 1)
-                keys, units = np.concatenate([keys, below]), np.concatenate([units, np.full(len(below), -1, np.int32)])
-        for column, value in zip(out, (n, neardup.set_id(found) if n else None, keys, units, needs), strict=True):
+                keys = np.concatenate([keys, below])
+        for column, value in zip(out, (n, neardup.set_id(found) if n else None, keys, units, own, proper, need), strict=True):
             column.append(value)
     return [batch.column(0), *out]
 
@@ -147,16 +151,27 @@ def one_each(described: DataFrame) -> tuple[DataFrame, DataFrame]:
     return named.join(copies.select("doc_id", "set_id"), ["doc_id", "set_id"], "left_anti"), copies.select("u", F.col("doc_id").alias("v"))
 
 
+def _units(own: int, told: np.ndarray, size: int) -> np.ndarray:
+    """The unit of each of ``size`` keys; -1 for those of the band below."""
+    out = np.full(size, -1, np.int32)
+    out[:own] = told if len(told) else 4 * np.arange(own)
+    return out
+
+
 def _listed(table: bits.Bitmap):
     """The keys of a set that the bitmap lets through, a row each."""
 
     def work(batch: pa.RecordBatch) -> list:
-        keys, units = batch.column(3), batch.column(4)
-        which = np.repeat(np.arange(batch.num_rows), np.diff(keys.offsets.to_numpy()))
-        own, unit = keys.flatten().to_numpy(), units.flatten().to_numpy()
-        hit = table.has(own)
-        at = pa.array(which[hit])
-        return [*[batch.column(k).take(at) for k in (0, 1, 2, 5)], own[hit], unit[hit]]
+        held = [batch.column(k) for k in range(3)]
+        keys, told = batch.column(3), batch.column(4)
+        own, proper, need = (batch.column(k).to_numpy() for k in (5, 6, 7))
+        sizes = np.diff(keys.offsets.to_numpy())
+        which, every = np.repeat(np.arange(batch.num_rows), sizes), keys.flatten().to_numpy()
+        units = [_units(own[k], told[k].values.to_numpy(), sizes[k]) for k in range(batch.num_rows)]
+        hit = table.has(every)
+        at = which[hit]
+        unit = np.concatenate([np.zeros(0, np.int32), *units])[hit]
+        return [*[c.take(pa.array(at)) for c in held], every[hit], unit, proper[at], need[at]]
 
     return work
 
@@ -169,12 +184,10 @@ def crowded(classes: DataFrame, n_bits: int = BITS) -> DataFrame:
     every = classes.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("many")).where("many > 1")
     repeated = workspace.stage(every, "repeated")
     table = bits.bitmap(repeated, "key", n_bits)
-    rows = classes.select("doc_id", "set_id", "n_shingles", "keys", "units", "needs").where("size(keys) > 0")
-    schema = "doc_id bigint, set_id binary, n bigint, needs array<int>, key bigint, unit int"
-    crowd = (
-        T.map_rows(rows.select("doc_id", "set_id", "n_shingles", "keys", "units", "needs"), schema, _listed(table), rows=64)
-        .dropDuplicates(["doc_id", "set_id", "key", "unit"]).join(repeated, "key")
-    )
+    rows = classes.select("doc_id", "set_id", "n_shingles", "keys", "units", "own", "proper", "need").where("size(keys) > 0")
+    schema = "doc_id bigint, set_id binary, n bigint, key bigint, unit int, proper int, need int"
+    # one shuffle by set serves all windows
+    crowd = T.map_rows(rows, schema, _listed(table), rows=64).join(repeated, "key").repartition("doc_id", "set_id")
     own = Window.partitionBy("doc_id", "set_id")
     unit, segment = (Window.partitionBy("doc_id", "set_id", x) for x in ("unit", F.expr("unit DIV 4")))
     subset, deletion = F.expr("unit >= 0 AND unit % 4 < 2"), F.expr("unit >= 0 AND unit % 4 = 2")
@@ -187,9 +200,9 @@ def crowded(classes: DataFrame, n_bits: int = BITS) -> DataFrame:
         "nth": F.row_number().over(unit.orderBy("key")),
     })
     counted = F.when((F.col("unit") >= 0) & (F.col("nth") == 1), F.col("worth")).otherwise(0)
-    free = F.get("needs", 0) - F.sum(counted).over(own)
+    free = F.col("proper") - F.sum(counted).over(own)
     before = F.sum(counted).over(own.orderBy(F.expr("unit < 0"), "cost", "unit")) - F.col("worth")
-    chosen = (F.col("unit") >= 0) & (before < F.get("needs", 1) - free)
+    chosen = (F.col("unit") >= 0) & (before < F.col("need") - free)
     return workspace.stage(priced.select("doc_id", "set_id", "n", "key", chosen.alias("chosen"), "score"), "crowd")
 
 
