@@ -48,6 +48,8 @@ PERCENT = 80
 WIDE = 24
 #: Bits of the filter of repeated keys; 4 MB.
 BITS = 1 << 25
+#: Copies, 24 bytes each, up to which they are sent to the sets; beyond, both are shuffled.
+BROADCAST = 1 << 20
 #: Shingles in a chunk that is compared with another inside a task.
 CHUNK = 1 << 18
 _MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -148,7 +150,10 @@ def one_each(described: DataFrame) -> tuple[DataFrame, DataFrame]:
     named = described.where("doc_id IS NOT NULL AND set_id IS NOT NULL")
     same = named.groupBy("set_id").agg(F.min("doc_id").alias("u"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
     copies = workspace.stage(named.select("doc_id", "set_id").join(same, "set_id").where("doc_id <> u").distinct(), "copies")
-    return named.join(copies.select("doc_id", "set_id"), ["doc_id", "set_id"], "left_anti"), copies.select("u", F.col("doc_id").alias("v"))
+    gone = copies.select("doc_id", "set_id")
+    # the sets themselves need not move for a few copies
+    gone = F.broadcast(gone) if copies.count() <= BROADCAST else gone
+    return named.join(gone, ["doc_id", "set_id"], "left_anti"), copies.select("u", F.col("doc_id").alias("v"))
 
 
 def _units(own: int, told: np.ndarray, size: int) -> np.ndarray:
