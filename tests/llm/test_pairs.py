@@ -11,7 +11,7 @@ import brute
 import numpy as np
 import pytest
 import sentencepiece
-from test_llm import CLASHING, ODD, by_id, given, none, odd  # noqa: F401
+from test_llm import ODD, by_id, given, none, odd  # noqa: F401
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
