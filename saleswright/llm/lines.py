@@ -9,17 +9,18 @@ array with a common prefix of at least that length: the repeated runs. A maximal
 run is the union of its overlapping stretches of that length, so the first copy of each
 stretch (by doc_id, then place) stays and the lines of later ones go.
 
-By lines alone, a passage of one or two lines is never a run, however long. With ``min_words``
-a shorter run counts too when it has more words than that: the rounds before the last find
-these runs anyway, and take the words of each along.
+A run of fewer lines counts too when it has more than ``min_words`` words: the rounds before
+the last find these runs anyway, and take the words of each along. ``min_words=None`` lets
+lines alone decide.
 
 DataFrame operations only. Ranks come from sorted distinct pairs, each with its count, so a
-line that fills a third of the corpus is one row of every sort.
+line that fills a third of the corpus is one row of every sort. A text is split and rebuilt
+in time linear in its lines but for the sorting of their places.
 
 Defined cases: lines without a word are no lines: they never take part and stay; a null text
 has no lines and stays null; rows with null ids come first; repeated rows are later copies of
-the first; an empty table gives an empty result; all columns of the documents pass through,
-and added ones evade their names.
+the first; an empty table gives an empty result; a very long text is one row, its lines are
+rows of their own; all columns of the documents pass through, and added ones evade their names.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from saleswright.llm import text as T
 
 #: Lines in the shortest run that counts as repeated.
 MIN_LINES = 3
-#: With this as ``min_words``, a shorter run counts as repeated when it has more words.
+#: A shorter run counts as repeated when it has more words than this.
 MIN_WORDS = 50
 _BLANK = " \t\r\x0b\x0c"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -98,7 +99,7 @@ def repeated_runs(held: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     return runs
 
 
-def removed_lines(held: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
+def removed_lines(held: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = MIN_WORDS) -> DataFrame:
     """``(row, removed)``: the ordered places, among lines with words, that lie in a later copy of a run."""
     covered = None
     for length, runs in _rounds(held, min_lines, min_words):
@@ -112,10 +113,47 @@ def removed_lines(held: DataFrame, min_lines: int = MIN_LINES, min_words: int |
     return covered.groupBy("row").agg(F.sort_array(F.collect_set("pos")).alias("removed"))
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, report: str | None = None, min_words: int | None = None) -> DataFrame:
+def _marks(size: Column, places: Column) -> Column:
+    """``(at, hit)`` for each number below ``size``, in order: whether it is one of ``places``."""
+    others = F.array_except(F.sequence(F.lit(0), size - 1), places)
+
+    def marked(numbers: Column, hit: bool) -> Column:
+        return F.transform(numbers, lambda x: F.struct(x.alias("at"), F.lit(hit).alias("hit")))
+
+    return F.sort_array(F.concat(marked(places, True), marked(others, False)))
+
+
+def _without(text: Column, removed: Column) -> Column:
+    """The text without the lines at ``removed``, places among its lines with words.
+
+    Arrays are paired with marks of their own length, never indexed inside a lambda, which would
+    split the text again for each element.
+    """
+    lines, worded = F.split(text, "\n", -1), _worded(text)
+    hits = F.zip_with(worded, _marks(F.size(worded), removed), lambda x, m: F.when(m["hit"], x["at"]))
+    gone = F.filter(hits, lambda k: k.isNotNull())
+    # array_join leaves nulls out.
+    return F.array_join(F.zip_with(lines, _marks(F.size(lines), gone), lambda x, m: F.when(~m["hit"], x)), "\n")
+
+
+def _stretches(places: Column) -> Column:
+    """``(runs, longest)``: how many stretches of consecutive numbers the ordered ``places`` form, and the longest."""
+
+    def state(runs: Column, size: Column, longest: Column, last: Column) -> Column:
+        return F.struct(runs.alias("runs"), size.alias("size"), longest.alias("longest"), last.alias("last"))
+
+    def step(held: Column, place: Column) -> Column:
+        follows = place == held["last"] + 1
+        size = F.when(follows, held["size"] + 1).otherwise(1)
+        return state(F.when(follows, held["runs"]).otherwise(held["runs"] + 1), size, F.greatest(held["longest"], size), place)
+
+    return F.aggregate(places, state(F.lit(0), F.lit(0), F.lit(0), F.lit(-2)), step)
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, report: str | None = None, min_words: int | None = MIN_WORDS) -> DataFrame:
     """The documents with all their columns, without the lines of later copies; ``n_chars`` is set anew.
 
-    ``min_words`` lets runs of fewer than ``min_lines`` lines count when they have more words than that.
+    Runs of fewer than ``min_lines`` lines count when they have more than ``min_words`` words; with ``None`` they don't.
     ``report`` names a further column for ``(n_lines, n_removed, n_runs, longest_run)``.
     """
     row, removed = T.free_name(docs, "row"), T.free_name(docs, "removed")
@@ -123,11 +161,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text = F.col(text_col).cast("string")
     gone = removed_lines(held.select(F.col(row).alias("row"), F.col(id_col).alias("doc_id"), text.alias("text")), min_lines, min_words)
     joined = held.join(gone.select(F.col("row").alias(row), F.col("removed").alias(removed)), row, "left")
-    places = F.coalesce(F.col(removed), F.array().cast("array<int>"))
-    lines, worded = F.split(text, "\n", -1), _worded(text)
-    at = F.transform(places, lambda p: F.get(worded, p)["at"])
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), at)
-    clean = F.when(F.col(removed).isNull(), text).otherwise(F.array_join(F.transform(kept, lambda k: F.get(lines, k)), "\n"))
+    clean = F.when(F.col(removed).isNull(), text).otherwise(_without(text, F.col(removed)))
     out = [
         clean.alias(c) if c == text_col
         else F.length(clean).cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
@@ -135,9 +169,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for c in docs.columns
     ]
     if report:
-        starts = F.filter(places, lambda p, k: (k == 0) | (p - F.get(places, k - 1) != 1))
-        ends = F.filter(places, lambda p, k: (k == F.size(places) - 1) | (F.get(places, k + 1) - p != 1))
-        longest = F.coalesce(F.array_max(F.transform(starts, lambda s, k: F.get(ends, k) - s + 1)), F.lit(0))
-        sizes = {"n_lines": F.coalesce(F.size(worded), F.lit(0)), "n_removed": F.size(places), "n_runs": F.size(starts), "longest_run": longest}
+        places = F.coalesce(F.col(removed), F.array().cast("array<int>"))
+        stretches = _stretches(places)
+        sizes = {"n_lines": F.coalesce(F.size(_worded(text)), F.lit(0)), "n_removed": F.size(places), "n_runs": stretches["runs"], "longest_run": stretches["longest"]}
         out.append(F.struct(*[v.cast("bigint").alias(k) for k, v in sizes.items()]).alias(report))
     return joined.select(*out)

@@ -116,6 +116,13 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _later_runs(n: int) -> str:
+    held = ", ".join(f"l{k}" for k in range(n))
+    words = f"AND {' + '.join(f'w{k}' for k in range(n))} > {lines.MIN_WORDS}" if n < lines.MIN_LINES else ""
+    return f"""SELECT doc_id, pos, {n} AS size FROM runs WHERE l{n - 1} IS NOT NULL {words}
+  QUALIFY row_number() OVER (PARTITION BY {held} ORDER BY doc_id, pos) > 1"""
+
+
 SQL["op1_line_dedup"] = rf"""
 WITH every AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS idx
@@ -123,14 +130,15 @@ WITH every AS (
 ), worded AS (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY idx) AS pos
   FROM every WHERE trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''
+), counted AS (
+  SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM worded
 ), runs AS (
-  SELECT doc_id, pos, {", ".join(f"lead(line, {k}) OVER w AS l{k}" for k in range(lines.MIN_LINES))}
-  FROM worded WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+  SELECT doc_id, pos, {", ".join(f"lead(line, {k}) OVER w AS l{k}, lead(n, {k}) OVER w AS w{k}" for k in range(lines.MIN_LINES))}
+  FROM counted WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
 ), later AS (
-  SELECT doc_id, pos FROM runs WHERE l{lines.MIN_LINES - 1} IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY {", ".join(f"l{k}" for k in range(lines.MIN_LINES))} ORDER BY doc_id, pos) > 1
+  {" UNION ALL ".join(_later_runs(n) for n in range(1, lines.MIN_LINES + 1))}
 ), gone AS (
-  SELECT DISTINCT doc_id, pos + k AS pos FROM later, (SELECT unnest(range({lines.MIN_LINES})) AS k)
+  SELECT DISTINCT doc_id, pos + k AS pos FROM (SELECT doc_id, pos, unnest(range(size)) AS k FROM later)
 ), islands AS (
   SELECT doc_id, n, count(*) AS size FROM (
     SELECT doc_id, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS n FROM gone) GROUP BY doc_id, n
@@ -148,33 +156,7 @@ LEFT JOIN (SELECT doc_id, count(*) AS n FROM worded GROUP BY doc_id) w USING (do
 """
 
 
-@query
-def op1_line_dedup_words(spark: SparkSession, folder: str) -> DataFrame:
-    """As ``op1_line_dedup``, and a run of one or two lines counts too when it has over 50 words."""
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    return lines.deduplicated(docs, report="report", min_words=lines.MIN_WORDS).select(
-        "doc_id", "report.*", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
-    )
-
-
-def _later_runs(n: int) -> str:
-    held = ", ".join(f"l{k}" for k in range(n))
-    words = f"AND {' + '.join(f'w{k}' for k in range(n))} > {lines.MIN_WORDS}" if n < lines.MIN_LINES else ""
-    return f"""SELECT doc_id, pos, {n} AS size FROM runs WHERE l{n - 1} IS NOT NULL {words}
-  QUALIFY row_number() OVER (PARTITION BY {held} ORDER BY doc_id, pos) > 1"""
-
-
-_HEAD, _TAIL = SQL["op1_line_dedup"].split("runs AS (")[0], SQL["op1_line_dedup"].split("), islands AS (")[1]
-SQL["op1_line_dedup_words"] = rf"""{_HEAD}counted AS (
-  SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM worded
-), runs AS (
-  SELECT doc_id, pos, {", ".join(f"lead(line, {k}) OVER w AS l{k}, lead(n, {k}) OVER w AS w{k}" for k in range(lines.MIN_LINES))}
-  FROM counted WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
-), later AS (
-  {" UNION ALL ".join(_later_runs(n) for n in range(1, lines.MIN_LINES + 1))}
-), gone AS (
-  SELECT DISTINCT doc_id, pos + k AS pos FROM (SELECT doc_id, pos, unnest(range(size)) AS k FROM later)
-), islands AS ({_TAIL}"""
+QUERIES["op1_line_dedup_words"], SQL["op1_line_dedup_words"] = op1_line_dedup, SQL["op1_line_dedup"]  # its name when words were an option
 
 
 @query

@@ -33,18 +33,20 @@ def components(docs: list[tuple[int, str | None]], percent: int = 75) -> dict[in
     return {d: root(d) for d in ids}
 
 
-def without_line_runs(docs: list[tuple[int, str | None]], length: int) -> dict[int, str]:
+def without_line_runs(docs: list[tuple[int, str | None]], min_lines: int, min_words: int) -> dict[int, str | None]:
     seen, out = set(), {}
     for doc, text in docs:
         lines = (text or "").split("\n")
         worded = [k for k, x in enumerate(lines) if x.strip(" \t\r\x0b\x0c")]
         gone = set()
-        for p in range(len(worded) - length + 1):
-            run = tuple(lines[k] for k in worded[p : p + length])
-            if run in seen:
-                gone.update(worded[p : p + length])
-            seen.add(run)
-        out[doc] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
+        for size in range(1, min_lines + 1):
+            for p in range(len(worded) - size + 1):
+                run = tuple(lines[k] for k in worded[p : p + size])
+                if size == min_lines or sum(len(WORD.findall(x)) for x in run) > min_words:
+                    if run in seen:
+                        gone.update(worded[p : p + size])
+                    seen.add(run)
+        out[doc] = text if not gone else "\n".join(x for k, x in enumerate(lines) if k not in gone)
     return out
 
 

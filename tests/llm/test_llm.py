@@ -61,7 +61,7 @@ def by_id(df) -> dict:
 
 def test_line_dedup(given, odd, none):
     docs, rows = given
-    want = brute.without_line_runs(rows, lines.MIN_LINES)
+    want = brute.without_line_runs(rows, lines.MIN_LINES, lines.MIN_WORDS)
     assert {d: r["text"] for d, r in by_id(lines.deduplicated(docs)).items()} == want
     got = lines.deduplicated(odd)
     assert got.columns == odd.columns and got.count() == len(ODD)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import time
+
+import brute
+
 from saleswright.llm import lines
 
 LONG = " ".join(f"w{k}" for k in range(51))
@@ -20,32 +24,45 @@ DOCS = [
 ]
 
 
-def plain(rows: list[tuple[int, str | None]], min_lines: int, min_words: int) -> dict[int, str | None]:
-    seen, out = set(), {}
-    for doc, text in rows:
-        parts = (text or "").split("\n")
-        worded = [k for k, x in enumerate(parts) if x.strip(" \t\r\x0b\x0c")]
-        gone = set()
-        for size in range(1, min_lines + 1):
-            for p in range(len(worded) - size + 1):
-                run = tuple(parts[k] for k in worded[p : p + size])
-                if size == min_lines or sum(len(x.split()) for x in run) > min_words:
-                    if run in seen:
-                        gone.update(worded[p : p + size])
-                    seen.add(run)
-        out[doc] = text if not gone else "\n".join(x for k, x in enumerate(parts) if k not in gone)
-    return out
+def texts(df):
+    return {r.doc_id: r.text for r in df.collect()}
 
 
 def test_long_short_runs_go(spark):
-    got = {r.doc_id: r.text for r in lines.deduplicated(spark.createDataFrame(DOCS, "doc_id long, text string"), min_words=lines.MIN_WORDS).collect()}
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    got = texts(lines.deduplicated(docs))
     assert got[2] == "head two\ntail two" and got[4] == "u\nv" and got[8] == ""
-    assert got == plain(DOCS, lines.MIN_LINES, lines.MIN_WORDS)
+    assert got == brute.without_line_runs(DOCS, lines.MIN_LINES, lines.MIN_WORDS)
+    assert texts(lines.deduplicated(docs, min_words=None)) == dict(DOCS)
 
 
 def test_given_documents(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").orderBy("doc_id").collect()]
-    got = {r.doc_id: r.text for r in lines.deduplicated(docs, min_words=lines.MIN_WORDS).collect()}
-    assert got == plain(rows, lines.MIN_LINES, lines.MIN_WORDS)
-    assert got != {r.doc_id: r.text for r in lines.deduplicated(docs).collect()}
+    got = texts(lines.deduplicated(docs))
+    assert got == brute.without_line_runs(rows, lines.MIN_LINES, lines.MIN_WORDS)
+    assert got != texts(lines.deduplicated(docs, min_words=None))
+
+
+def many_lines(spark, n):
+    """Two documents of ``n`` lines, the second with every other block of ten out of the first, blank lines between."""
+    first = [f"line {k} of many" for k in range(n)]
+    second = [x if k // 10 % 2 else f"{x} more" for k, x in enumerate(first)]
+    rows = [(1, "\n".join(first)), (2, "\n\n".join(second))]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_time_is_linear_in_lines(spark):
+    def run(n):
+        rows, docs = many_lines(spark, n)
+        began = time.monotonic()
+        got = lines.deduplicated(docs, report="report").collect()
+        took = time.monotonic() - began
+        assert {r.doc_id: r.text for r in got} == brute.without_line_runs(rows, lines.MIN_LINES, lines.MIN_WORDS)
+        sizes = {r.doc_id: tuple(r.report) for r in got}
+        assert sizes == {1: (n, 0, 0, 0), 2: (n, n // 2, n // 20, 10)}
+        return took
+
+    run(300)
+    few, many = run(300), run(24_000)
+    assert many < few + 15

@@ -15,7 +15,7 @@ def test_pipeline(spark, folder):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").orderBy("doc_id").collect()]
     judged = [(d, quality.judge(t or "")) for d, t in rows]
     kept = [(d, j[9]) for d, j in judged if j[8]]
-    shorter = brute.without_line_runs(kept, lines.MIN_LINES)
+    shorter = brute.without_line_runs(kept, lines.MIN_LINES, lines.MIN_WORDS)
     groups = brute.components(list(shorter.items()))
     clean = {d: secrets.mask(t, secrets.find(t)) for d, t in shorter.items() if groups[d] == d}
     library = Tokenizer.from_file(tokens.vocabulary_path(tokens.VOCABULARY))
