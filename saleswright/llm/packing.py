@@ -11,13 +11,20 @@ Long documents enter their queue in pieces of at most ``PIECE`` tokens, so that
 fills a window alone. Queues run in the order of a hash of the document. Running totals are
 taken in two steps: inside a bucket, and over the totals of a fixed number of buckets.
 
-Defined cases: a null or empty text is the end id alone; a null source is a queue of its own;
-repeated rows are packed each; an empty table gives no pieces; a source without a weight gets
-its natural share; further columns are ignored.
+Weights are target shares of a window. If they add up to more than one, they are scaled down to
+one. Sources without a weight split what is left of a window by their size. A source whose share
+is zero, given or left, is served after all others; such sources split a window by their size.
+Without weights, all sources do. A negative or infinite weight is an error.
+
+Defined cases: a null or empty text is the end id alone; a null source is a queue of its own,
+without a weight; repeated rows are packed each; a very long text is many pieces; an empty table
+gives no pieces; the share of a source that doesn't occur goes to the others in their proportions;
+further columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Mapping
 
@@ -48,6 +55,14 @@ def _before(value: str, *order: str, by: tuple[str, ...] = ()) -> Column:
     return F.coalesce(F.sum(value).over(Window.partitionBy(*by).orderBy(*order).rowsBetween(*_BEFORE)), F.lit(0))
 
 
+def _shares(weights: Mapping[str, float] | None) -> dict[str, float]:
+    """Queue -> target share of a window; together at most one."""
+    given = {f"={k}": float(v) for k, v in (weights or {}).items()}
+    if not all(0 <= v < math.inf for v in given.values()):
+        raise ValueError(f"weights must be finite and not negative: {weights}")
+    return {k: v / max(1.0, sum(given.values())) for k, v in given.items()}
+
+
 def schedule(docs: DataFrame, weights: Mapping[str, float] | None = None, window: int = WINDOW, piece: int = PIECE) -> DataFrame:
     """``(row, start, length, sequence_id, offset)`` for a table of ``row, doc_id, source, tie, n_tokens``."""
     queue = docs.select(
@@ -56,12 +71,19 @@ def schedule(docs: DataFrame, weights: Mapping[str, float] | None = None, window
     ).withColumn("bucket", F.shiftrightunsigned("h", 52))
     sums = queue.groupBy("queue", "bucket").agg(F.sum("n_tokens").alias("tokens"))
     totals = sums.groupBy("queue").agg(F.sum("tokens").alias("queue_tokens"))
-    total = totals.agg(F.sum("queue_tokens")).first()[0] or 1
-    given = {f"={k}": float(v) / sum(weights.values()) for k, v in weights.items()} if weights else {}
-    share = F.col("queue_tokens") / F.lit(float(total))
+    given = _shares(weights)
+    is_given = F.col("queue").isin(list(given))
+    total, others = totals.agg(F.sum("queue_tokens"), F.sum(F.when(~is_given, F.col("queue_tokens")))).first()
+    total, others, left = total or 1, others or 0, max(0.0, 1 - sum(given.values()))
+    natural = F.col("queue_tokens") / F.lit(float(total))
+    share = natural * F.lit(left * total / others) if others else F.lit(0.0)
     for name, weight in given.items():
         share = F.when(F.col("queue") == name, F.lit(weight)).otherwise(share)
-    quanta = totals.select("queue", "queue_tokens", (share * window).alias("quantum"))
+    rates = totals.withColumn("share", share).withColumn("last", F.col("share") <= 0)
+    end_round = F.ceil(F.col("queue_tokens") / (F.col("share") * window))
+    first_end = rates.where(~F.col("last")).agg(F.max(end_round)).first()[0] or 0
+    quantum = F.when(F.col("last"), natural).otherwise(F.col("share")) * window
+    quanta = rates.select("queue", "queue_tokens", quantum.alias("quantum"), F.when(F.col("last"), F.lit(first_end)).otherwise(0).alias("after"))
     bases = sums.select("queue", "bucket", _before("tokens", "bucket", by=("queue",)).alias("base")).join(quanta, "queue")
     begin = F.col("base") + _before("n_tokens", "h", "doc_id", "row", by=("queue", "bucket"))
     pieces = (
@@ -71,18 +93,18 @@ def schedule(docs: DataFrame, weights: Mapping[str, float] | None = None, window
         .withColumn("piece_start", F.col("k") * F.lit(piece).cast("bigint"))
         .withColumn("size", F.least(F.lit(piece), F.col("n_tokens") - F.col("piece_start")))
         .withColumn("ends", F.col("begin") + F.col("piece_start") + F.col("size"))
-        .withColumn("round", F.ceil(F.col("ends") / F.col("quantum")))
+        .withColumn("round", F.col("after") + F.ceil(F.col("ends") / F.col("quantum")))
         .select("row", "queue", "piece_start", "size", "ends", "round")
     )
     # tokens that all queues together have served by a round: where in the order its pieces lie
-    if given:
-        sizes = {r["queue"]: r for r in quanta.where(F.col("queue").isin(list(given))).collect()}
-        natural = 1 - sum(r["queue_tokens"] for r in sizes.values()) / total
-        served = F.least(F.lit(natural * total), F.col("round") * F.lit(natural * window))
-        for r in sizes.values():
-            served += F.least(F.lit(float(r["queue_tokens"])), F.col("round") * F.lit(r["quantum"]))
-    else:
-        served = F.col("round") * F.lit(float(window))
+    round_, late = F.col("round"), F.greatest(F.col("round") - F.lit(first_end), F.lit(0))
+
+    def by_round(rounds: Column, tokens: float, rate: float) -> Column:
+        return F.least(F.lit(float(tokens)), rounds * F.lit(float(rate)))
+
+    served = by_round(round_, others, left * window) if left > 0 else by_round(late, others, others / total * window)
+    for r in quanta.where(is_given).collect() if given else []:
+        served += by_round(late if r["after"] else round_, r["queue_tokens"], r["quantum"])
     span = F.least(F.lit(ROUND_BUCKETS - 1), F.floor(served * F.lit(ROUND_BUCKETS / (total + window)))).alias("span")
     placed = pieces.select("*", span)
     span_sums = placed.groupBy("span").agg(F.sum("size").alias("tokens"))

@@ -74,10 +74,14 @@ def op10_repair_output(spark: SparkSession, folder: str) -> DataFrame:
     return repair.read_documents(repair.write_shards(docs, tokens.vocabulary_path(tokens.VOCABULARY)))
 
 
+#: Target shares of two sources in each window of ``op3_packing``; the others split the rest by their size.
+TARGETS = {"src0": 0.2, "src1": 0.1}
+
+
 @query
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents in windows of 4096 tokens, each window with every source's share of the corpus."""
-    return packing.pack(table(spark, folder, "documents"), tokens.vocabulary_path(tokens.VOCABULARY))
+    """All documents in windows of 4096 tokens, each window to the target proportions as long as its sources last."""
+    return packing.pack(table(spark, folder, "documents"), tokens.vocabulary_path(tokens.VOCABULARY), TARGETS)
 
 
 @query

@@ -144,28 +144,71 @@ def test_packing(given, odd, none):
     assert packing.pack(none, VOCABULARY).count() == 0
 
 
-@pytest.mark.parametrize("weights", [None, {"a": 0.5, "b": 0.25, "c": 0.25}])
-def test_packing_serves_like_round_robin(spark, weights):
-    draw = random.Random(3)
-    docs = [(k, k, draw.choice("aaab c".replace(" ", "")), k, draw.randint(1, 900)) for k in range(300)]
-    df = spark.createDataFrame(docs, "row long, doc_id long, source string, tie long, n_tokens long")
+def drawn_queues(spark, seed=3):
+    draw = random.Random(seed)
+    docs = [(k, k, draw.choice("aaabc"), k, draw.randint(1, 900)) for k in range(300)]
+    return docs, spark.createDataFrame(docs, "row long, doc_id long, source string, tie long, n_tokens long")
+
+
+@pytest.mark.parametrize(
+    "weights, shares, last",
+    [
+        (None, None, ""),
+        ({"a": 0.5, "b": 0.25, "c": 0.25}, {"a": 0.5, "b": 0.25, "c": 0.25}, ""),
+        ({"a": 0.2}, {"a": 0.2, "b": 0.8, "c": 0.8}, ""),
+        ({"a": 3, "b": 1}, {"a": 0.75, "b": 0.25}, "c"),
+        ({"a": 0, "b": 0.5}, {"b": 0.5, "c": 0.5}, "a"),
+        ({"a": 0, "b": 0, "c": 0}, {}, "abc"),
+        ({"b": 0.5, "absent": 0.1}, {"b": 0.5, "a": 0.4, "c": 0.4}, ""),
+    ],
+)
+def test_packing_serves_like_round_robin(spark, weights, shares, last):
+    """``shares`` of sources without a weight are what they split by their size; the ``last`` are served after all others."""
+    docs, df = drawn_queues(spark)
     got = sorted((p["sequence_id"], p["offset"], p["row"], p["start"], p["length"]) for p in packing.schedule(df, weights).collect())
     order = {r.row: r.h for r in df.selectExpr("row", "xxhash64(doc_id, tie) AS h").collect()}
     queues, total = {}, sum(d[4] for d in docs)
     for row, _, source, _, n in sorted(docs, key=lambda d: (order[d[0]] & (1 << 64) - 1)):
         queues.setdefault(source, []).extend((row, s, min(packing.PIECE, n - s)) for s in range(0, n, packing.PIECE))
-    share = weights or {s: sum(x[2] for x in q) / total for s, q in queues.items()}
-    credit, served = dict.fromkeys(queues, 0.0), []
-    while any(queues.values()):
-        for s in sorted(queues):
-            credit[s] += share[s] * packing.WINDOW
-            while queues[s] and queues[s][0][2] <= credit[s] + 1e-6:
-                served.append(queues[s].pop(0))
-                credit[s] -= served[-1][2]
+    size = {s: sum(x[2] for x in q) / total for s, q in queues.items()}
+    free = sum(size[s] for s in size if s not in (weights or {}))
+    share = {s: shares[s] if s in (weights or {}) else shares[s] * size[s] / free for s in shares} if shares else size
+    served = []
+    for turn in (set(queues) - set(last), set(last)):
+        rate, credit = {s: share[s] if s not in last else size[s] for s in turn}, dict.fromkeys(turn, 0.0)
+        while any(queues[s] for s in turn):
+            for s in sorted(turn):
+                credit[s] += rate[s] * packing.WINDOW
+                while queues[s] and queues[s][0][2] <= credit[s] + 1e-6:
+                    served.append(queues[s].pop(0))
+                    credit[s] -= served[-1][2]
     flat = [(row, s + k) for row, s, n in served for k in range(n)]
     assert [(row, s + k) for _, _, row, s, n in got for k in range(n)] == flat
 
 
+def test_windows_hold_their_targets(spark):
+    docs, df = drawn_queues(spark, 8)
+    source, tokens_of = {d[0]: d[2] for d in docs}, dict.fromkeys("abc", 0)
+    for d in docs:
+        tokens_of[d[2]] += d[4]
+    for weights in ({"a": 0.4, "b": 0.35, "c": 0.25}, {"a": 0.3}):
+        free = sum(n for s, n in tokens_of.items() if s not in weights)
+        target = {s: weights[s] if s in weights else (1 - sum(weights.values())) * tokens_of[s] / free for s in "abc"}
+        full = int(min(tokens_of[s] / target[s] for s in "abc")) // packing.WINDOW
+        held = [dict.fromkeys("abc", 0) for _ in range(full)]
+        for p in packing.schedule(df, weights).where(f"sequence_id < {full}").collect():
+            held[p["sequence_id"]][source[p["row"]]] += p["length"]
+        assert full > 5 and all(abs(w[s] - target[s] * packing.WINDOW) <= 3 * packing.PIECE for w in held[:-1] for s in "abc")
+        # deficits are carried: they don't add up over the windows
+        assert all(abs(sum(w[s] for w in held) - full * target[s] * packing.WINDOW) <= 3 * packing.PIECE for s in "abc")
+
+
+@pytest.mark.parametrize("weight", [-1.0, float("inf"), float("nan")])
+def test_weights_that_are_no_shares(spark, weight):
+    with pytest.raises(ValueError, match="weights"):
+        packing.schedule(drawn_queues(spark)[1], {"a": weight})
+
+
 def test_fingerprints(given, odd, none):
     docs, rows = given
     found = by_id(fingerprints.edited(docs.repartition(5)))
