@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from saleswright.functions.dates import weekday_rank
+from saleswright.functions.missing import column
 from saleswright.functions.numeric import (
     exact_mean,
     exact_sum,
@@ -158,33 +159,62 @@ def value_counts(df: DataFrame, column: str = "sales_tier") -> DataFrame:
     )
 
 
+def _moments_by_gaps(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``(i, j, n, mean_i, mean_j, var_i, var_j, cov)`` per pair of columns and set of known columns.
+
+    Rows that know the same columns are one group, so no aggregate has to mask a row for one of its
+    pairs, and a column has one mean and one variance per group instead of one per pair.
+    """
+    every = range(len(names))
+    values = df.select(*[nan_to_null(column(c).cast("double")).alias(f"v{i}") for i, c in enumerate(names)])
+    known = [F.col(f"v{i}").isNotNull().alias(f"k{i}") for i in every]
+    # The mean of equal values is that value, to the last digit.
+    means = [F.when(F.var_pop(f"v{i}") == 0, F.min(f"v{i}")).otherwise(F.avg(f"v{i}")).alias(f"m{i}") for i in every]
+    single = means + [F.var_pop(f"v{i}").alias(f"s{i}") for i in every]
+    double = [F.covar_pop(f"v{i}", f"v{j}").alias(f"c{i}_{j}") for i in every for j in every if i < j]
+    groups = values.groupBy(*known).agg(F.count("*").alias("n"), *single, *double)
+    pairs = [
+        F.struct(
+            F.lit(i).alias("i"), F.lit(j).alias("j"), "n",
+            F.col(f"m{i}").alias("mean_i"), F.col(f"m{j}").alias("mean_j"),
+            F.col(f"s{i}").alias("var_i"), F.col(f"s{j}").alias("var_j"),
+            F.col(f"c{i}_{j}" if i < j else f"s{i}").alias("cov"),
+        )
+        for i in every for j in every if i <= j
+    ]
+    return groups.select(F.inline(F.array(*pairs))).where("cov IS NOT NULL")
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair of numeric columns: ``(x, y, r)``.
 
-    A pair uses the rows where both are known. All pairs come from one aggregate
-    row, so it is one scan and no shuffle of rows. A constant column has no
-    correlation (NULL).
+    A pair uses the rows where both are known. One scan gives the moments of each set of known
+    columns, of which there are as many as ways in which rows have gaps; a pair adds up the sets
+    that know both. A constant column has no correlation (NULL), nor has a pair that no row knows.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
     if len(names) < 2:
         raise ValueError("a correlation needs at least two numeric columns")
-    values = df.select(*[nan_to_null(F.col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(names)])
-    stats, entries = [], []
-    for i in range(len(names)):
-        for j in range(i, len(names)):
-            a, b = F.col(f"v{i}"), F.col(f"v{j}")
-            spread = F.nullif(
-                F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b)), F.lit(0.0)
-            )
-            r = F.covar_pop(a, b) / spread if i != j else F.when(spread.isNotNull(), F.lit(1.0))
-            stats.append(r.alias(f"r{i}_{j}"))
-            for x, y in {(i, j), (j, i)}:
-                entries.append(
-                    F.struct(
-                        F.lit(names[x]).alias("x"), F.lit(names[y]).alias("y"), F.col(f"r{i}_{j}").alias("r")
-                    )
-                )
-    return values.agg(*stats).select(F.inline(F.array(*entries)))
+    pair = Window.partitionBy("i", "j")
+    moments = _moments_by_gaps(df, names)
+    # Means are taken from the least one, so that equal means leave exactly nothing.
+    for m in ("mean_i", "mean_j"):
+        moments = moments.withColumn(m, F.col(m) - F.min(m).over(pair))
+    for m in ("mean_i", "mean_j"):
+        moments = moments.withColumn(m, F.col(m) - F.sum(F.col("n") * F.col(m)).over(pair) / F.sum("n").over(pair))
+
+    def merged(within: str, a: str, b: str) -> Column:
+        return F.sum(F.col("n") * (F.col(within) + F.col(a) * F.col(b)))
+
+    spread = F.sqrt(merged("var_i", "mean_i", "mean_i")) * F.sqrt(merged("var_j", "mean_j", "mean_j"))
+    r = F.try_divide(merged("cov", "mean_i", "mean_j"), F.nullif(spread, F.lit(0.0)))
+    found = moments.groupBy("i", "j").agg(F.when(F.col("i") != F.col("j"), r).when(spread != 0, F.lit(1.0)).alias("r"))
+    cells = [
+        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.lit(min(i, j)).alias("i"), F.lit(max(i, j)).alias("j"))
+        for i, x in enumerate(names) for j, y in enumerate(names)
+    ]
+    frame = df.sparkSession.range(1).select(F.inline(F.array(*cells)))
+    return frame.join(found, ["i", "j"], "left").select("x", "y", "r")
 
 
 def _iqr_bounds(values: DataFrame, value: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 from functools import partial
 
 import pytest
@@ -163,6 +164,28 @@ def test_correlation(spark):
     assert len(r) == 9
 
 
+def test_correlation_merges_sets_of_known_columns(spark):
+    draw = random.Random(4)
+    rows = []
+    for k in range(400):
+        a = 1e6 + draw.random()
+        row = [a, 3 * a + draw.random(), draw.gauss(0, 1), 0.1, float(k)]
+        rows.append([None if draw.random() < 0.3 else float("nan") if draw.random() < 0.1 else x for x in row[:4]] + [row[4] if row[2] < 0 else None])
+    df = spark.createDataFrame(rows, "a double, b double, `c.d` double, e double, f double").repartition(5)
+    got = {(x.x, x.y): x.r for x in ex.correlation_matrix(df).collect()}
+    frame = df.toPandas()
+    want = frame.corr(min_periods=1)
+    for x in frame.columns:
+        for y in frame.columns:
+            if "e" in (x, y):
+                assert got[x, y] is None
+            else:
+                assert got[x, y] == pytest.approx(want.loc[x, y], abs=1e-8) and got[x, y] == got[y, x]
+    never = spark.createDataFrame([(1.0, None), (None, 2.0), (3.0, None)], "a double, b double")
+    assert {(x.x, x.y): x.r for x in ex.correlation_matrix(never).collect()} == {("a", "a"): 1.0, ("a", "b"): None, ("b", "a"): None, ("b", "b"): None}
+    assert [x.r for x in ex.correlation_matrix(never.limit(0)).collect()] == [None] * 4
+
+
 def test_yoy_growth(spark):
     # Revenue of four years and its growth to two decimals.
     revenue = {2015: 479856.21, 2016: 459436.01, 2017: 600192.55, 2018: 722052.02}
