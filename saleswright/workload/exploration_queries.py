@@ -9,7 +9,7 @@ from saleswright.operators import exploration as ex
 from saleswright.operators import filters as fl
 from saleswright.operators import profiling as pr
 from saleswright.operators import sampling as sm
-from saleswright.plans.sales_table import raw_orders, sales_data
+from saleswright.plans.sales_table import RAW_NAMES, raw_orders, sales_data
 from saleswright.workload.sql import RAW_COLUMNS, half_up, mean, over_flat, over_raw, over_sales, total
 
 QUERIES, SQL = {}, {}
@@ -483,8 +483,35 @@ def bounded_sample(spark, folder):
     return sm.bounded_sample(sales_data(spark, folder, _SCATTER), ["row_id", "sales"])
 
 
-@register("bootstrap_resample")
-def bootstrap_resample(spark, folder):
-    """100,000 raw rows drawn from the whole table; random by nature, so no SQL."""
-    return sm.bootstrap_resample(raw_orders(spark, folder).drop("Quantity"))
+def _draw_sql(salt: str, digits: int) -> str:
+    return f"CAST('0x' || substr(md5('{salt}:42:' || CAST(id AS VARCHAR)), 1, {digits}) AS BIGINT)"
+
+
+def _moved_sql(column: str, name: str) -> str:
+    days = f"CAST(floor({_draw_sql(name, 13)} / 4503599627370496::DOUBLE * 364) AS INT) + 1"
+    return f"strftime(CAST(strptime({column}, '%d/%m/%Y') AS DATE) + ({days}), '%d/%m/%Y') AS \"{name}\""
+
+
+_DRAWN = {"row_id": "id", "order_id": None, "order_date": None, "ship_date": None, "sales": None}
+_RAW_TITLES = {clean: raw for raw, clean in RAW_NAMES.items() if clean != "quantity"}
+_NOISE = f"(0.85::DOUBLE + {_draw_sql('sales', 13)} / 4503599627370496::DOUBLE * 0.3::DOUBLE)"
+
 
+@register(
+    "bootstrap_resample",
+    over_raw(
+        f"SELECT id AS \"{_RAW_TITLES['row_id']}\", substr(order_id, 1, greatest(length(order_id) - 4, 0)) || "
+        f"CAST(CAST(floor({_draw_sql('order', 13)} / 4503599627370496::DOUBLE * 8999) AS BIGINT) + 1000 AS VARCHAR) AS \"{_RAW_TITLES['order_id']}\", "
+        f"{_moved_sql('order_date', 'Order Date')}, {_moved_sql('ship_date', 'Ship Date')}, "
+        f"{half_up(f'sales * {_NOISE}')} AS \"{_RAW_TITLES['sales']}\", "
+        + ", ".join(f'{c} AS "{t}"' for c, t in _RAW_TITLES.items() if c not in _DRAWN)
+        + f" FROM (SELECT CAST(range + 1 AS BIGINT) AS id FROM range({sm.BOOTSTRAP_ROWS})) draws JOIN ("
+        "SELECT *, row_number() OVER (ORDER BY md5(CAST(row_id AS VARCHAR) || ':42'), "
+        + ", ".join(f"{c} NULLS FIRST" for c in _RAW_TITLES)
+        + ") - 1 AS place FROM raw) "
+        f"ON place = {_draw_sql('row', 15)} % (SELECT count(*) FROM raw)"
+    ),
+)
+def bootstrap_resample(spark, folder):
+    """100,000 raw rows drawn from the whole table."""
+    return sm.bootstrap_resample(raw_orders(spark, folder).drop("Quantity"), keys=["Row ID"])

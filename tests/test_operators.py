@@ -246,18 +246,39 @@ def test_bootstrap(spark, folder):
     assert joined.count() == 50
 
 
-def test_bootstrap_draws_join_either_way(spark, folder):
-    """Over rows that are written once, the draws are the same whichever way they are joined."""
+def test_bootstrap_draws_do_not_depend_on_partitions(spark, folder):
+    """The same rows in another order and partitioning, and joined the other way, give the same draws."""
     raw = stage(raw_orders(spark, folder), "raw")
-    few, before = map(tuple, sm.bootstrap_resample(raw, 500, staged=False).collect()), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    few, before = sorted(map(str, sm.bootstrap_resample(raw, 500).collect())), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        shuffled = map(tuple, sm.bootstrap_resample(raw, 500, staged=False).collect())
-        assert sorted(few) == sorted(shuffled)
+        assert few == sorted(map(str, sm.bootstrap_resample(raw.repartition(5, "Customer ID").orderBy(F.desc("Sales")), 500).collect()))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_drawn_rows_are_those_at_their_places(spark):
+    """Against plain ranks: copies, NULLs, a key that a third of the rows share, one row, no rows."""
+    import hashlib
+
+    rows = [(i % 7 if i % 3 else 0, None if i % 5 == 0 else f"t{i % 11}") for i in range(200)] + [(None, None)] * 3
+    for data, keys in ((rows, None), (rows, ["k"]), (rows[:1], None)):
+        df = spark.createDataFrame(data, "k bigint, t string").repartition(3)
+        used = [0, 1] if keys is None else [0]
+
+        def place(row):
+            text = ":".join(["" if row[i] is None else str(row[i]) for i in used] + ["42"])
+            return hashlib.md5(text.encode()).hexdigest(), *[(v is not None, v) for v in row]
+
+        def number(i):
+            return int(hashlib.md5(f"row:42:{i}".encode()).hexdigest()[:15], 16)
+
+        ordered = sorted(data, key=lambda r: tuple(e if isinstance(e, str) else (e[0], e[1] if e[0] else 0) for e in place(r)))
+        want = {i: ordered[number(i) % len(data)] for i in range(1, 301)}
+        assert {r["_id"]: (r.k, r.t) for r in sm.drawn_rows(df, 300, keys=keys).collect()} == want
+    assert sm.drawn_rows(spark.createDataFrame([], "k bigint, t string"), 10).count() == 0
+
+
 # --- plan shapes -----------------------------------------------------------------
 
 
