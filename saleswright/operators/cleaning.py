@@ -33,6 +33,7 @@ log = logging.getLogger(__name__)
 FLAG_THRESHOLD_PCT = 5.0
 FLAG_SUFFIX = "_was_missing"
 UNKNOWN = "Unknown"
+ALL_COLUMNS = "(all columns)"
 DATE_NAME_PARTS = ("date", "time", "timestamp", "created", "updated", "dt")
 DAYFIRST_VARIABLE = "SALES_DAYFIRST"
 #: Distinct texts up to which dates are looked up; beyond, parsing in place is cheaper than shuffling the rows.
@@ -96,6 +97,21 @@ def null_report(df: DataFrame) -> DataFrame:
     return found.select("column", "null_count", "null_pct", "strategy")
 
 
+def imputation_report(before: DataFrame, after: DataFrame) -> DataFrame:
+    """``(column, missing_before, missing_after, filled)`` for each column that had gaps, and a row ``(all columns)`` with the totals.
+
+    Two aggregates, one per frame; columns that imputation adds count as having had none. The totals are there
+    when nothing is missing, too.
+    """
+    old = missing_by_column(before).select("column", F.col("null_count").alias("missing_before"))
+    new = missing_by_column(after).select("column", F.col("null_count").alias("missing_after"))
+    both = old.join(new, "column", "full").na.fill(0, ["missing_before", "missing_after"])
+    each = both.where("missing_before > 0 OR missing_after > 0")
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("missing_before", "missing_after")]
+    found = each.unionByName(both.agg(F.lit(ALL_COLUMNS).alias("column"), *sums))
+    return found.withColumn("filled", F.col("missing_before") - F.col("missing_after"))
+
+
 @dataclass(frozen=True)
 class Fill:
     """What to do about one column's gaps. ``value`` is None when nothing is known."""

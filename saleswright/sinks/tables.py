@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saleswright.functions.rows import literal_rows
+from saleswright.sources import storage
 from saleswright.sources.database import BATCH_ROWS, jdbc_options, mask_password
+from saleswright.sources.files import size_label
 
 log = logging.getLogger(__name__)
 
@@ -34,6 +36,7 @@ def save_processed(df: DataFrame, folder: str, name: str = "processed_data.csv")
         writer.parquet(path)
     else:
         writer.option("header", True).option("escape", '"').csv(path)
+    log.info("saved %s: %s", path, size_label(storage.total_bytes(df.sparkSession, path)))
     return path
 
 

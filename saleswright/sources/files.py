@@ -33,11 +33,6 @@ REQUIRED_COLUMNS = (
     "Product ID", "Category", "Sub-Category", "Product Name", "Sales",
 )
 
-#: Types of the known columns; anything else in a file is inferred.
-KNOWN_TYPES = {"Row ID": "bigint", "Postal Code": "bigint", "Sales": "double"} | {
-    c: "string" for c in REQUIRED_COLUMNS if c not in ("Row ID", "Postal Code", "Sales")
-}
-
 PROCESSED_DATES = ("order_date", "ship_date")
 
 
@@ -157,6 +152,7 @@ def load_dataset(spark: SparkSession, path: str, types: dict[str, str] | None =
     if not storage.exists(spark, path):
         raise FileNotFoundError(f"no such dataset: {path}")
     ext = detect_file_format(path)
+    log.info("reading %s: %s, %s", path, FORMATS[ext], size_label(storage.total_bytes(spark, path)))
     if ext == ".csv":
         return scan_csv(spark, path, types)
     return scan_json(spark, path) if ext == ".json" else scan_parquet(spark, path)
@@ -212,6 +208,25 @@ def require_schema(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) ->
     return df
 
 
+def size_label(size: int) -> str:
+    """Bytes in megabytes of 2**20, as loading and saving report them."""
+    return f"{size / 2**20:.2f} MB"
+
+
+def load_summary(spark: SparkSession, path: str, df: DataFrame | None = None) -> DataFrame:
+    """One row on a data set: ``(file, format, bytes, rows, cols, missing)``, its size on storage and what a scan finds.
+
+    ``df`` is the frame as it was read from ``path``, by default ``load_dataset``. Rows and missing values come from one aggregate.
+    """
+    df = load_dataset(spark, path) if df is None else df
+    name, kind = path.rstrip("/").rsplit("/", 1)[-1], FORMATS[detect_file_format(path)]
+    totals = missing_by_column(df).agg(F.coalesce(F.max("row_count"), F.lit(0)).alias("rows"), F.coalesce(F.sum("null_count"), F.lit(0)).alias("missing"))
+    size = F.lit(storage.total_bytes(spark, path)).cast("bigint")
+    return totals.select(
+        F.lit(name).alias("file"), F.lit(kind).alias("format"), size.alias("bytes"), "rows", F.lit(len(df.columns)).cast("bigint").alias("cols"), "missing"
+    )
+
+
 def load_profile(df: DataFrame) -> DataFrame:
     """Type, non-null count and null percentage per column, from one aggregate."""
     missing = missing_by_column(df)

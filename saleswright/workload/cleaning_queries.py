@@ -141,6 +141,31 @@ def null_report(spark, folder):
     return cl.null_report(_raw(spark, folder))
 
 
+_GAPS = {"segment": "text", "postal_code": "number", "quantity": "number", "ship_date": "date"}
+
+
+@register(
+    "imputation_report",
+    over_raw(
+        "SELECT c AS column, CAST(b AS BIGINT) AS missing_before, CAST(a AS BIGINT) AS missing_after, CAST(b - a AS BIGINT) AS filled FROM ("
+        "SELECT * FROM gaps WHERE b > 0 UNION ALL SELECT '(all columns)', sum(b), sum(a) FROM gaps)",
+        "typed AS (SELECT segment, postal_code, quantity, "
+        "CASE WHEN row_id % 10 <> 3 THEN strptime(ship_date, '%d/%m/%Y') END AS ship_date FROM raw)",
+        "gaps AS ("
+        + " UNION ALL ".join(
+            f"SELECT '{c}' AS c, count(*) - count({c}) AS b, {f'count(*) - count({c})' if kind == 'date' else '0'} AS a FROM typed"
+            for c, kind in _GAPS.items()
+        )
+        + ")",
+    ),
+)
+def imputation_report(spark, folder):
+    """Texts and numbers are filled, a typed date column keeps its gaps."""
+    df = _raw(spark, folder, "row_id", "order_date", "segment", "postal_code", "sales", "quantity", "ship_date")
+    df = df.withColumn("ship_date", F.when(F.col("row_id") % 10 != 3, F.to_timestamp_ntz("ship_date", F.lit("dd/MM/yyyy"))))
+    return cl.imputation_report(df, cl.impute_missing(df))
+
+
 def _evidence_sql(column: str, text: str) -> str:
     first, second = (f"CAST(regexp_extract({text}, '^([0-9]{{1,2}})[-/.]([0-9]{{1,2}})', {g}) AS INT)" for g in (1, 2))
     day = f"count(*) FILTER ({first} > 12)"

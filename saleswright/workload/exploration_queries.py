@@ -505,11 +505,11 @@ _NOISE = f"(0.85::DOUBLE + {_draw_sql('sales', 13)} / 4503599627370496::DOUBLE *
         f"{_moved_sql('order_date', 'Order Date')}, {_moved_sql('ship_date', 'Ship Date')}, "
         f"{half_up(f'sales * {_NOISE}')} AS \"{_RAW_TITLES['sales']}\", "
         + ", ".join(f'{c} AS "{t}"' for c, t in _RAW_TITLES.items() if c not in _DRAWN)
-        + f" FROM (SELECT CAST(range + 1 AS BIGINT) AS id FROM range({sm.BOOTSTRAP_ROWS})) draws JOIN ("
+        + f" FROM (SELECT id, {_draw_sql('row', 15)} % (SELECT count(*) FROM raw) AS place "
+        f"FROM (SELECT CAST(range + 1 AS BIGINT) AS id FROM range({sm.BOOTSTRAP_ROWS}))) draws JOIN ("
         "SELECT *, row_number() OVER (ORDER BY md5(CAST(row_id AS VARCHAR) || ':42'), "
         + ", ".join(f"{c} NULLS FIRST" for c in _RAW_TITLES)
-        + ") - 1 AS place FROM raw) "
-        f"ON place = {_draw_sql('row', 15)} % (SELECT count(*) FROM raw)"
+        + ") - 1 AS place FROM raw) placed USING (place)"
     ),
 )
 def bootstrap_resample(spark, folder):

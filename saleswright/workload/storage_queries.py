@@ -123,6 +123,19 @@ def load_profile(spark, folder):
     return files.load_profile(raw_orders(spark, folder).toDF(*RAW_COLUMNS))
 
 
+@register(
+    "load_summary",
+    over_raw(
+        "SELECT 'raw.csv' AS file, 'CSV' AS format, 'true' AS has_bytes, count(*) AS rows, "
+        f"CAST({len(RAW_COLUMNS)} AS BIGINT) AS cols, CAST(" + " + ".join(f"(count(*) - count({c}))" for c in RAW_COLUMNS) + " AS BIGINT) AS missing FROM raw"
+    ),
+)
+def load_summary(spark, folder):
+    """What loading the raw table from CSV reports; the size in bytes is that of the writer's files, so SQL only knows it is there."""
+    path = tables.save_processed(raw_orders(spark, folder), work_dir(spark), "raw.csv")
+    return files.load_summary(spark, path).withColumn("has_bytes", F.col("bytes") > F.col("rows")).drop("bytes")
+
+
 @register("save_processed", over_sales(digest("sales_data")))
 def save_processed(spark, folder):
     path = tables.save_processed(_clean(spark, folder), work_dir(spark))
