@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +15,7 @@ from saleswright.functions.missing import column, missing_by_column
 from saleswright.functions.numeric import nan_to_null, percent_of
 from saleswright.functions.rows import literal_rows
 from saleswright.sources import storage
+from saleswright.workspace import stage, work_dir
 
 log = logging.getLogger(__name__)
 
@@ -124,19 +126,83 @@ def _infer_types(
     }
 
 
-def scan_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """An array of records, or JSON Lines; column-oriented documents are refused.
+# --- JSON ------------------------------------------------------------------------
 
-    Only JSON Lines can be split between tasks; the first character tells which of
-    the two a file is.
+_END = "}"
+
+
+def _pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Text cut after every closing brace: ``(file, block, place, value)``.
+
+    A separator of its own lets Spark split a file anywhere, also one without line ends; a piece belongs to the block that it starts in.
+    """
+    raw = spark.read.option("lineSep", _END).text(path)
+    return raw.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+        "value",
+    )
+
+
+def json_forms(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    """``(file, is an array)`` for each file that isn't blank, by the file's own first character: one row per file."""
+    said = _pieces(spark, path).where(F.trim(F.regexp_replace("value", r"[\s\uFEFF]+", "")) != "")
+    first = F.min_by(F.regexp_extract("value", r"^[\s\uFEFF]*(.)", 1), F.struct("block", "place"))
+    return [(unquote(r["file"]), r["first"] == "[") for r in said.groupBy("file").agg(first.alias("first")).orderBy("file").collect()]
+
+
+def array_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The records of files that hold one array of flat records each, as lines of JSON in a column ``value``.
+
+    A closing brace ends a record unless it stands inside a string, that is after an odd number of quotes since the start of the
+    file, escaped ones not counted. The quotes of each block are added up first, one row per block; then every block
+    counts on from what came before it, so blocks are cut into records side by side. Only records whose strings hold braces
+    are put together from several pieces. Line ends between values become blanks, since inside strings they are escaped.
+    """
+    bare = F.regexp_replace("value", r"\\.", "")
+    pieces = _pieces(spark, path).withColumn("quotes", F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit(""))))
+    blocks = pieces.groupBy("file", "block").agg(F.sum("quotes").alias("quotes"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    started = blocks.select("file", "block", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)).alias("start"))
+    upto = Window.partitionBy("file", "block").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = pieces.withColumn("upto", F.sum("quotes").over(upto)).join(started, ["file", "block"])
+    after = F.col("start") + F.col("upto")
+    inside = counted.select(
+        "file", "block", "place", "value", ((after - F.col("quotes")) % 2 == 1).alias("begun"), (after % 2 == 1).alias("open")
+    )
+    inside = stage(inside, "json_pieces")
+    whole = inside.where("NOT begun AND NOT open").select("value")
+    parts = inside.where("begun OR open")
+    in_file = Window.partitionBy("file").orderBy("block", "place")
+    parts = parts.withColumn("record", F.count_if(~F.col("begun")).over(in_file))
+    joined = parts.groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("block", "place", "value"))).alias("parts"))
+    records = whole.unionByName(joined.select(F.array_join("parts.value", _END).alias("value")))
+    # What is left of the array itself: the bracket and the commas before a record, and the bracket at the end.
+    body = F.regexp_replace(F.regexp_replace("value", r"^[\s\uFEFF]*[\[,]?\s*", ""), r"[\r\n]+", " ")
+    return records.select(body.alias("value")).where(~F.col("value").rlike(r"^\s*\]?\s*$")).select(F.concat("value", F.lit(_END)).alias("value"))
+
+
+def scan_json(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, lines: bool | None = None
+) -> DataFrame:
+    """Arrays of flat records, or JSON Lines, or a folder that mixes such files; column-oriented documents are refused.
+
+    Each file is judged by its own first character, in one scan that ``lines=True`` spares. Arrays are written once as JSON
+    Lines to the shared work folder, by tasks that each take a part of a file, and read from there. A folder whose files
+    are all blank has no columns unless a schema is given. Partition columns in folder names are kept for JSON Lines only.
     """
-    first = F.substring(F.ltrim("value"), 1, 1).alias("first")
-    head = spark.read.text(path).where(F.trim("value") != "").select(first).limit(1).collect()
-    array = bool(head) and head[0][0] == "["
+    forms = [] if lines else json_forms(spark, path)
+    arrays = [file for file, array in forms if array]
+    paths: str | list[str] = path
+    if arrays:
+        records = f"{work_dir(spark)}/records"
+        array_records(spark, arrays).write.text(records)
+        paths = [records, *[file for file, array in forms if not array]]
     reader = spark.read.schema(schema) if schema else spark.read
-    df = reader.json(path, multiLine=array)
+    df = reader.json(paths)
     nested = [f.name for f in df.schema if isinstance(f.dataType, (T.StructType, T.MapType, T.ArrayType))]
-    if nested or df.columns == ["_corrupt_record"]:
+    if nested or df.columns == ["_corrupt_record"] or (arrays and not schema and "_corrupt_record" in df.columns):
         raise ValueError(f"not an array of flat records or JSON Lines: {path} (nested columns {nested})")
     return nan_as_null(df)
 

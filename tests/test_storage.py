@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,6 +53,43 @@ def test_json_forms(spark, tmp_path):
         files.scan_json(spark, _write(tmp_path / "c.json", '{"a": {"0": 1, "1": 2}}'))
 
 
+AWKWARD = ["}", "}, {", '"', "\\", '\\"}', "a\nb", "", None, '{"a": 1}', "], [", "é}", '}, {", ":": "}']
+
+
+def test_json_arrays_are_cut_side_by_side(spark, tmp_path):
+    """Braces, quotes and escapes in strings, blocks that end anywhere, one line and many, against the plain reader."""
+    rows = [{"id": i, "t": AWKWARD[i % len(AWKWARD)], "n": None if i % 7 == 0 else i / 4} for i in range(3000)]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k, v in zip(before, ("4099", "0"), strict=True):
+            spark.conf.set(k, v)
+        for indent in (None, 1):
+            path = _write(tmp_path / f"a{indent}.json", json.dumps(rows, indent=indent, ensure_ascii=False))
+            assert files._pieces(spark, path).select("block").distinct().count() > 10
+            assert files.array_records(spark, path).count() == len(rows)
+            got = files.scan_json(spark, path)
+            assert sorted((r.id, r.t, r.n) for r in got.collect()) == [(r["id"], r["t"], r["n"]) for r in rows]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_json_folder_of_both_forms(spark, tmp_path):
+    folder = tmp_path / "both forms.json"
+    folder.mkdir()
+    _write(folder / "a.json", '\n {"a": 1, "b": "["}\n{"a": 2}\n')
+    _write(folder / "b c.json", ' \n[{"a": 3, "b": "}"}, {"a": 4,\n "b": null}]\n')
+    _write(folder / "c.json", "[]")
+    _write(folder / "d.json", "")
+    want = [(1, "["), (2, None), (3, "}"), (4, None)]
+    assert sorted(map(tuple, files.scan_json(spark, str(folder)).collect())) == want
+    assert sorted(map(tuple, files.scan_json(spark, str(folder), "a bigint, b string").collect())) == want
+    assert files.scan_json(spark, _write(tmp_path / "e.json", "[]"), "a bigint").count() == 0
+    for nested in ('[{"a": {"b": 1}}, {"a": {"b": 2}}]', '[{"a": [1, 2]}]'):
+        with pytest.raises(ValueError, match="flat records"):
+            files.scan_json(spark, _write(tmp_path / "n.json", nested)).count()
+
+
 def test_nan_becomes_null_at_the_boundary(spark, tmp_path):
     spark.createDataFrame([(float("nan"),), (1.0,)], "x double").write.parquet(str(tmp_path / "p.parquet"))
     assert files.load_dataset(spark, str(tmp_path / "p.parquet")).where("x IS NULL").count() == 1
