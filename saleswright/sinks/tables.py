@@ -5,10 +5,11 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from saleswright.functions.missing import column
 from saleswright.functions.rows import literal_rows
 from saleswright.sources import storage
 from saleswright.sources.database import BATCH_ROWS, jdbc_options, mask_password
@@ -24,6 +25,10 @@ HOT_COLUMNS = (
     "ship_mode", "customer_id",
 )
 
+#: Columns that the curve winds through, bits of each, rows that its parts are judged by, and rows per file.
+CURVE_COLUMNS, CURVE_BITS, SPLIT_ROWS = 4, 6, 20_000
+ROWS_PER_FILE = 2_000_000
+
 
 def save_processed(df: DataFrame, folder: str, name: str = "processed_data.csv") -> str:
     """Write cleaned data under ``folder/name``; the extension picks CSV or Parquet.
@@ -40,19 +45,66 @@ def save_processed(df: DataFrame, folder: str, name: str = "processed_data.csv")
     return path
 
 
+def _edges(df: DataFrame, columns: Sequence[str], rows: int) -> dict[str, list]:
+    """Values that cut each column into up to ``2 ** CURVE_BITS`` parts of about the same number of rows.
+
+    They only decide where a row is stored, never a result, so they come from some ``SPLIT_ROWS`` rows, one array per column.
+    """
+    sample = df.select(*[column(c) for c in columns]).sample(min(1.0, SPLIT_ROWS / max(rows, 1)), seed=42)
+    parts = 1 << CURVE_BITS
+    sorted_ = sample.agg(*[F.array_sort(F.collect_list(column(c))).alias(f"s{i}") for i, c in enumerate(columns)]).first()
+    edges = {}
+    for i, c in enumerate(columns):
+        values = sorted_[i]
+        edges[c] = sorted({values[len(values) * k // parts] for k in range(1, parts)}) if values else []
+    return edges
+
+
+def curve_place(df: DataFrame, edges: dict[str, list]) -> Column:
+    """A row's place on the Morton curve: the bits of its columns' parts in turn, those of the first column leading.
+
+    NULL is in the first part. With ``e`` edges (at least one) a part costs ``e`` comparisons, at most ``2 ** CURVE_BITS``.
+    """
+    parts = []
+    for name, cuts in edges.items():
+        known = F.array(*[F.lit(v).cast(df.schema[name].dataType) for v in cuts])
+        value = column(name)
+        below = F.when(value.isNotNull(), F.size(F.filter(known, lambda edge: edge <= value))).otherwise(0)  # noqa: B023
+        # Columns of few values use the high bits, too, so that none leads the curve by its number of values alone.
+        parts.append((below * F.lit(1 << CURVE_BITS) / F.lit(len(cuts) + 1)).cast("int"))
+    place = F.lit(0).cast("bigint")
+    for bit in range(CURVE_BITS - 1, -1, -1):
+        for part in parts:
+            place = F.shiftleft(place, 1).bitwiseOR(F.shiftright(part, bit).bitwiseAND(F.lit(1)).cast("bigint"))
+    return place
+
+
 def write_layout(
     df: DataFrame,
     path: str,
     partition_by: str = "order_year",
-    sort_by: Sequence[str] = ("region", "category"),
+    cluster_by: Sequence[str] = HOT_COLUMNS,
+    rows_per_file: int = ROWS_PER_FILE,
 ) -> str:
-    """Parquet by year, sorted inside each task.
-
-    A filter on the year skips whole folders, one on the sort columns skips row
-    groups by their statistics. No shuffle: each task sorts what it has.
+    """Parquet by year; inside a year, rows that are alike in the columns of ``cluster_by`` are stored together.
+
+    The order is the Morton curve over the first ``CURVE_COLUMNS`` of ``cluster_by`` that the frame has and that hold more than
+    one value, so a filter on any of them, not only the first, skips most files and row groups by their
+    statistics. One range shuffle brings the rows of a year and a stretch of the curve to one task: as many tasks as files of
+    ``rows_per_file`` rows are needed, so the number of files doesn't grow with the number of input tasks. A year that holds a
+    third of all rows is cut along the curve. Rows that are alike in every column of the curve are spread by a hash of the
+    row. The input is read three times: for its size, the parts of the columns, and the write.
     """
-    keys = [partition_by, *[c for c in sort_by if c in df.columns]]
-    df.sortWithinPartitions(*keys).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    rows = df.count()
+    wanted = [c for c in cluster_by if c in df.columns and c != partition_by]
+    edges = {c: e for c, e in _edges(df, wanted, rows).items() if len(e) > 1} if wanted else {}
+    edges = dict(list(edges.items())[:CURVE_COLUMNS])
+    spread = F.xxhash64(*[column(c) for c in df.columns])
+    keys = [column(partition_by), F.col("_place"), F.col("_spread")]
+    placed = df.withColumns({"_place": curve_place(df, edges), "_spread": spread})
+    ranged = placed.repartitionByRange(max(1, -(-rows // rows_per_file)), *keys)
+    stored = ranged.sortWithinPartitions(*keys).drop("_place", "_spread")
+    stored.write.mode("overwrite").partitionBy(partition_by).parquet(path)
     return path
 
 

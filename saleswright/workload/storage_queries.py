@@ -182,8 +182,8 @@ def table_info(spark, folder):
     ),
 )
 def table_layout(spark, folder):
-    """Stored by year and sorted, then read with a filter on both."""
-    df = sales_data(spark, folder, ["order_year", "region", "category", "sales"])
+    """Stored by year and along the curve, then read with a filter on both."""
+    df = sales_data(spark, folder, ["order_year", "region", "category", "customer_id", "sales"])
     path = tables.write_layout(df, f"{work_dir(spark)}/by_year")
     chosen = apply_filters(spark.read.parquet(path), SalesFilter(region="ASIA", year=1998))
     return chosen.groupBy("order_year", "region", "category").agg(
