@@ -15,7 +15,7 @@ from collections import Counter
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +38,8 @@ DATE_NAME_PARTS = ("date", "time", "timestamp", "created", "updated", "dt")
 DAYFIRST_VARIABLE = "SALES_DAYFIRST"
 #: Distinct texts up to which dates are looked up; beyond, parsing in place is cheaper than shuffling the rows.
 DICTIONARY_TEXTS = 200_000
+#: Keys of repeated rows up to which they are sent to all tasks: 8 MB.
+FEW_KEYS = 500_000
 
 
 # --- names -----------------------------------------------------------------------
@@ -70,6 +72,32 @@ def remove_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def _row_keys(df: DataFrame) -> list[Column]:
+    """A 128-bit key of a row: equal rows have equal keys; NaN equals NaN, and NULL is told from other values by its place."""
+    values = [column(c) for c in df.columns]
+    gaps = [column(f.name).isNull() for f in df.schema if f.nullable]
+    return [F.xxhash64(F.lit(1), *values, *gaps), F.xxhash64(F.lit(2), *reversed(gaps), *reversed(values))]
+
+
+def remove_few_duplicates(df: DataFrame) -> DataFrame:
+    """``remove_duplicates`` for a table that is cheap to read and holds few copies: few rows are shuffled.
+
+    A first pass shuffles 16 bytes per row, the row's key, and keeps the keys that occur more than once. Rows with a key of
+    their own stay where they are; only the others are shuffled and compared in full, so unequal rows that
+    happen to share a key are both kept. Up to ``FEW_KEYS`` repeated keys (16 bytes each) are sent to all tasks; a table with
+    more of them is shuffled as a whole, as in ``remove_duplicates``. The frame is read twice.
+    """
+    first, second = _row_keys(df)
+    keyed = df.withColumns({"_key1": first, "_key2": second})
+    counts = keyed.select("_key1", "_key2").groupBy("_key1", "_key2").agg(F.count("*").alias("_n"))
+    repeated = stage(counts.where("_n > 1").select("_key1", "_key2"), "repeated_keys")
+    if repeated.count() > FEW_KEYS:
+        return remove_duplicates(df)
+    few, on = F.broadcast(repeated), ["_key1", "_key2"]
+    copies = keyed.join(few, on, "left_semi").select(*[column(c) for c in df.columns]).dropDuplicates()
+    return keyed.join(few, on, "left_anti").select(*[column(c) for c in df.columns]).unionByName(copies)
+
+
 def duplicate_report(df: DataFrame) -> DataFrame:
     """Rows before, rows after and rows removed, in one pass."""
     sizes = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))

@@ -17,6 +17,7 @@ from saleswright.workload.sql import (
     over_flat,
     over_raw,
 )
+from saleswright.workspace import stage
 
 QUERIES, SQL = {}, {}
 
@@ -47,6 +48,12 @@ def remove_duplicates(spark, folder):
     return cl.remove_duplicates(_raw(spark, folder))
 
 
+@register("remove_few_duplicates", over_raw(f"SELECT DISTINCT {', '.join(RAW_COLUMNS)} FROM raw"))
+def remove_few_duplicates(spark, folder):
+    """By row keys, over the raw table as it lies in files."""
+    return cl.remove_few_duplicates(stage(_raw(spark, folder), "raw"))
+
+
 @register(
     "duplicate_report",
     over_raw(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from saleswright.functions.dates import parse_timestamp
 from saleswright.operators import cleaning as cl
 from saleswright.operators import features as fe
+from saleswright.workspace import stage
 
 
 @pytest.mark.parametrize(
@@ -238,3 +239,52 @@ def test_jobs_do_not_grow_with_columns(spark):
 def test_empty_table(spark):
     out = cl.clean_and_transform(_raw(spark).where("false"))
     assert out.count() == 0 and "sales_tier" in out.columns
+
+
+# --- duplicates by row key ---------------------------------------------------------
+
+
+def _shuffled(spark, df):
+    """Bytes that running ``df`` writes for shuffles."""
+    store, gateway = spark._jsc.sc().statusStore(), spark.sparkContext._gateway
+
+    def total():
+        stages = store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+    before = total()
+    df().write.format("noop").mode("overwrite").save()
+    spark._jsc.sc().listenerBus().waitUntilEmpty()
+    return total() - before
+
+
+def test_few_duplicates(spark, monkeypatch):
+    """NULL, NaN, -0.0 and values in other columns; keys that collide; more repeated keys than may be sent."""
+    nan = float("nan")
+    rows = [("a", None, 1.0), (None, "a", 1.0), ("a", None, 1.0), ("a", "a", nan), ("a", "a", nan), ("", None, 0.0), ("", None, -0.0), (None, None, None)]
+    df = spark.createDataFrame(rows * 2 + [("x", "y", float(i)) for i in range(50)], "a string, b string, `c.d` double").repartition(4)
+    want = sorted(map(repr, cl.remove_duplicates(df).collect()))
+    assert len(want) == 55
+
+    def got():
+        out = cl.remove_few_duplicates(df)
+        assert out.columns == df.columns
+        return sorted(repr(r).replace("-0.0", "0.0") for r in out.collect())
+
+    want = [w.replace("-0.0", "0.0") for w in want]
+    assert got() == sorted(want)
+    with monkeypatch.context() as patch:
+        patch.setattr(cl, "_row_keys", lambda df: [F.length(F.coalesce("a", F.lit(""))) % 2, F.lit(7)])
+        assert got() == sorted(want)
+    monkeypatch.setattr(cl, "FEW_KEYS", 2)
+    assert got() == sorted(want)
+    assert cl.remove_few_duplicates(df.limit(0)).count() == 0
+
+
+def test_few_duplicates_move_few_bytes(spark):
+    wide = stage(
+        spark.range(20_000).select(*[F.md5(F.concat_ws(":", F.col("id") % 19_900, F.lit(i))).alias(f"c{i}") for i in range(8)]), "wide"
+    )
+    whole = _shuffled(spark, lambda: cl.remove_duplicates(wide))
+    few = _shuffled(spark, lambda: cl.remove_few_duplicates(wide))
+    assert 0 < few < whole / 3
