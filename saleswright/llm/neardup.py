@@ -41,6 +41,8 @@ BANDS, ROWS, CIRCLE = 32, 4, 1 << 20
 FILTER_BITS = 1 << 24
 #: Sets in a chunk of a cluster.
 CHUNK = 256
+#: Shingles in a chunk of a cluster: 8 MB, so that long texts make smaller chunks.
+CHUNK_SHINGLES = 1 << 20
 _K = BANDS * ROWS
 _tables: list[np.ndarray] = []
 
@@ -213,8 +215,9 @@ def compared(open_: DataFrame, sets: DataFrame) -> DataFrame:
 
     ``open_`` has a row for each member of an open bucket (``band, key, doc_id, set_id, n, own,
     component``). Buckets that share members form a cluster, which is dealt in chunks of about
-    ``CHUNK`` sets; a task gets two chunks and compares them in numpy, so pairs without a link are
-    never rows, however large a cluster is.
+    ``CHUNK`` sets or ``CHUNK_SHINGLES`` shingles, whichever is less; a task gets two chunks and compares them in
+    numpy, so pairs without a link are never rows, however large a cluster is. What a task holds is bounded by
+    two chunks, or by two sets where sets are larger.
     """
     least = open_.groupBy("band", "key").agg(F.min("doc_id").alias("u"))
     edges = open_.join(least, ["band", "key"]).where("doc_id <> u").select("u", F.col("doc_id").alias("v"))
@@ -223,7 +226,8 @@ def compared(open_: DataFrame, sets: DataFrame) -> DataFrame:
         F.first("n").alias("n"), F.first("own").alias("own"), F.first("component").alias("component"),
         F.collect_set(F.xxhash64("band", "key")).alias("buckets"),
     ).join(cluster, "doc_id", "left").withColumn("cluster", F.coalesce("cluster", "doc_id"))
-    sizes = members.groupBy("cluster").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    chunks = F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("n") / CHUNK_SHINGLES))
+    sizes = members.groupBy("cluster").agg(F.least(F.count("*"), chunks).cast("int").alias("chunks"))
     dealt = (
         members.join(sizes, "cluster").join(sets, ["doc_id", "set_id"])
         .withColumn("chunk", F.pmod(F.xxhash64("doc_id", "set_id"), F.col("chunks")).cast("int"))

@@ -15,7 +15,7 @@ from test_llm import ODD, by_id, given, none, odd  # noqa: F401
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
-from saleswright.llm import align, bits, collocations, jaccardjoin, tokens
+from saleswright.llm import align, bits, collocations, jaccardjoin, neardup, tokens
 
 A, B = map(tokens.vocabulary_path, (align.A_VOCABULARY, align.B_VOCABULARY))
 EDGES = [
@@ -182,3 +182,25 @@ def test_bitmap(spark):
 
 def test_registered():
     assert {"op11_ngram_join", "op12_collocations", "op13_token_alignment"} <= entry.queries().keys()
+
+
+@pytest.mark.parametrize("shingles", [1 << 20, 500, 1])
+def test_chunks_by_shingles_lose_no_link(spark, monkeypatch, shingles):
+    """Members of one bucket, long and short, against all pairs; however small the chunks are."""
+    monkeypatch.setattr(neardup, "CHUNK_SHINGLES", shingles)
+    draw = np.random.default_rng(7)
+    sets = []
+    for i in range(60):
+        base = np.arange(1000) if i % 2 else np.arange(2000, 2040)
+        sets.append(np.sort(np.concatenate([draw.permutation(base)[: len(base) * 17 // 20], 10_000 * (i + 1) + np.arange(len(base) // 20)])).astype(np.uint64))
+    rows = [(0, 5, i, i * 10, len(x), 0, i) for i, x in enumerate(sets)]
+    open_ = spark.createDataFrame(rows, "band int, key bigint, doc_id bigint, set_id bigint, n bigint, own bigint, component bigint")
+    full = spark.createDataFrame([(i, i * 10, bytearray(x.tobytes())) for i, x in enumerate(sets)], "doc_id bigint, set_id bigint, shingles binary")
+    want = set()
+    for u in range(60):
+        for v in range(u):
+            both = len(np.intersect1d(sets[u], sets[v]))
+            if 100 * both >= 75 * (len(sets[u]) + len(sets[v]) - both):
+                want.add((v, u))
+    found = [tuple(sorted(r)) for r in neardup.compared(open_, full).collect()]
+    assert len(want) > 3 and len(found) == len(set(found)) and set(found) == want
