@@ -263,17 +263,29 @@ def clean_digest(spark, folder):
 
 
 def summary(df):
-    """The Spark side of ``sql.digest``."""
+    """The Spark side of ``sql.digest``.
+
+    Orders are counted in an aggregate of their own: beside the others, every order would carry all their buffers
+    through the shuffle. Extremes of texts alone would have Spark sort all rows by group; a collected set, of one constant,
+    lets it keep the few groups in a hash table.
+    """
+    shown, groups = df.select(*DIGEST_COLUMNS), ("order_year", "category")
+    ordered = shown.where(F.col("order_id").isNotNull()).select(*groups, "order_id").distinct()
+    counted = ordered.groupBy(*[F.col(g).alias(f"_{g}") for g in groups]).agg(F.count("*").alias("_orders"))
     texts = []
     for c in DIGEST_TEXTS:
         texts += [F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"), F.sum(F.length(c)).alias(f"{c}_length")]
-    return df.select(*DIGEST_COLUMNS).groupBy("order_year", "category").agg(
+    figures = shown.groupBy(*groups).agg(
         F.count("*").alias("row_count"),
         exact_sum("sales").alias("revenue"),
-        F.count_distinct("order_id").alias("orders"),
         *texts,
         F.sum("postal_code").cast("double").alias("postal_sum"),
         F.sum("shipping_days").alias("days"),
         F.min("order_date").alias("first_order"),
         F.max("ship_date").alias("last_shipment"),
+        F.collect_set(F.lit(1)).alias("_hashed"),
     )
+    same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in groups]
+    both = figures.where(F.size("_hashed") > 0).join(counted, same, "left")
+    others = [c for c in figures.columns if c not in (*groups, "row_count", "revenue", "_hashed")]
+    return both.select(*groups, "row_count", "revenue", F.coalesce("_orders", F.lit(0)).alias("orders"), *others)
