@@ -40,6 +40,8 @@ DAYFIRST_VARIABLE = "SALES_DAYFIRST"
 DICTIONARY_TEXTS = 200_000
 #: Keys of repeated rows up to which they are sent to all tasks: 8 MB.
 FEW_KEYS = 500_000
+#: Bits of the table that stands for more of them: about ``KEY_BITS`` a key, from 2**16 to 2**28 (32 MB), in rows of ``WORDS`` words.
+KEY_BITS, LEAST_BITS, MOST_BITS, WORDS = 32, 16, 28, 64
 
 
 # --- names -----------------------------------------------------------------------
@@ -79,20 +81,43 @@ def _row_keys(df: DataFrame) -> list[Column]:
     return [F.xxhash64(F.lit(1), *values, *gaps), F.xxhash64(F.lit(2), *reversed(gaps), *reversed(values))]
 
 
+def _with_shared_bit(keyed: DataFrame, repeated: DataFrame, known: int) -> DataFrame:
+    """``keyed`` with ``_key_shared``: whether a row's key has a bit that one of the ``known`` keys in ``repeated`` has set.
+
+    Bits lie 64 to a word and ``WORDS`` words to a row, so that the table is small enough to be sent to all tasks.
+    """
+    bits = min(max((KEY_BITS * known).bit_length(), LEAST_BITS), MOST_BITS)
+    place = F.shiftrightunsigned(F.col("_key1").cast("bigint"), 64 - bits)
+    row, word = F.shiftright(place, 12), F.shiftright(place, 6).bitwiseAND(F.lit(WORDS - 1)).cast("int")
+    bit = place.bitwiseAND(F.lit(63)).cast("int")
+    placed = repeated.select(row.alias("_key_row"), word.alias("_word"), bit.alias("_bit"))
+    words = placed.groupBy("_key_row", "_word").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_set"))
+    rows = words.groupBy("_key_row").agg(F.map_from_entries(F.collect_list(F.struct("_word", "_set"))).alias("_sets"))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda i: F.coalesce(F.try_element_at("_sets", i), F.lit(0).cast("bigint")))
+    table = rows.select("_key_row", dense.alias("_key_words"))
+    found = keyed.withColumn("_key_row", row).join(F.broadcast(table), "_key_row", "left")
+    shared = F.call_function("shiftright", F.get("_key_words", word), bit).bitwiseAND(F.lit(1)) == 1
+    return found.withColumn("_key_shared", F.coalesce(shared, F.lit(False)))
+
+
 def remove_few_duplicates(df: DataFrame) -> DataFrame:
     """``remove_duplicates`` for a table that is cheap to read and holds few copies: few rows are shuffled.
 
     A first pass shuffles 16 bytes per row, the row's key, and keeps the keys that occur more than once. Rows with a key of
     their own stay where they are; only the others are shuffled and compared in full, so unequal rows that
-    happen to share a key are both kept. Up to ``FEW_KEYS`` repeated keys (16 bytes each) are sent to all tasks; a table with
-    more of them is shuffled as a whole, as in ``remove_duplicates``. The frame is read twice.
+    happen to share a key are both kept. Up to ``FEW_KEYS`` repeated keys (16 bytes each) are sent to all tasks; of
+    more, a table of at most 2**``MOST_BITS`` bits. Rows that share a bit with a repeated key are shuffled and compared, too, so
+    the result doesn't depend on its size. The frame is read twice.
     """
     first, second = _row_keys(df)
     keyed = df.withColumns({"_key1": first, "_key2": second})
     counts = keyed.select("_key1", "_key2").groupBy("_key1", "_key2").agg(F.count("*").alias("_n"))
     repeated = stage(counts.where("_n > 1").select("_key1", "_key2"), "repeated_keys")
-    if repeated.count() > FEW_KEYS:
-        return remove_duplicates(df)
+    known = repeated.count()
+    if known > FEW_KEYS:
+        flagged = _with_shared_bit(keyed, repeated, known)
+        copies = flagged.where("_key_shared").select(*[column(c) for c in df.columns]).dropDuplicates()
+        return flagged.where("NOT _key_shared").select(*[column(c) for c in df.columns]).unionByName(copies)
     few, on = F.broadcast(repeated), ["_key1", "_key2"]
     copies = keyed.join(few, on, "left_semi").select(*[column(c) for c in df.columns]).dropDuplicates()
     return keyed.join(few, on, "left_anti").select(*[column(c) for c in df.columns]).unionByName(copies)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from saleswright.operators import cleaning as cl
 from saleswright.workload.cleaning_queries import summary
 from saleswright.workload.sql import DIGEST_COLUMNS, DIGEST_TEXTS
+from saleswright.workspace import stage
 
 
 def _sales(spark):
@@ -32,3 +34,19 @@ def test_summary_shuffles_no_buffers_with_orders(spark):
     )
     columns = want.columns
     assert sorted(map(str, found.select(*columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_more_repeated_keys_than_are_sent_move_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(cl, "FEW_KEYS", 50)
+    line = F.col("id") % 4_900
+    value = F.when(line % 7 == 0, F.lit(float("nan"))).otherwise(line.cast("double"))
+    df = stage(spark.range(5_000).select(line.alias("a"), F.when(line % 5 != 0, line.cast("string")).alias("c.d"), value.alias("e")), "twice")
+    first, second = cl._row_keys(df)
+    keyed = df.withColumns({"_key1": first, "_key2": second})
+    repeated = keyed.groupBy("_key1", "_key2").count().where("count > 1").select("_key1", "_key2")
+    flagged = cl._with_shared_bit(keyed, repeated, repeated.count())
+    assert flagged.count() == 5_000 and 200 <= flagged.where("_key_shared").count() < 400
+    assert flagged.where("_key_shared").join(repeated, ["_key1", "_key2"]).count() == 200
+    out = cl.remove_few_duplicates(df)
+    assert sorted(map(str, out.collect())) == sorted(map(str, cl.remove_duplicates(df).collect()))
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
