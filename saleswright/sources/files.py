@@ -6,7 +6,7 @@ import logging
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,35 +95,54 @@ _TYPE_PATTERNS = {
 }
 
 
+#: What a value that fits one of the patterns begins with, after blanks as ``\\s`` knows them.
+_BLANKS, _NUMBER_STARTS, _BOOLEAN_STARTS = " \t\n\x0b\f\r", tuple("0123456789+-.iI"), tuple("tTfF")
+
+
+def _fit(text: Column) -> Column:
+    """Place in ``_TYPE_PATTERNS`` of the first pattern that a value fits, 4 if it fits none, NULL for NULL.
+
+    A whole number fits ``decimal`` and ``double``, too, and a decimal fits ``double``; ``boolean`` excludes the others. So a
+    value's first character and at most three patterns decide, and most texts need none.
+    """
+    bigint, decimal, double, boolean = (text.rlike(p) for p in _TYPE_PATTERNS.values())
+    start = F.substring(F.ltrim(text, F.lit(_BLANKS)), 1, 1)
+    number = F.when(bigint, 0).when(double, F.when(decimal, 1).otherwise(2)).otherwise(4)
+    fit = F.when(start.isin(*_NUMBER_STARTS), number).when(start.isin(*_BOOLEAN_STARTS), F.when(boolean, 3).otherwise(4))
+    return F.when(text.isNotNull(), fit.otherwise(4))
+
+
+def _kind(least: int | None, most: int | None) -> str:
+    """The type of a column by the least and greatest ``_fit`` of its values."""
+    kinds = tuple(_TYPE_PATTERNS)
+    if least is None or most > 3 or (most == 3 and least < 3):
+        return "string"
+    return kinds[most]
+
+
 def _infer_types(
     texts: DataFrame, columns: Sequence[str], declared: dict[str, str], on_error: str
 ) -> dict[str, str]:
     """The narrowest of bigint, decimal, double, boolean and string that holds every value.
 
-    Values are matched, not cast: a failing cast costs an exception per value. Declared
-    columns are cast, and those with values that fail are told.
+    Values are matched, not cast: a failing cast costs an exception per value. Each is given one small number, whose
+    extremes per column tell the type. Declared columns are cast, and those with values that fail are told.
     """
     told = {c: kind for c, kind in declared.items() if c in texts.columns and kind != "string"}
     if not columns and not told:
         return {}
-    checks = [
-        F.count_if(column(c).isNotNull() & column(c).try_cast(kind).isNull()).alias(f"bad{i}")
-        for i, (c, kind) in enumerate(told.items())
-    ]
-    for i, name in enumerate(columns):
-        text = column(name)
-        checks.append(F.count(text).alias(f"n{i}"))
-        checks += [F.count_if(~text.rlike(p)).alias(f"{kind}{i}") for kind, p in _TYPE_PATTERNS.items()]
-    row = texts.agg(*checks).first()
+    bads = [(column(c).isNotNull() & column(c).try_cast(kind).isNull()).alias(f"bad{i}") for i, (c, kind) in enumerate(told.items())]
+    fits = texts.select(*bads, *[_fit(column(name)).alias(f"fit{i}") for i, name in enumerate(columns)])
+    checks = [F.count_if(f"bad{i}").alias(f"bad{i}") for i in range(len(told))]
+    for i in range(len(columns)):
+        checks += [F.min(f"fit{i}").alias(f"least{i}"), F.max(f"fit{i}").alias(f"most{i}")]
+    row = fits.agg(*checks).first()
     bad = {c: row[f"bad{i}"] for i, c in enumerate(told) if row[f"bad{i}"]}
     if bad and on_error == "raise":
         raise ValueError(f"values that their declared types cannot hold, by column: {bad}")
     if bad:
         log.warning("values that their declared types cannot hold become NULL, by column: %s", bad)
-    return {
-        name: next((k for k in _TYPE_PATTERNS if row[f"n{i}"] and not row[f"{k}{i}"]), "string")
-        for i, name in enumerate(columns)
-    }
+    return {name: _kind(row[f"least{i}"], row[f"most{i}"]) for i, name in enumerate(columns)}
 
 
 # --- JSON ------------------------------------------------------------------------

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from saleswright.operators import cleaning as cl
+from saleswright.sources import files
 from saleswright.workload.cleaning_queries import summary
 from saleswright.workload.sql import DIGEST_COLUMNS, DIGEST_TEXTS
 from saleswright.workspace import stage
@@ -50,3 +51,22 @@ def test_more_repeated_keys_than_are_sent_move_few_rows(spark, monkeypatch):
     out = cl.remove_few_duplicates(df)
     assert sorted(map(str, out.collect())) == sorted(map(str, cl.remove_duplicates(df).collect()))
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_number_tells_the_patterns_that_a_value_fits(spark):
+    values = [
+        "1", " 12 ", "+7", "-0", "\t3\n", "\x0b4\f", "123456789012345678", "1234567890123456789", "9" * 38, "9" * 39, "1.5", "1.", ".5", "-.5e3",
+        "1e5", "inf", " -Infinity", "Inf", "true", "True", "TRUE", "tRUE", " true", "true\n", "false", "f", "", " ", "+", ".", "e5", "06/02/1998",
+        "5-LOW", "iPad", "Ireland", "total", "\u00a01", "\u0661", "1\u2028", "\x1c1", "1 2", "--1", "0x1", "1d", None,
+    ]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    kinds = list(files._TYPE_PATTERNS)
+    rows = df.select("v", files._fit(F.col("v")).alias("fit"), *[F.col("v").rlike(p).alias(k) for k, p in files._TYPE_PATTERNS.items()]).collect()
+    fits = {0: {0, 1, 2}, 1: {1, 2}, 2: {2}, 3: {3}, 4: set(), None: set()}
+    assert len({r["fit"] for r in rows}) == 6
+    for r in rows:
+        assert {i for i, k in enumerate(kinds) if r[k]} == fits[r["fit"]], r
+    for least, most in ((a, b) for a in range(5) for b in range(a, 5)):
+        common = fits[least] & fits[most]
+        assert files._kind(least, most) == (kinds[min(common)] if common else "string")
+    assert files._kind(None, None) == "string"
