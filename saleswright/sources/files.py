@@ -131,18 +131,20 @@ def _infer_types(
     told = {c: kind for c, kind in declared.items() if c in texts.columns and kind != "string"}
     if not columns and not told:
         return {}
-    bads = [(column(c).isNotNull() & column(c).try_cast(kind).isNull()).alias(f"bad{i}") for i, (c, kind) in enumerate(told.items())]
-    fits = texts.select(*bads, *[_fit(column(name)).alias(f"fit{i}") for i, name in enumerate(columns)])
-    checks = [F.count_if(f"bad{i}").alias(f"bad{i}") for i in range(len(told))]
-    for i in range(len(columns)):
-        checks += [F.min(f"fit{i}").alias(f"least{i}"), F.max(f"fit{i}").alias(f"most{i}")]
-    row = fits.agg(*checks).first()
-    bad = {c: row[f"bad{i}"] for i, c in enumerate(told) if row[f"bad{i}"]}
+    # one short row per value, so that one expression, not one per column, is compiled
+    entries = [F.struct(F.lit(i).alias("place"), column(name).alias("text"), F.lit(False).alias("bad")) for i, name in enumerate(columns)]
+    for i, (c, kind) in enumerate(told.items(), len(columns)):
+        fails = column(c).isNotNull() & column(c).try_cast(kind).isNull()
+        entries.append(F.struct(F.lit(i).alias("place"), F.lit(None).cast("string").alias("text"), fails.alias("bad")))
+    values = texts.select(F.inline(F.array(*entries))).select("place", "bad", _fit(F.col("text")).alias("fit"))
+    extremes = values.groupBy("place").agg(F.min("fit").alias("least"), F.max("fit").alias("most"), F.count_if("bad").alias("bad"))
+    found = {r["place"]: r for r in extremes.collect()}  # no rows, no entries
+    bad = {c: found[i]["bad"] for i, c in enumerate(told, len(columns)) if i in found and found[i]["bad"]}
     if bad and on_error == "raise":
         raise ValueError(f"values that their declared types cannot hold, by column: {bad}")
     if bad:
         log.warning("values that their declared types cannot hold become NULL, by column: %s", bad)
-    return {name: _kind(row[f"least{i}"], row[f"most{i}"]) for i, name in enumerate(columns)}
+    return {name: _kind(found[i]["least"], found[i]["most"]) if i in found else "string" for i, name in enumerate(columns)}
 
 
 # --- JSON ------------------------------------------------------------------------
