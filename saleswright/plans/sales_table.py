@@ -134,14 +134,17 @@ def _facts(spark: SparkSession, folder: str, tables: set[str]) -> DataFrame:
 def sales_data(spark: SparkSession, folder: str, columns: Iterable[str] | None = None, skip: bool | None = None) -> DataFrame:
     """The cleaned order table, or the requested base and feature columns of it.
 
-    ``skip`` says whether unused dimensions may be left out; without it ``references_hold`` is asked.
+    ``skip`` says whether unused dimensions may be left out; without it ``references_hold`` is asked, unless every
+    dimension is used anyway.
     """
-    skip = references_hold(spark, folder) if skip is None else skip
     wanted = list(columns) if columns is not None else [*CLEAN_COLUMNS, *FEATURE_INPUTS]
     inputs = [i for c in wanted for i in FEATURE_INPUTS.get(c, (c,))]
     needed = list(dict.fromkeys(inputs)) or ["row_id"]
-    every = {table for table, _ in BASE.values()}
-    facts = _facts(spark, folder, {BASE[c][0] for c in needed} if skip else every)
+    every, used = {table for table, _ in BASE.values()}, {BASE[c][0] for c in needed}
+    whole = {_CHAIN[-1], "part"} <= used
+    if skip is None and ("sales_tier" in wanted or not whole):
+        skip = references_hold(spark, folder)
+    facts = _facts(spark, folder, used if skip or whole else every)
     df = facts.selectExpr(*[f"{BASE[c][1]} AS {c}" for c in needed])
     for name in wanted:
         if name in CALENDAR:
