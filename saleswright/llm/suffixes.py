@@ -115,10 +115,11 @@ def _release(*frames: DataFrame) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def _drop(written: DataFrame) -> None:
-    """Removes a level that has been merged into another one; nothing reads it any more."""
-    jvm, conf = written.sparkSession.sparkContext._jvm, written.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in written.inputFiles()}:
+def _drop(*written: DataFrame) -> None:
+    """Removes written steps that went into another one; nothing reads them any more."""
+    context = written[0].sparkSession.sparkContext
+    jvm, conf = context._jvm, context._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for frame in written for f in frame.inputFiles()}:
         path = jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(conf).delete(path, True)
 
@@ -145,10 +146,11 @@ def family(texts: DataFrame, batches: int = BATCHES) -> tuple[list[DataFrame], D
             (size, x), (_, y) = levels.pop(), levels.pop()
             merged = x.union(y).repartitionByRange("g", "c", "t1")
             levels.append((2 * size, _sorted_run(merged)))
-            _drop(x)
-            _drop(y)
+            _drop(x, y)
         _release(texts)
-    return [x for _, x in levels], workspace.stage(met.distinct(), "met")
+    all_met = workspace.stage(met.distinct(), "met")
+    _drop(met)
+    return [x for _, x in levels], all_met
 
 
 _ENTRY = ["g", "c", "t1", "t2", "a", "lo", "hi"]
@@ -165,45 +167,45 @@ def _cut_contexts(batch: pa.RecordBatch) -> list:
     return out
 
 
-def _entries(batch: pa.RecordBatch):
-    """``(index, a, lo, hi, Hashed)`` with places relative to the entry's bytes."""
-    names = batch.schema.names
-    a, lo, hi = (batch.column(names.index(x)).to_pylist() for x in ("a", "lo", "hi"))
-    for k, data in enumerate(batch.column(names.index("bytes")).to_pylist()):
-        yield k, a[k] - lo[k], hi[k] - lo[k], Hashed(data)
+def _entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, Hashed]:
+    """``(at, a, last, Hashed)`` of all entries at once: where each one's bytes begin in the joined bytes, and places relative to that."""
+    a, lo, hi = (batch.column(x).to_numpy().astype(np.int64) for x in ("a", "lo", "hi"))
+    data = batch.column("bytes").to_pylist()
+    ends = np.cumsum(np.fromiter(map(len, data), np.int64, len(data)))
+    return np.append(np.zeros(1, np.int64), ends)[:-1], a - lo, hi - lo, Hashed(b"".join(data))
+
+
+def _counted(first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(which, value)``: for each k the ``n[k]`` whole numbers from ``first[k]`` on."""
+    which = np.repeat(np.arange(len(n)), n)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + first[which]
 
 
 def _blocks(batch: pa.RecordBatch) -> list:
     """For each block of strings of an entry: what all of them have in common, and all they cover if none is missing."""
-    which, blocks, cores, wholes = [], [], [], []
-    for k, a, last, hashed in _entries(batch):
-        j = np.arange((a - last) // BLOCK, a // BLOCK + 1)
-        first_x, last_x = np.maximum(j * BLOCK, a - last), np.minimum(j * BLOCK + BLOCK - 1, a)
-        core = hashed.of(a - j * BLOCK, a - j * BLOCK - (BLOCK - 1) + LENGTH, 3)
-        full = last_x - first_x == BLOCK - 1
-        whole = hashed.of(np.maximum(a - last_x, 0), a - first_x + LENGTH, 5).view(np.int64)
-        which.append(np.full(len(j), k))
-        blocks.append(j)
-        cores.append(core.view(np.int64))
-        wholes += [int(w) if f else None for w, f in zip(whole, full, strict=True)]
-    if not which:
-        return [[] for _ in range(len(_ENTRY) + 3)]
-    rows = batch.take(pa.array(np.concatenate(which))).select(_ENTRY)
-    return [*rows.columns, np.concatenate(blocks).tolist(), np.concatenate(cores).tolist(), wholes]
+    at, a, last, hashed = _entries(batch)
+    least = (a - last) // BLOCK
+    which, j = _counted(least, a // BLOCK - least + 1)
+    at, a, last = at[which], a[which], last[which]
+    first_x, last_x = np.maximum(j * BLOCK, a - last), np.minimum(j * BLOCK + BLOCK - 1, a)
+    core = hashed.of(at + a - j * BLOCK, at + a - j * BLOCK - (BLOCK - 1) + LENGTH, 3).view(np.int64)
+    whole = hashed.of(at + a - last_x, at + a - first_x + LENGTH, 5).view(np.int64)
+    part = last_x - first_x != BLOCK - 1
+    return [*batch.select(_ENTRY).take(pa.array(which)).columns, pa.array(j.astype(np.int32)), pa.array(core), pa.array(whole, mask=part)]
 
 
 def _strings(batch: pa.RecordBatch) -> list:
     """Each string of the open blocks of an entry by itself."""
-    which, xs, prints = [], [], []
-    for (k, a, last, hashed), open_ in zip(_entries(batch), batch.column(batch.schema.names.index("blocks")).to_pylist(), strict=True):
-        x = np.concatenate([np.arange(max(j * BLOCK, a - last), min(j * BLOCK + BLOCK - 1, a) + 1) for j in open_])
-        which.append(np.full(len(x), k))
-        xs.append(x)
-        prints.append(hashed.of(a - x, a - x + LENGTH, 7).view(np.int64))
-    if not which:
-        return [[] for _ in range(6)]
-    rows = batch.take(pa.array(np.concatenate(which))).select(["g", "t1", "t2", "a"])
-    return [*rows.columns, np.concatenate(xs).tolist(), np.concatenate(prints).tolist()]
+    at, a, last, hashed = _entries(batch)
+    open_ = batch.column("blocks")
+    entry = np.repeat(np.arange(len(a)), open_.value_lengths().to_numpy())
+    j = open_.flatten().to_numpy().astype(np.int64)
+    first = np.maximum(j * BLOCK, a[entry] - last[entry])
+    which, x = _counted(first, np.minimum(j * BLOCK + BLOCK - 1, a[entry]) - first + 1)
+    which = entry[which]
+    start = at[which] + a[which] - x
+    prints = hashed.of(start, start + LENGTH, 7).view(np.int64)
+    return [*batch.select(["g", "t1", "t2", "a"]).take(pa.array(which)).columns, pa.array(x.astype(np.int32)), pa.array(prints)]
 
 
 def named_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -214,8 +216,8 @@ def named_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 FILTER_BITS = 1 << 24
 
 
-def maybe(texts: DataFrame, wanted: DataFrame, there: bool = True) -> DataFrame:
-    """The texts that a bitmap of fixed size takes for ``wanted``, or those that it rules out.
+def _taken(wanted: DataFrame):
+    """Which rows of a batch ``(doc_id, t1, ...)`` a bitmap of fixed size takes for ``wanted`` texts.
 
     At most ``FILTER_BITS`` bits are sent to the tasks, so that most other texts needn't be shuffled.
     """
@@ -226,15 +228,22 @@ def maybe(texts: DataFrame, wanted: DataFrame, there: bool = True) -> DataFrame:
     table = np.zeros(FILTER_BITS // 64, np.int64)
     for row in words.toLocalIterator():
         table[row["word"]] = row["bits"]
-    shared = texts.sparkSession.sparkContext.broadcast(np.unpackbits(table.view(np.uint8), bitorder="little").tobytes())
+    shared = wanted.sparkSession.sparkContext.broadcast(np.unpackbits(table.view(np.uint8), bitorder="little").tobytes())
+
+    def hit(batch: pa.RecordBatch) -> np.ndarray:
+        return np.frombuffer(shared.value, bool)[batch.column(1).to_numpy(zero_copy_only=False) & (FILTER_BITS - 1)]
 
-    def work(batch: pa.RecordBatch) -> list:
-        bits = np.frombuffer(shared.value, bool)
-        hit = bits[batch.column(1).to_numpy(zero_copy_only=False) & (FILTER_BITS - 1)] == there
-        return batch.filter(pa.array(hit)).columns
+    return hit
 
-    columns = texts.select("doc_id", "t1", "t2", "text")
-    return T.map_rows(columns, "doc_id bigint, t1 bigint, t2 bigint, text binary", work)
+
+_NAMED = ["doc_id", "t1", "t2", "text"]
+
+
+def maybe(texts: DataFrame, taken) -> DataFrame:
+    """The texts that may be wanted, by ``taken`` (see ``_taken``)."""
+    return T.map_rows(
+        texts.select(*_NAMED), "doc_id bigint, t1 bigint, t2 bigint, text binary", lambda batch: batch.filter(pa.array(taken(batch))).columns
+    )
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES) -> DataFrame:
@@ -245,15 +254,17 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     for level in levels[1:]:
         index = index.union(level)
     held = workspace.stage(index.join(met, "g", "left_semi"), "candidates")
+    _drop(met, *levels)
     contexts = held.groupBy("g", "c").agg(F.count("*").alias("n"), F.min(F.struct(*_ENTRY[2:])).alias("e"))
     contexts = workspace.stage(contexts.select("g", "c", "n", "e.*"), "contexts")
     several = contexts.groupBy("g").agg(F.count("*").alias("m")).where("m > 1").select("g")
     open_ = contexts.join(several, "g", "left_semi")
     by_text = open_.groupBy("t1", "t2").agg(F.collect_list(F.struct("g", "c", "a", "lo", "hi")).alias("entries"))
     by_text = workspace.stage(by_text, "open")
-    wanted = maybe(texts, by_text).join(by_text, ["t1", "t2"]).select("t1", "t2", "text", "entries")
+    wanted = maybe(texts, _taken(by_text)).join(by_text, ["t1", "t2"]).select("t1", "t2", "text", "entries")
     cut = T.map_rows(wanted, f"{LEVEL}, bytes binary", _cut_contexts, rows=64)
     cut = workspace.stage(cut.dropDuplicates(["g", "c"]), "entries")
+    _drop(by_text)
     _release(docs)
     blocks = workspace.stage(T.map_rows(cut, f"{LEVEL}, block int, core bigint, whole bigint", _blocks), "blocks")
     shared = blocks.groupBy("g", "block", "core").agg(
@@ -261,12 +272,15 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ).where("m > 1").select("g", "block", "core", F.expr("w = m AND x = y").alias("alike"))
     judged = blocks.join(shared, ["g", "block", "core"]).select("g", "c", "t1", "t2", "a", "block", "alike")
     judged = workspace.stage(judged, "judged")
+    _drop(blocks)
     _release(docs)
     still = judged.where("NOT alike").groupBy("g", "c").agg(F.collect_list("block").alias("blocks"))
     single = T.map_rows(
         cut.join(still, ["g", "c"]).select(*_ENTRY, "bytes", "blocks"), "g bigint, t1 bigint, t2 bigint, a int, x int, print bigint", _strings
     )
     single = workspace.stage(single, "strings")
+    _drop(cut)
+    _release(docs)
     twice = single.groupBy("g", "x", "print").agg(F.count("*").alias("m")).where("m > 1").drop("m")
     spans = (
         held.join(contexts.where("n > 1").select("g", "c"), ["g", "c"], "left_semi")
@@ -275,6 +289,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .union(single.join(twice, ["g", "x", "print"], "left_semi").select("t1", "t2", F.expr("a - x"), F.expr(f"a - x + {LENGTH}")))
     )
     found = workspace.stage(spans.groupBy("t1", "t2").agg(F.collect_set(F.struct("from", "to")).alias("spans")), "spans")
+    _drop(held, contexts, judged, single)
     _release(docs)
     return found
 
@@ -307,8 +322,12 @@ def _removed(batch: pa.RecordBatch) -> list:
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans)``, one row per document."""
     found = repeated_spans(docs, id_col, text_col, batches)
-    texts = named_texts(docs, id_col, text_col)
-    touched = maybe(texts, found).join(found, ["t1", "t2"], "left").select("doc_id", "text", "spans")
-    whole = maybe(texts, found, there=False).withColumn("spans", F.lit(None).cast("array<struct<from: int, to: int>>"))
+    texts, taken = named_texts(docs, id_col, text_col), _taken(found)
+    touched = maybe(texts, taken).join(found, ["t1", "t2"], "left").select("doc_id", "text", "spans")
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<from: int, to: int>>"
-    return T.map_rows(touched, schema, _removed).union(T.map_rows(whole.select("doc_id", "text", "spans"), schema, _removed))
+
+    def untouched(batch: pa.RecordBatch) -> list:
+        rest = batch.filter(pa.array(~taken(batch)))
+        return _removed(pa.RecordBatch.from_arrays([rest.column(0), rest.column(3), pa.nulls(rest.num_rows)], ["doc_id", "text", "spans"]))
+
+    return T.map_rows(touched, schema, _removed).union(T.map_rows(texts.select(*_NAMED), schema, untouched))
