@@ -7,7 +7,8 @@ boundary, both split alike. Such a place is sought in the overlap of every chunk
 next; there the earlier chunk hands over. A chunk that finds none, because one pre-token
 fills the overlap, is split again together with its neighbours by one task, from where the
 last chunk handed over. Then each chunk encodes its own pre-tokens, and the chunks' ids are
-put together in order. Decoding concatenates the tokens' raw bytes.
+put together in order. Decoding concatenates the tokens' raw bytes, once the ids are whole, so
+that only the ids travel.
 
 A text of one chunk has nothing to stitch and is encoded where it is read. Splitting and
 encoding are those of the named rank file and pattern, piece by piece, so the ids are those
@@ -118,12 +119,8 @@ def _joined(path: str, pattern: str):
 
     def work(batch: pa.RecordBatch) -> list:
         own = codec(path, pattern)
-        ids, raw = [], []
-        for text in batch.column(2).to_pylist():
-            found = " ".join(own.encode(own.pattern.findall(text)))
-            ids.append(found)
-            raw.append(own.decode(found))
-        return [batch.column(0), batch.column(1), ids, raw]
+        ids = [" ".join(own.encode(own.pattern.findall(text))) for text in batch.column(2).to_pylist()]
+        return [batch.column(0), batch.column(1), ids]
 
     return work
 
@@ -171,12 +168,14 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
     pieces = texts.join(runs, ["row", "run"]).select(
         "row", F.col("run").cast("int"), F.substring(text, from_.cast("int"), length.cast("int")).alias("text")
     )
-    encoded = T.map_rows(pieces, "row bigint, run int, ids string, raw binary", _joined(path, pattern), rows=32)
-    whole_ids = encoded.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("run", "ids", "raw"))).alias("runs"))
+    encoded = T.map_rows(pieces, "row bigint, run int, ids string", _joined(path, pattern), rows=32)
+    whole_ids = encoded.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("run", "ids"))).alias("runs"))
     ids = F.array_join(F.filter(F.col("runs.ids"), lambda x: x != ""), " ")
-    raw = F.aggregate("runs", F.lit(b"").cast("binary"), lambda acc, x: F.concat(acc, x["raw"]))
-    long_ = whole_ids.join(cut.where("part = 0").select("row", "doc_id"), "row").select(
-        "doc_id", F.size(F.split(ids, " ")).cast("bigint").alias("n_tokens"),
-        F.sha2(ids, 256).alias("ids_sha256"), F.sha2(raw, 256).alias("decoded_sha256"),
-    )
-    return short.union(long_)
+    in_full = whole_ids.join(cut.where("part = 0").select("row", "doc_id"), "row").select("doc_id", ids.alias("ids"))
+
+    def digested(batch: pa.RecordBatch) -> list:
+        own = codec(path, pattern)
+        done = [_digests(x, own.decode(x)) for x in (v.as_py() for v in batch.column(1))]
+        return [batch.column(0), *(list(c) for c in zip(*done, strict=True))] if done else [batch.column(0), [], [], []]
+
+    return short.union(T.map_rows(in_full, _OUT, digested, rows=32))

@@ -6,10 +6,18 @@ import random
 import uuid
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 
 from saleswright import workspace
-from saleswright.llm import suffixes
+from saleswright.llm import bytebpe, suffixes
+
+
+def test_only_ids_of_long_texts_travel(spark):
+    docs = spark.createDataFrame([(1, "one two three " * 40), (2, "short")], "doc_id long, text string")
+    found = bytebpe.encode_decode(docs, public_tokenizers.path(bytebpe.RANKS), public_tokenizers.PATTERN, chunk=64, overlap=24)
+    assert found.count() == 2
+    assert "raw#" not in found._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_written_steps_that_nothing_reads_are_removed(spark, tmp_path, monkeypatch):
