@@ -204,3 +204,39 @@ def test_chunks_by_shingles_lose_no_link(spark, monkeypatch, shingles):
                 want.add((v, u))
     found = [tuple(sorted(r)) for r in neardup.compared(open_, full).collect()]
     assert len(want) > 3 and len(found) == len(set(found)) and set(found) == want
+
+
+def test_packed_lists():
+    values = np.sort(np.random.default_rng(1).integers(0, 1 << 48, 500, np.uint64))
+    assert (collocations._unpacked(collocations._packed(values, 6), 6) == values).all()
+    assert not len(collocations._unpacked(collocations._packed(values[:0], 6), 6))
+
+
+def test_filters_grow_with_the_words():
+    assert collocations.filter_bits(0) == collocations.filter_bits(1 << 28) == collocations.BITS
+    assert [collocations.filter_bits(1 << n) for n in (33, 60)] == [1 << 29, collocations.MOST_BITS]
+    assert collocations.filter_bits(1 << 20, 1 << 12) == 1 << 16
+
+
+@pytest.mark.parametrize("ranges, parts, held, n_bits", [(50, 40, 10, 1 << 25), (1 << 20, 1 << 22, 1 << 17, 1 << 6)])
+def test_collocations_over_many_lists(spark, monkeypatch, ranges, parts, held, n_bits):
+    """Many ranges, parts and flushes, or filters that let nearly all through, give the same phrases; rows are lists, no phrase each."""
+    draw = random.Random(4)
+    rows = [(draw.choice(["en", "de", None]), " ".join(f"{draw.choice('abcdefgh')}é{draw.choice('.   ')}" for _ in range(120))) for _ in range(40)]
+    rows += [("en", "A b c d e f g"), ("xx", "once"), ("yy", None)]
+    monkeypatch.setattr(collocations, "PART_WORDS", parts)
+    dealt = collocations.blocks(spark.createDataFrame(rows, "lang string, text string").repartition(3), size=400)
+    want = Counter()
+    for lang, text in rows:
+        for piece in (text or "").lower().split("."):
+            words = piece.split()
+            want.update((lang or "und", k, " ".join(words[i : i + k])) for k in range(1, 6) for i in range(len(words) - k + 1))
+    lists = collocations.mined
+    monkeypatch.setattr(collocations, "mined", lambda *a: lists(*a, range_words=ranges))
+    monkeypatch.setattr(collocations, "filter_bits", lambda words, least: n_bits)
+    counted, made = collocations.counted, []
+    monkeypatch.setattr(collocations, "counted", lambda *a: made.append(counted(*a, most=held)) or made[0])
+    got = {(r.lang, r["size"], r.phrase): r.a for r in collocations.frequent_phrases(dealt, 5).collect()}
+    assert got == {key: a for key, a in want.items() if a >= 5} and len({k for _, k, _ in got}) > 2
+    if held > 1000:  # all phrases of a task and a language are in one row
+        assert made[0].count() <= dealt.count() < len(got)
