@@ -25,7 +25,7 @@ from saleswright.functions.numeric import percent_of
 from saleswright.functions.quantiles import exact_quantiles
 from saleswright.functions.rows import literal_rows
 from saleswright.operators.features import QUARTILES, engineer_features
-from saleswright.workspace import stage
+from saleswright.workspace import discard, stage
 
 log = logging.getLogger(__name__)
 
@@ -123,6 +123,27 @@ def remove_few_duplicates(df: DataFrame) -> DataFrame:
     return keyed.join(few, on, "left_anti").select(*[column(c) for c in df.columns]).unionByName(copies)
 
 
+def _hash_tells_equal(kind: T.DataType) -> bool:
+    """Do equal values of a type have equal hashes? Not with a collation; nested types are left out, maps have none."""
+    if isinstance(kind, T.StringType):
+        return getattr(kind, "collation", "UTF8_BINARY") == "UTF8_BINARY"
+    return isinstance(kind, (T.NumericType, T.BooleanType, T.BinaryType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
+def staged_without_duplicates(df: DataFrame) -> DataFrame:
+    """``remove_duplicates``, written once to shared storage.
+
+    The frame itself is written first, so that what it shuffles can go before anything else is shuffled. Then rows are told
+    apart by their keys, and whole rows are shuffled only where a key occurs twice; the first copy goes at the end.
+    """
+    if not all(_hash_tells_equal(f.dataType) for f in df.schema):
+        return stage(remove_duplicates(df), "deduplicated")
+    rows = stage(df, "with_duplicates")
+    once = stage(remove_few_duplicates(rows), "deduplicated")
+    discard(rows)
+    return once
+
+
 def duplicate_report(df: DataFrame) -> DataFrame:
     """Rows before, rows after and rows removed, in one pass."""
     sizes = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
@@ -425,9 +446,8 @@ def clean_and_transform(df: DataFrame, dates_first: bool = False, staged: bool =
     taking the most frequent one. ``staged=False`` skips the write, for inputs that
     are cheap to recompute.
     """
-    df = remove_duplicates(standardize_columns(df))
-    if staged:
-        df = stage(df, "deduplicated")
+    df = standardize_columns(df)
+    df = staged_without_duplicates(df) if staged else remove_duplicates(df)
     # Filling with a value that already occurs changes neither the evidence for a
     # date order nor readability, so both are decided on the same frame.
     if dates_first:

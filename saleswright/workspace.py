@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+log = logging.getLogger(__name__)
+
 _CONF = "spark.checkpoint.dir"
+_FREES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local: dict[str, str] = {}
 
 
@@ -28,12 +32,38 @@ def work_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/saleswright/{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+def freeing(df: DataFrame, settings: dict[str, str] | None = None) -> DataFrame:
+    """The same frame, for one write: what the write shuffles is removed from the executors' disks as soon as it ends.
+
+    Without that, shuffle files stay until the driver happens to collect its garbage, so that those of all passes of a
+    query lie side by side. That setting, and any in ``settings``, is made in a copy of the session, so the session that was handed
+    in keeps its own; where there is no such setting or copy, the frame is written as it is.
+    """
+    spark = df.sparkSession
+    try:
+        own = spark._jsparkSession.cloneSession()
+        for key, value in {_FREES: "true", **(settings or {})}.items():
+            own.conf().set(key, value)
+        return DataFrame(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(own, df._jdf.queryExecution().analyzed()), spark)
+    except Exception as error:  # another Spark, or none on this side
+        log.info("shuffle files are left to Spark's cleaner: %s", str(error).splitlines()[0])
+        return df
+
+
+def stage(df: DataFrame, label: str = "stage", settings: dict[str, str] | None = None) -> DataFrame:
     """Write once, read back: cuts the lineage and keeps column pruning.
 
     Later passes read only the columns they need and survive lost executors, where
-    a cached or checkpointed row set would be read whole or be recomputed.
+    a cached or checkpointed row set would be read whole or be recomputed. ``settings`` hold for the write only.
     """
     path = f"{work_dir(df.sparkSession)}/{label}"
-    df.write.parquet(path)
+    freeing(df, settings).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(staged: DataFrame) -> None:
+    """Remove the files of a frame that ``stage`` returned, once nothing reads it any more."""
+    spark = staged.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in staged.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
