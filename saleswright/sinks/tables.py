@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,7 @@ from saleswright.functions.rows import literal_rows
 from saleswright.sources import storage
 from saleswright.sources.database import BATCH_ROWS, jdbc_options, mask_password
 from saleswright.sources.files import size_label
+from saleswright.workspace import freeing
 
 log = logging.getLogger(__name__)
 
@@ -28,19 +29,29 @@ HOT_COLUMNS = (
 #: Columns that the curve winds through, bits of each, rows that its parts are judged by, and rows per file.
 CURVE_COLUMNS, CURVE_BITS, SPLIT_ROWS = 4, 6, 20_000
 ROWS_PER_FILE = 2_000_000
+#: Rows per file of compressed text, since one task reads such a file.
+ROWS_PER_TEXT = 500_000
 
 
-def save_processed(df: DataFrame, folder: str, name: str = "processed_data.csv") -> str:
-    """Write cleaned data under ``folder/name``; the extension picks CSV or Parquet.
+def text_writer(df: DataFrame, compression: str = "gzip") -> DataFrameWriter:
+    """A writer of CSV or JSON in part files of ``ROWS_PER_TEXT`` rows at most.
 
-    Every task writes its own part file below that path.
+    Such text takes several times the room of the same rows in Parquet, so it is compressed (``compression="none"`` leaves it
+    plain). A compressed file can't be split between tasks; the bound on its rows keeps it small instead.
+    """
+    return freeing(df).write.option("compression", compression).option("maxRecordsPerFile", ROWS_PER_TEXT)
+
+
+def save_processed(df: DataFrame, folder: str, name: str = "processed_data.csv", compression: str = "gzip") -> str:
+    """Write cleaned data under ``folder/name``; the extension picks CSV or Parquet. ``compression`` is that of CSV.
+
+    Every task writes its own part files below that path.
     """
     path = f"{folder.rstrip('/')}/{name}"
-    writer = df.write.mode("overwrite")
     if name.lower().endswith(".parquet"):
-        writer.parquet(path)
+        freeing(df).write.mode("overwrite").parquet(path)
     else:
-        writer.option("header", True).option("escape", '"').csv(path)
+        text_writer(df, compression).mode("overwrite").option("header", True).option("escape", '"').csv(path)
     log.info("saved %s: %s", path, size_label(storage.total_bytes(df.sparkSession, path)))
     return path
 
