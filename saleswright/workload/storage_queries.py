@@ -59,7 +59,7 @@ def scan_csv(spark, folder):
 @register("scan_json", over_sales(digest("sales_data")))
 def scan_json(spark, folder):
     df, path = _clean(spark, folder), f"{work_dir(spark)}/sales.json"
-    df.write.json(path)
+    tables.text_writer(df).json(path)
     return summary(files.scan_json(spark, path, df.schema))
 
 
@@ -263,7 +263,7 @@ def _columns_sql(source: str, group: str, texts: list[str], numbers: list[str])
 
 
 def _columns(df, group: str, texts: list[str], numbers: list[str]):
-    """The Spark side of ``_columns_sql``."""
+    """The Spark side of ``_columns_sql``. As in ``summary``, a collected set spares sorting all rows by group."""
 
     def row(c):
         value, number = F.col(c).cast("string"), c in numbers
@@ -280,7 +280,8 @@ def _columns(df, group: str, texts: list[str], numbers: list[str]):
         }
         return F.struct(F.lit(c).alias("column"), *[v.alias(k) for k, v in fields.items()])
 
-    grouped = df.groupBy(F.col(group).alias("key")).agg(F.array(*map(row, texts + numbers)).alias("columns"))
+    found = [F.array(*map(row, texts + numbers)).alias("columns"), F.collect_set(F.lit(1)).alias("_hashed")]
+    grouped = df.groupBy(F.col(group).alias("key")).agg(*found).where(F.size("_hashed") > 0)
     return grouped.select("key", F.inline("columns"))
 
 
@@ -303,9 +304,10 @@ def discover_and_load(spark, folder):
     """A folder with an unreadable file first and then two data sets, types inferred: a digest of all columns."""
     base = work_dir(spark)
     raw = raw_orders(spark, folder)
-    raw.select("Row ID", "Ship Mode").write.json(f"{base}/b_later.json")
-    raw.write.option("header", True).option("escape", '"').csv(f"{base}/a_orders.csv")
-    raw.select("Row ID").limit(1).write.json(f"{base}/_ignored.txt")
+    later = raw.select("Row ID", "Ship Mode")
+    tables.text_writer(later).json(f"{base}/b_later.json")
+    tables.save_processed(raw, base, "a_orders.csv")
+    spark.read.schema(later.schema).json(f"{base}/b_later.json").select("Row ID").limit(1).write.json(f"{base}/_ignored.txt")
     df = files.discover_and_load(spark, base)
     return _columns(df.toDF(*RAW_COLUMNS), "ship_mode", _RAW_TEXTS, _RAW_NUMBERS)
 
@@ -325,7 +327,7 @@ def discover_and_load(spark, folder):
 def staged_run(spark, folder):
     """All six stages over the raw table, as it would arrive in CSV files."""
     base = work_dir(spark)
-    raw_orders(spark, folder).write.option("header", True).option("escape", '"').csv(f"{base}/in/orders.csv")
+    tables.save_processed(raw_orders(spark, folder), f"{base}/in", "orders.csv")
     metrics = run_stages(spark, f"{base}/in", f"{base}/out", _TABLE, table_path=f"{base}/{_TABLE}")
     return metrics.select("stage", "status", "rows", "cols")
 
