@@ -43,10 +43,12 @@ from saleswright.llm import tokens
 
 A_VOCABULARY, B_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Text bytes and documents in a shard.
-SHARD_BYTES, SHARD_DOCS = 4 << 20, 1 << 16
+SHARD_BYTES, SHARD_DOCS = 1 << 20, 1 << 16
 #: Units in one generation of a worker's memory. When it is full it becomes the old one, from which units that are asked for
-#: again move on; two generations take some 250 MB.
-REMEMBERED = 300_000
+#: again move on; two generations take some 160 MB. It is full, too, when its units have so many characters.
+REMEMBERED, REMEMBERED_CHARS = 200_000, 4 << 20
+#: Rows that go to a worker at a time, of texts and of shards: a batch is held whole on both sides.
+_TEXTS, _SHARDS = ({"spark.sql.execution.arrow.maxRecordsPerBatch": str(n)} for n in (256, 4))
 #: Units that are spelled at a time for the digest.
 SPELLED = 1 << 14
 _SPACE = "▁"
@@ -117,6 +119,7 @@ class Aligner:
         self.unit = _UNIT if mixed else _MARKED
         self.known: dict[str, tuple | None] = {}
         self.old: dict[str, tuple | None] = {}
+        self.chars = 0
 
     def units(self, text: str) -> list[str]:
         """A space and the text, cut where neither tokenizer joins anything."""
@@ -147,11 +150,12 @@ class Aligner:
         return [(ids or [self.blank]) if u[0] == " " else ids[2:] for u, ids in zip(units, found, strict=True)]
 
     def records(self, units: list[str]) -> list[tuple | None]:
-        if len(self.known) >= REMEMBERED:
-            self.old, self.known = self.known, {}
+        if len(self.known) >= REMEMBERED or self.chars >= REMEMBERED_CHARS:
+            self.old, self.known, self.chars = self.known, {}, 0
         known, old, new = self.known, self.old, []
         for u in units:
             if u not in known:
+                self.chars += len(u)
                 if u in old:
                     known[u] = old[u]
                 else:
@@ -181,6 +185,11 @@ class _Numbered(dict):
         return value
 
 
+def _number(count: int) -> str:
+    """The type of numbers below ``count``. Shards are stored and shuffled, mostly as numbers of units."""
+    return "<u2" if count <= 1 << 16 else "<u4"
+
+
 def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Sums of the runs of ``values`` that end at ``ends``."""
     total = np.concatenate([np.zeros(1, np.int64), np.cumsum(values, dtype=np.int64)])
@@ -218,7 +227,8 @@ class _Shard:
             for start in range(0, len(d), SPELLED):
                 digest.update((";" * (start > 0) + ";".join(map(spelled.__getitem__, d[start : start + SPELLED].tolist()))).encode())
             digests.append(digest.hexdigest() if len(d) else "")
-        wide = (ends, held, np.cumsum(sizes), place.astype(np.uint32), (pairs >> np.uint64(32)).astype(np.int32), pairs.astype(np.int32), n)
+        own_pairs, names = np.cumsum(sizes), held.astype(_number(len(records)))
+        wide = (ends, names, own_pairs.astype(np.uint32), place.astype(_number(len(pairs))), (pairs >> np.uint64(32)).astype(np.int32), pairs.astype(np.int32), n)
         return [number, self.ids, *figures, _sums(sizes[held], ends).tolist(), digests, *[x.tobytes() for x in wide]]
 
 
@@ -242,7 +252,7 @@ def shards(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", te
             yield done()
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return workspace.stage(T.map_batches(rows, _SHARD, run), "shards")
+    return workspace.stage(T.map_batches(rows, _SHARD, run), "shards", _TEXTS)
 
 
 def _pairs(batch: pa.RecordBatch) -> list:
@@ -264,10 +274,12 @@ def pair_counts(dealt: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _scored(batch: pa.RecordBatch) -> list:
     """The documents of a shard with the totals of its pairs."""
     row = {name: batch.column(k)[0] for k, name in enumerate(batch.schema.names)}
-    ends, held, unit_ends, place = (np.frombuffer(row[c].as_py(), t) for c, t in (("doc_ends", "<i8"), ("doc_units", "<u4"), ("unit_ends", "<i8"), ("unit_pairs", "<u4")))
+    unit_ends, count = np.frombuffer(row["unit_ends"].as_py(), "<u4"), len(row["n"].as_py()) // 8
+    kinds = (("doc_ends", "<i8"), ("doc_units", _number(len(unit_ends))), ("unit_pairs", _number(count)))
+    ends, held, place = (np.frombuffer(row[c].as_py(), t) for c, t in kinds)
     sums = []
     for field in ("best", "total"):
-        value = np.zeros(len(row["n"].as_py()) // 8, np.int64)
+        value = np.zeros(count, np.int64)
         if row["totals"].is_valid:
             found = row["totals"].values
             value[found.field("k").to_numpy()] = found.field(field).cast(pa.int64()).to_numpy()
@@ -281,7 +293,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", t
     each, counts = pair_counts(dealt)
     back = each.join(counts, ["a", "b"]).groupBy("shard").agg(F.collect_list(F.struct("k", F.col("best").cast("int").alias("best"), "total")).alias("totals"))
     rows = dealt.drop("a", "b").join(back, "shard", "left")
-    return T.map_rows(rows, _OUT, _scored, rows=1)
+    return workspace.stage(T.map_rows(rows, _OUT, _scored, rows=1), "aligned", _SHARDS)
 
 
 def groups(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -129,6 +129,25 @@ def test_alignment(spark, given, odd, none, size):  # noqa: F811
     assert align.aligned(none, A, B).count() == 0
 
 
+def test_alignment_remembers_so_many_characters():
+    """Units may be long: a text with a tab is one unit. Their number alone does not bound a worker's memory."""
+    own = align.Aligner(A, B)
+    long = [" " + f"{k}\t" + "some words " * 2000 for k in range(2 * align.REMEMBERED_CHARS // 22_000)]
+    for unit in long * 2:
+        assert own.records([unit])[0] == own.records([unit])[0]
+        assert sum(map(len, own.known)) <= align.REMEMBERED_CHARS + len(unit) and sum(map(len, own.old)) <= align.REMEMBERED_CHARS + len(unit)
+
+
+def test_alignment_of_more_units_than_short_numbers(spark):
+    """A shard may hold more than 65,536 units or pairs; its numbers are wider then."""
+    words = [f"{k:x}q{k * 7919 % 65_521:x}" for k in range(70_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:9])), (3, "")]
+    whole = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    wide = sorted(align.aligned(whole, A, B, size=1 << 30).collect())
+    assert wide == sorted(align.aligned(whole, A, B, size=1).collect())
+    assert wide[1].n_links > 9 and wide[0].count_sum > wide[1].count_sum
+
+
 def test_alignment_of_a_very_long_text(spark):
     text = "Some words, repeated often. " * 40_000
     rows = [(1, text), (2, text[:28])]
