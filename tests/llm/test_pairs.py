@@ -129,10 +129,11 @@ def test_alignment(spark, given, odd, none, size):  # noqa: F811
     assert align.aligned(none, A, B).count() == 0
 
 
-def test_alignment_remembers_so_many_characters():
+def test_alignment_remembers_so_many_characters(monkeypatch):
     """Units may be long: a text with a tab is one unit. Their number alone does not bound a worker's memory."""
+    monkeypatch.setattr(align, "REMEMBERED_CHARS", 6000)
     own = align.Aligner(A, B)
-    long = [" " + f"{k}\t" + "some words " * 2000 for k in range(2 * align.REMEMBERED_CHARS // 22_000)]
+    long = [" " + f"{k}\t" + "some words " * 200 for k in range(8)]
     for unit in long * 2:
         assert own.records([unit])[0] == own.records([unit])[0]
         assert sum(map(len, own.known)) <= align.REMEMBERED_CHARS + len(unit) and sum(map(len, own.old)) <= align.REMEMBERED_CHARS + len(unit)
